@@ -1,0 +1,134 @@
+"""Keyed tables fed batch by batch.
+
+Every batch writes its rows under its own number, and reading combines all batches by key. A
+batch that runs again after a failure overwrites itself, so nothing is counted twice. There is
+no lookup per row and no rewriting of old rows; from time to time :meth:`BatchTable.compact`
+folds the batches so far into one snapshot.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+class BatchTable:
+    """A table of ``keys`` and ``values``.
+
+    ``combine="sum"`` adds the values of equal keys (batches hold increments),
+    ``combine="last"`` keeps those of the latest batch (batches hold new states).
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: str,
+        keys: Sequence[str],
+        combine: str = "last",
+        partition_by: Sequence[str] = (),
+    ):
+        if combine not in ("last", "sum"):
+            raise ValueError(f"unknown way to combine: {combine}")
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.schema = T.StructType.fromDDL(schema)
+        self.keys = list(keys)
+        self.values = [f.name for f in self.schema if f.name not in self.keys]
+        self.combine = combine
+        self.partition_by = list(partition_by)
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        """Store one batch, replacing an earlier attempt at it."""
+        self._store(df, f"{self.path}/batches/batch={batch_id}")
+
+    def batch(self, batch_id: int) -> DataFrame:
+        """The rows of one batch as written."""
+        return self._load("batches", "batch", [batch_id]).drop("batch")
+
+    def read(self, before: int | None = None) -> DataFrame:
+        """The table as of the end of all batches, or of those numbered below ``before``."""
+        snapshots = self._numbers("snapshots", "upto", before)
+        batches = self._numbers("batches", "batch", before)
+        base = max(snapshots, default=None)
+        recent = [b for b in batches if base is None or b > base]
+        rows = self._load("batches", "batch", recent)
+        if base is not None:
+            rows = rows.unionByName(
+                self._load("snapshots", "upto", [base]).withColumnRenamed("upto", "batch")
+            )
+        return self._combined(rows)
+
+    def compact(self, upto: int) -> None:
+        """Write the combined state of all batches up to ``upto`` as a snapshot."""
+        self._store(self.read(before=upto + 1), f"{self.path}/snapshots/upto={upto}")
+
+    def next_batch(self) -> int:
+        known = self._numbers("batches", "batch") + self._numbers("snapshots", "upto")
+        return max(known, default=-1) + 1
+
+    def vacuum(self, keep: int = 2) -> None:
+        """Delete snapshots but the last ``keep``, and the batches the oldest kept one covers."""
+        snapshots = sorted(self._numbers("snapshots", "upto"))
+        if len(snapshots) < keep:
+            return
+        oldest = snapshots[-keep]
+        for number in (s for s in snapshots if s < oldest):
+            self._delete(f"{self.path}/snapshots/upto={number}")
+        for number in self._numbers("batches", "batch", before=oldest + 1):
+            self._delete(f"{self.path}/batches/batch={number}")
+
+    def _combined(self, rows: DataFrame) -> DataFrame:
+        if not self.values:
+            return rows.select(*self.keys).distinct()
+        grouped = rows.groupBy(*self.keys)
+        if self.combine == "sum":
+            return grouped.agg(*(F.sum(v).alias(v) for v in self.values))
+        latest = grouped.agg(F.max_by(F.struct(*self.values), "batch").alias("_latest"))
+        return latest.select(*self.keys, "_latest.*")
+
+    def _store(self, df: DataFrame, path: str) -> None:
+        writer = (
+            df.select(*(F.col(f.name).cast(f.dataType) for f in self.schema))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+        )
+        if self.partition_by:
+            writer = writer.partitionBy(*self.partition_by)
+        writer.parquet(path)
+
+    def _load(self, kind: str, label: str, numbers: Sequence[int]) -> DataFrame:
+        schema = T.StructType([*self.schema.fields, T.StructField(label, T.LongType())])
+        if not numbers:
+            return self.spark.createDataFrame([], schema)
+        base = f"{self.path}/{kind}"
+        paths = [f"{base}/{label}={n}" for n in numbers]
+        rows = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+        return rows.select(*schema.fieldNames())
+
+    def _fs(self, path: str):
+        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        return hadoop_path.getFileSystem(conf), hadoop_path
+
+    def _numbers(self, kind: str, label: str, before: int | None = None) -> list[int]:
+        """Numbers of the directories whose write was completed."""
+        done = f"{self.path}/{kind}/{label}=*/_SUCCESS"
+        fs, pattern = self._fs(done)
+        numbers = [
+            int(s.getPath().getParent().getName().split("=")[1])
+            for s in fs.globStatus(pattern) or []
+        ]
+        return sorted(n for n in numbers if before is None or n < before)
+
+    def _delete(self, path: str) -> None:
+        fs, hadoop_path = self._fs(path)
+        fs.delete(hadoop_path, True)
+
+
+def upsert(table: BatchTable, df: DataFrame) -> None:
+    """Insert new keys and replace the values of known ones."""
+    table.write(df, table.next_batch())
