@@ -14,9 +14,24 @@ from clickloom.operators.skew import skew_join
 BLACKLIST_THRESHOLD = 100
 
 
+def _count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Clicks per key, of single clicks or of counts made before."""
+    clicks = F.sum("click_count") if "click_count" in df.columns else F.count("*")
+    return df.groupBy(*keys).agg(clicks.alias("click_count"))
+
+
+def click_counts(clicks: DataFrame) -> DataFrame:
+    """Clicks per (date, province, city, user, ad): all that the statistics below need.
+
+    However many clicks a user makes, this leaves a few rows of them, so what is joined and
+    counted afterwards is small and has no hot user.
+    """
+    return _count(clicks, ["date", "province", "city", "user_id", "ad_id"])
+
+
 def ad_user_clicks(clicks: DataFrame) -> DataFrame:
-    """Clicks per (date, user, ad)."""
-    return clicks.groupBy("date", "user_id", "ad_id").agg(F.count("*").alias("click_count"))
+    """Clicks per (date, user, ad), of clicks or click counts."""
+    return _count(clicks, ["date", "user_id", "ad_id"])
 
 
 def ad_blacklist(user_clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
@@ -32,19 +47,15 @@ def ad_filtered_clicks(
 
 
 def ad_stat(clicks: DataFrame) -> DataFrame:
-    """Clicks per (date, province, city, ad)."""
-    return clicks.groupBy("date", "province", "city", "ad_id").agg(
-        F.count("*").alias("click_count")
-    )
+    """Clicks per (date, province, city, ad), of clicks or click counts."""
+    return _count(clicks, ["date", "province", "city", "ad_id"])
 
 
 def ad_province_top3(stat: DataFrame, n: int = 3, per_day: bool = True) -> DataFrame:
     """The ``n`` most clicked ads of each province, per day or (``per_day=False``) over all
     days, where each (day, ad) competes as a row of its own."""
     group = ["date", "province"] if per_day else ["province"]
-    totals = stat.groupBy("date", "province", "ad_id").agg(
-        F.sum("click_count").alias("click_count")
-    )
+    totals = _count(stat, ["date", "province", "ad_id"])
     order = [F.desc("click_count"), F.asc("ad_id"), F.asc("date")]
     return top_n_per_group(totals, group, order, n).select(
         "date", "province", "ad_id", "click_count"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions import predicates as p
@@ -107,32 +107,26 @@ def session_filter(sessions: DataFrame, params: TaskParams) -> DataFrame:
     )
 
 
-def _in_bucket(value: Column, low: int, high: int | None) -> Column:
-    return value >= low if high is None else value.between(low, high)
-
-
 def session_length_stats(sessions: DataFrame) -> DataFrame:
     """Session count, and for each length bucket the count and its share of the sessions.
 
     One row. A visit of 0 seconds is in no bucket. Without sessions the shares are NULL.
     """
-    buckets = [
-        (f"{kind}_length_{name}", _in_bucket(F.col(f"{kind}_length"), low, high))
-        for kind, table in (("visit", VISIT_BUCKETS), ("step", STEP_BUCKETS))
-        for name, low, high in table
-    ]
-    counts = sessions.agg(
-        F.count("*").alias("session_count"),
-        *(F.count_if(inside).alias(name) for name, inside in buckets),
+    inside = {}
+    for kind, buckets in (("visit_length", VISIT_BUCKETS), ("step_length", STEP_BUCKETS)):
+        for name, low, high in buckets:
+            top = "" if high is None else f" and {kind} <= {high}"
+            inside[f"{kind}_{name}"] = f"{kind} >= {low}{top}"
+    counts = sessions.selectExpr(
+        "count(*) as session_count",
+        *(f"count_if({condition}) as {name}" for name, condition in inside.items()),
     )
     # One rounding body for all shares keeps the generated code small.
     shares = F.transform(
-        F.array(*(F.col(name) for name, _ in buckets)),
-        lambda count: ratio(count, F.col("session_count")),
+        F.array(*inside), lambda count: ratio(count, F.col("session_count"))
     )
-    return counts.withColumn("_shares", shares).select(
-        *counts.columns,
-        *(F.col("_shares")[i].alias(f"{name}_ratio") for i, (name, _) in enumerate(buckets)),
+    return counts.withColumn("_shares", shares).selectExpr(
+        *counts.columns, *(f"_shares[{i}] as {name}_ratio" for i, name in enumerate(inside))
     )
 
 

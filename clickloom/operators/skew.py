@@ -37,6 +37,11 @@ def placement(df: DataFrame, n: int | Column) -> Column:
     return F.pmod(content, n.cast("bigint")).cast("int")
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate of a frame, which rests on file sizes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def hot_keys(
     df: DataFrame,
     on: str | Sequence[str],
@@ -44,14 +49,18 @@ def hot_keys(
     min_rows: int = 1_000_000,
     fraction: float = 0.1,
     seed: int = 9,
+    min_bytes: int = 256 << 20,
 ) -> list[Row]:
     """Keys holding more than ``1/parts`` of the rows, with the chunks to cut each into.
 
     Counts a sample of the key columns alone. What is found only steers where rows go; every
     row is joined either way, so a sampling error costs balance, never rows. ``parts`` defaults
     to the shuffle partitions of the session. Keys with fewer than ``min_rows`` rows fit one
-    task and are left alone. At most 1000 rows reach the driver.
+    task and are left alone, as is a whole input that Spark estimates under ``min_bytes``. At
+    most 1000 rows reach the driver.
     """
+    if estimated_bytes(df) < min_bytes:
+        return []
     spark = df.sparkSession
     on = _names(on)
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -18,7 +18,7 @@ from clickloom.sinks.batches import BatchTable, upsert
 from clickloom.sources import ad_log, params, tables
 from clickloom.sources.views import Tables
 from clickloom.streaming import ads as stream
-from clickloom.workspace import work_path
+from clickloom.workspace import materialize, work_path
 
 # Parameters of the queries; registry/oracle.py uses the same.
 FLOW = (3, 8, 9, 3)
@@ -167,7 +167,8 @@ def session_hourly_counts(t: Tables) -> DataFrame:
 
 @query
 def session_sample(t: Tables) -> DataFrame:
-    return sessions.as_extract_rows(sessions.sample_sessions(_sessions(t)))
+    profiles = materialize(_sessions(t), "session-profiles")
+    return sessions.as_extract_rows(sessions.sample_sessions(profiles))
 
 
 @query
@@ -191,12 +192,12 @@ def _top_sessions(details: DataFrame) -> DataFrame:
 
 @query
 def top_sessions(t: Tables) -> DataFrame:
-    return _top_sessions(_details(t))
+    return _top_sessions(materialize(_details(t), "session-details"))
 
 
 @query
 def top_session_details(t: Tables) -> DataFrame:
-    details = _details(t)
+    details = materialize(_details(t), "session-details")
     listed = _top_sessions(details)
     return _detail_columns(categories.top_session_details(listed, details, max_rows=30))
 
@@ -219,7 +220,7 @@ def page_transitions(t: Tables) -> DataFrame:
 @query
 def page_transitions_split(t: Tables) -> DataFrame:
     """The same with the largest sessions cut by second."""
-    return funnel.page_transitions(t.actions(), parts=5000, min_rows=1, fraction=1)
+    return funnel.page_transitions(t.actions(), parts=5000, min_rows=1, fraction=1, min_bytes=0)
 
 
 @query
@@ -304,31 +305,33 @@ def ad_blacklist(t: Tables) -> DataFrame:
     return _blacklist(_clicks(t))
 
 
-def _kept_clicks(t: Tables) -> DataFrame:
-    clicks = _clicks(t)
-    return ads.ad_filtered_clicks(clicks, _blacklist(clicks))
-
-
 @query
 def ad_filtered_clicks(t: Tables) -> DataFrame:
-    return _kept_clicks(t).select(
+    clicks = _clicks(t)
+    return ads.ad_filtered_clicks(clicks, _blacklist(clicks)).select(
         F.unix_millis("ts").alias("ms"), "date", "province", "city", "user_id", "ad_id"
     )
 
 
+def _kept_stat(t: Tables) -> DataFrame:
+    """Area counts without listed users; the blacklist comes from the same click counts."""
+    counts = ads.click_counts(_clicks(t))
+    return ads.ad_stat(counts.join(_blacklist(counts), "user_id", "left_anti"))
+
+
 @query
 def ad_stat(t: Tables) -> DataFrame:
-    return ads.ad_stat(_kept_clicks(t))
+    return _kept_stat(t)
 
 
 @query
 def ad_province_top3(t: Tables) -> DataFrame:
-    return ads.ad_province_top3(ads.ad_stat(_kept_clicks(t)))
+    return ads.ad_province_top3(_kept_stat(t))
 
 
 @query
 def ad_province_top3_all_days(t: Tables) -> DataFrame:
-    return ads.ad_province_top3(ads.ad_stat(_kept_clicks(t)), per_day=False)
+    return ads.ad_province_top3(_kept_stat(t), per_day=False)
 
 
 @query
@@ -433,7 +436,9 @@ def skew_join(t: Tables) -> DataFrame:
     """Joined with every key above a thousandth of the sessions treated as hot."""
     profiles = sessions.session_aggregate(t.actions())
     return _session_users(
-        skew.skew_join(profiles, t.users(), "user_id", parts=1000, min_rows=1, fraction=1)
+        skew.skew_join(
+            profiles, t.users(), "user_id", parts=1000, min_rows=1, fraction=1, min_bytes=0
+        )
     )
 
 

@@ -91,14 +91,12 @@ class BatchTable:
         return latest.select(*self.keys, "_latest.*")
 
     def _store(self, df: DataFrame, path: str) -> None:
-        writer = (
-            df.select(*(F.col(f.name).cast(f.dataType) for f in self.schema))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-        )
+        rows = df.select(*(F.col(f.name).cast(f.dataType) for f in self.schema))
         if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(path)
+            # One file per directory and not one per task, split where a directory is large.
+            rows = rows.hint("rebalance", *self.partition_by)
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(*self.partition_by).parquet(path)
 
     def _load(self, kind: str, label: str, numbers: Sequence[int]) -> DataFrame:
         schema = T.StructType([*self.schema.fields, T.StructField(label, T.LongType())])

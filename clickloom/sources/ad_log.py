@@ -6,36 +6,44 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _fields(line: Column) -> dict[str, Column]:
-    part = F.split(line, " ")
-    ms = F.try_element_at(part, F.lit(1)).try_cast("bigint")
-    return {
-        "ts": F.timestamp_millis(ms),
-        "province": F.try_element_at(part, F.lit(2)),
-        "city": F.try_element_at(part, F.lit(3)),
-        "user_id": F.try_element_at(part, F.lit(4)).try_cast("bigint"),
-        "ad_id": F.try_element_at(part, F.lit(5)).try_cast("bigint"),
-    }
-
-
-def _readable(fields: dict[str, Column]) -> Column:
-    return (
-        fields["ts"].isNotNull()
-        & fields["province"].isNotNull()
-        & fields["city"].isNotNull()
-        & fields["user_id"].isNotNull()
-        & fields["ad_id"].isNotNull()
-    )
+# Milliseconds of the years 1 to 9999, the range a timestamp can print.
+_FIRST_MS, _LAST_MS = -62135596800000, 253402300799999
+
+_FIELDS = ("ms", "province", "city", "user_id", "ad_id")
+
+
+def _with_fields(log: DataFrame, column: str) -> DataFrame:
+    """The line and its typed fields, NULL where the line has none.
+
+    The line is split and the fields are taken out once: they come out of a generator, so the
+    filters that follow refer to them and do not repeat the split.
+    """
+    part = F.col("_part")
+    number = {"ms", "user_id", "ad_id"}
+    fields = [F.try_element_at(part, F.lit(i)) for i in range(1, len(_FIELDS) + 1)]
+    typed = [
+        (f.try_cast("bigint") if name in number else f).alias(name)
+        for name, f in zip(_FIELDS, fields)
+    ]
+    split = log.select(F.col(column).alias("value"), F.split(column, " ").alias("_part"))
+    return split.select("value", F.inline(F.array(F.struct(*typed))))
+
+
+def _readable() -> Column:
+    known = F.lit(True)
+    for name in _FIELDS:
+        known = known & F.col(name).isNotNull()
+    return F.coalesce(known & F.col("ms").between(_FIRST_MS, _LAST_MS), F.lit(False))
 
 
 def parse_ad_log(log: DataFrame, column: str = "value") -> DataFrame:
     """Clicks of the readable lines: ts, date, province, city, user_id, ad_id."""
-    f = _fields(F.col(column))
+    ts = F.timestamp_millis("ms")
     return (
-        log.where(_readable(f))
-        .select(*(c.alias(n) for n, c in f.items()))
+        _with_fields(log, column)
+        .where(_readable())
         .select(
-            "ts", F.date_format("ts", "yyyy-MM-dd").alias("date"),
+            ts.alias("ts"), F.date_format(ts, "yyyy-MM-dd").alias("date"),
             "province", "city", "user_id", "ad_id",
         )
     )
@@ -43,7 +51,7 @@ def parse_ad_log(log: DataFrame, column: str = "value") -> DataFrame:
 
 def ad_log_rejects(log: DataFrame, column: str = "value") -> DataFrame:
     """The lines :func:`parse_ad_log` leaves out, as they came."""
-    return log.where(~_readable(_fields(F.col(column)))).select(F.col(column).alias("value"))
+    return _with_fields(log, column).where(~_readable()).select("value")
 
 
 def read_kafka_log(spark: SparkSession, servers: str, topics: str, **options: str) -> DataFrame:

@@ -16,6 +16,25 @@ _SECONDS_INTO_DAY = (
 )
 
 
+# Schemas of the raw tables in use; with them no read infers anything.
+RAW = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 class Tables:
     """The raw parquet tables of one folder and the views over them."""
 
@@ -26,14 +45,14 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(RAW[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def event_stream(self) -> DataFrame:
         """The events table as a file stream, whether it is one file or a folder of files."""
         path = f"{self.folder}/events.parquet"
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         fs = hadoop_path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        reader = self.spark.readStream.schema(self.raw("events").schema)
+        reader = self.spark.readStream.schema(RAW["events"])
         if fs.getFileStatus(hadoop_path).isDirectory():
             return reader.parquet(path)
         return reader.option("pathGlobFilter", "events.parquet").parquet(self.folder)
@@ -71,7 +90,7 @@ def _base(events: DataFrame) -> DataFrame:
     return events.select(
         "event_id", "user_id", "event_type",
         F.expr("cast(get_json_object(props, '$.k') as bigint)").alias("k"),
-        F.date_format("ts", "yyyy-MM-dd").alias("d"),
+        F.expr("cast(cast(ts as date) as string)").alias("d"),
         F.expr(
             "timestamp_seconds(unix_seconds(cast(date_trunc('DAY', ts) as timestamp)) + "
             f"{_SECONDS_INTO_DAY})"
@@ -143,12 +162,13 @@ def news_access(events: DataFrame) -> DataFrame:
 
 
 def ad_log(events: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
-        "cast(n_nationkey as bigint) as place", "replace(r_name, ' ', '_') as r_name", "n_name"
-    )
     return (
         _base(events)
         .withColumn("place", F.expr("user_id % 25"))
-        .join(places, "place")
-        .selectExpr("concat(ms, ' ', r_name, ' ', n_name, ' ', user_id, ' ', k % 10) as value")
+        .join(nation, F.col("place") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .selectExpr(
+            "concat(ms, ' ', replace(r_name, ' ', '_'), ' ', n_name, ' ', user_id, ' ', k % 10)"
+            " as value"
+        )
     )

@@ -51,7 +51,7 @@ class AdTables:
 
     def read_top3(self) -> DataFrame:
         return self.stat.spark.read.schema(
-            "ad_id bigint, click_count bigint, date string, province string"
+            "province string, ad_id bigint, click_count bigint, date string"
         ).parquet(self.top3_path).select("date", "province", "ad_id", "click_count")
 
 
@@ -74,7 +74,7 @@ def click_batch(
     2. Merge user counts and area counts into their tables.
     3. List users whose total for a (date, ad) of this batch reached the threshold. They are
        filtered from the next batch on.
-    4. Rank the provinces and days this batch touched.
+    4. Rank the provinces of the days this batch touched.
 
     It reads only what batches with lower numbers wrote, so running a batch again gives the
     same rows again.
@@ -83,13 +83,10 @@ def click_batch(
     def process(clicks: DataFrame, batch_id: int) -> None:
         listed = tables.blacklist.read(before=batch_id)
 
-        counted = clicks.groupBy("date", "province", "city", "user_id", "ad_id").agg(
-            F.count("*").alias("click_count")
-        )
-        kept = counted.join(listed, "user_id", "left_anti").persist()
+        kept = ads.click_counts(clicks).join(listed, "user_id", "left_anti").persist()
         try:
-            tables.user_clicks.write(_total(kept, tables.user_clicks.keys), batch_id)
-            tables.stat.write(_total(kept, tables.stat.keys), batch_id)
+            tables.user_clicks.write(ads.ad_user_clicks(kept), batch_id)
+            tables.stat.write(ads.ad_stat(kept), batch_id)
         finally:
             kept.unpersist()
 
@@ -108,15 +105,15 @@ def click_batch(
     return process
 
 
-def _total(counted: DataFrame, keys: list[str]) -> DataFrame:
-    return counted.groupBy(*keys).agg(F.sum("click_count").alias("click_count"))
-
-
 def rank_touched(tables: AdTables, batch_id: int, n: int = 3) -> None:
-    """Rank anew each (date, province) with rows in the batch and replace its top list."""
-    touched = tables.stat.batch(batch_id).select("date", "province").distinct()
-    stat = tables.stat.read(before=batch_id + 1).join(touched, ["date", "province"], "left_semi")
-    replace_groups(ads.ad_province_top3(stat, n), tables.top3_path, ["date", "province"])
+    """Rank anew the provinces of each day with rows in the batch.
+
+    Whole days are replaced, one directory each: a directory per (date, province) would hold
+    three rows.
+    """
+    days = tables.stat.batch(batch_id).select("date").distinct()
+    stat = tables.stat.read(before=batch_id + 1).join(days, "date", "left_semi")
+    replace_groups(ads.ad_province_top3(stat, n), tables.top3_path, ["date"])
 
 
 def filter_blacklist(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
