@@ -58,4 +58,4 @@ def crawl_frontier(links: DataFrame, visited: DataFrame, contains: str = "") ->
     hot, however many pages link to it.
     """
     wanted = links.select(F.col("target").alias("url")).where(F.col("url").contains(contains))
-    return wanted.distinct().join(visited.select("url"), "url", "left_anti")
+    return wanted.distinct().join(visited.select("url").distinct(), "url", "left_anti")

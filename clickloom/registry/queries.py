@@ -220,7 +220,7 @@ def page_transitions(t: Tables) -> DataFrame:
 @query
 def page_transitions_split(t: Tables) -> DataFrame:
     """The same with the largest sessions cut by second."""
-    return funnel.page_transitions(t.actions(), parts=5000, min_rows=1, fraction=1, min_bytes=0)
+    return funnel.page_transitions(t.actions(), parts=20_000, min_rows=1, fraction=1, min_bytes=0)
 
 
 @query

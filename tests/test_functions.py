@@ -1,0 +1,164 @@
+from __future__ import annotations
+
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from clickloom.functions import dates, predicates, text
+from clickloom.functions.numbers import ratio, round_half_up
+from clickloom.functions.sql import register_sql_functions
+
+FEW = settings(
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+
+
+def one(spark, *columns):
+    return tuple(spark.range(1).select(*columns).first())
+
+
+@FEW
+@given(
+    st.lists(
+        st.one_of(
+            st.floats(-1e12, 1e12),
+            st.integers(-100_000, 100_000).map(lambda n: n / 200),
+            st.tuples(st.integers(0, 5000), st.integers(1, 2000)).map(lambda p: p[0] / p[1]),
+        ),
+        min_size=50,
+        max_size=400,
+    )
+)
+def test_rounding_follows_the_exact_binary_value(spark, xs):
+    rows = spark.createDataFrame([(x,) for x in xs], "x double")
+    for x, r in rows.select("x", round_half_up(F.col("x"))).collect():
+        assert r == float(Decimal(x).quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+def test_rounding_edges(spark):
+    values = [0.015, 0.125, 0.145, 1.005, -0.125, 0.0]
+    got = one(spark, *(round_half_up(F.lit(v)) for v in values))
+    assert got == (0.01, 0.13, 0.14, 1.0, -0.13, 0.0)
+    assert one(spark, round_half_up(F.lit(float("nan"))), round_half_up(F.lit(float("inf")))) == (
+        None, None,
+    )
+
+
+def test_ratio_of_nothing_is_null(spark):
+    assert one(spark, ratio(F.lit(1), F.lit(0)), ratio(F.lit(0), F.lit(3))) == (None, 0.0)
+
+
+def test_concat_prints_missing_parts(spark):
+    none = F.lit(None)
+    assert one(
+        spark,
+        text.concat_long_string(F.lit(1), F.lit("a"), ":"),
+        text.concat_long_string(none.cast("bigint"), F.lit("a"), ":"),
+        text.concat_long_string(F.lit(1), none.cast("string"), "#"),
+    ) == ("1:a", "null:a", "1#null")
+
+
+def test_json_field(spark):
+    doc = F.lit('{"product_status": 0, "x": "y"}')
+    assert one(
+        spark, text.json_field(doc, "product_status"), text.json_field(doc, "x"),
+        text.json_field(doc, "none"), text.json_field(F.lit("{broken"), "x"),
+    ) == ("0", "y", None, None)
+
+
+def test_random_prefix_honours_its_range_and_keeps_underscores(spark):
+    keys = spark.range(200).select(text.random_prefix(F.lit("a_b"), 3).alias("k"))
+    assert {r[0] for r in keys.distinct().collect()} == {"0_a_b", "1_a_b", "2_a_b"}
+    assert {r[0] for r in keys.select(text.remove_random_prefix("k")).distinct().collect()} == {
+        "a_b"
+    }
+
+
+@pytest.mark.parametrize(
+    ("value", "trimmed"), [(",a,b,", "a,b"), (",,a", ",a"), ("a", "a"), ("", ""), (",", "")]
+)
+def test_trim_comma(spark, value, trimmed):
+    assert one(spark, text.trim_comma(F.lit(value))) == (trimmed,)
+
+
+def test_small_text_helpers(spark):
+    null = F.lit(None).cast("string")
+    assert one(
+        spark, text.pad_two(F.lit("7")), text.pad_two(F.lit("12")), text.is_empty(null),
+        text.is_empty(F.lit("")), text.is_not_empty(F.lit("a")), text.is_not_empty(null),
+    ) == ("07", "12", True, True, True, False)
+
+
+def test_packed_fields(spark):
+    packed = F.lit("a=1|b=|c=x=y|d=5")
+    assert one(spark, *(text.packed_field(packed, f) for f in "abcdz")) == (
+        "1", None, None, "5", None,
+    )
+    assert one(
+        spark, text.set_packed_field(packed, "b", F.lit("9")),
+        text.set_packed_field(packed, "z", F.lit("9")),
+    ) == ("a=1|b=9|c=x=y|d=5", "a=1|b=|c=x=y|d=5")
+
+
+def test_group_concat_keeps_values_that_contain_each_other(spark):
+    rows = spark.createDataFrame(
+        [("n", "11:A"), ("n", "1:A"), ("n", "11:A"), ("n", "2:B,C"), ("s", None)], "k string, v string"
+    )
+    got = dict(rows.groupBy("k").agg(text.group_concat_distinct("v").alias("v")).collect())
+    assert got == {"n": "11:A,1:A,2:B,C", "s": None}
+
+
+def test_dates(spark):
+    early, late = F.lit("2024-01-01 10:59:58"), F.lit("2024-01-01 11:00:03")
+    assert one(
+        spark, dates.before(early, late), dates.after(early, late), dates.before(late, late),
+        dates.minus_seconds(late, early), dates.minus_seconds(F.lit("x"), early),
+        dates.before(F.lit("x"), late),
+    ) == (True, False, False, 5, 0, False)
+    ts = dates.parse_time(late)
+    assert one(
+        spark, dates.date_hour(ts), dates.format_date(ts), dates.format_date_key(ts),
+        dates.format_minute(ts), dates.format_time(ts),
+        dates.parse_date_key(F.lit("20240131")).cast("string"),
+    ) == (
+        "2024-01-01_11", "2024-01-01", "20240101", "202401011100", "2024-01-01 11:00:03",
+        "2024-01-31",
+    )
+    today, yesterday, gap = one(
+        spark, dates.today(), dates.yesterday(), F.date_diff(dates.today(), dates.yesterday())
+    )
+    assert gap == 1 and len(today) == len(yesterday) == 10
+
+
+def test_predicates_pass_without_parameter_and_fail_without_data(spark):
+    rows = spark.createDataFrame(
+        [(20, "IT", ["a", "b"]), (60, "x", []), (None, None, None)],
+        "age int, job string, words array<string>",
+    )
+
+    def kept(*conditions):
+        return [r[0] for r in rows.where(predicates.all_of(*conditions)).select("age").collect()]
+
+    age, job, words = F.col("age"), F.col("job"), F.col("words")
+    assert kept(predicates.between(age, 20, 59)) == [20]
+    assert kept(predicates.between(age, 50, None)) == [20, 60, None]
+    assert kept(predicates.in_list(job, ["IT", "y"])) == [20]
+    assert kept(predicates.in_list(job, [])) == [20, 60, None]
+    assert kept(predicates.any_in(words, ["b", "z"])) == [20]
+    assert kept(predicates.any_in(words, None)) == [20, 60, None]
+    assert kept(predicates.equal(job, "x")) == [60]
+    assert kept(predicates.equal(job, None)) == [20, 60, None]
+    assert kept(predicates.between(age, 0, 99), predicates.equal(job, "x")) == [60]
+
+
+def test_sql_functions(spark):
+    register_sql_functions(spark)
+    row = spark.sql(
+        "select concat_long_string(1, 'a', ':') a, json_field('{\"f\": 2}', 'f') b, "
+        "remove_random_prefix(random_prefix('x_y', 4)) c"
+    )
+    assert tuple(row.first()) == ("1:a", "2", "x_y")
+    assert "Python" not in row._jdf.queryExecution().executedPlan().toString()
