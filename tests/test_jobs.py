@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+import pytest
+
+from clickloom import schemas
+from clickloom.operators import funnel, sessions
+from clickloom.plans import jobs
+from clickloom.schemas import OUTPUT_COLUMNS
+from clickloom.sources.params import TaskParams, load_params
+from clickloom.sources.views import Tables
+from clickloom.workspace import work_path
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return Tables(spark, FOLDER)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_session_job_from_a_task_document(spark, tables, tmp_path):
+    doc = '{"startDate":["2024-01-03"],"endDate":["2024-01-25"],"startAge":["0"],"endAge":["40"]}'
+    task = spark.createDataFrame([(7, doc)], schemas.TASK)
+    params = load_params(task, 7)
+    results = jobs.session_job(tables.actions(), tables.users(), params, task_id=7)
+    assert {t: df.columns for t, df in results.items()} == {t: OUTPUT_COLUMNS[t] for t in results}
+
+    days = tables.actions().where("date between '2024-01-03' and '2024-01-25'")
+    profiles = sessions.session_aggregate(days, tables.users()).where("age between 0 and 40")
+    stats = results["session_aggr_stat"].first()
+    assert stats["task_id"] == 7 and stats["session_count"] == profiles.count() > 0
+    details = days.join(profiles, "session_id", "left_semi")
+    clicks = details.where("click_category_id is not null").groupBy("click_category_id").count()
+    assert [r["click_count"] for r in results["top10_category"].collect()] == [
+        r["count"] for r in clicks.orderBy("count", ascending=False).limit(10).collect()
+    ]
+    listed = {r["session_id"] for r in results["top10_session"].collect()}
+    assert {r["session_id"] for r in results["session_detail"].collect()} == listed
+    extracted = {r["session_id"] for r in results["session_random_extract"].collect()}
+    assert extracted and extracted <= {r["session_id"] for r in profiles.collect()}
+
+    for _ in range(2):
+        jobs.write_results(results, str(tmp_path / "out"))
+    stored = spark.read.parquet(str(tmp_path / "out" / "top10_category"))
+    assert rows_of(stored) == sorted(rows_of(results["top10_category"]) * 2, key=repr)
+
+
+def test_funnel_job(tables):
+    params = TaskParams(start_date="2024-01-01", end_date="2024-01-31", page_flow=(3, 8, 9))
+    row = jobs.funnel_job(tables.actions(), params, task_id=2)["page_split_convert_rate"].first()
+    rates = funnel.page_convert_rates(tables.actions(), (3, 8, 9)).orderBy("step").collect()
+    assert tuple(row) == (2, "|".join(f"{r['page_split']}={r['convert_rate']}" for r in rates))
+
+
+def test_product_job(tables):
+    top = jobs.product_job(
+        tables.actions(), tables.cities(), tables.products(), TaskParams(), task_id=3
+    )["area_top3_product"]
+    assert top.columns == OUTPUT_COLUMNS["area_top3_product"]
+    per_area = top.groupBy("area").count().collect()
+    assert len(per_area) == 5 and {r["count"] for r in per_area} == {3}
+
+
+def test_news_job(tables):
+    results = jobs.news_job(tables.news(), "2024-01-15")
+    assert set(results) == {"page_pv", "page_uv", "section_pv", "register_rate", "jump_rate"}
+    views = tables.news().where("date = '2024-01-15' and action = 'view'").count()
+    assert sum(r["pv"] for r in results["page_pv"].collect()) == views > 0
+    assert jobs.news_job(tables.news())["page_pv"].count() == 0  # nothing of yesterday
+
+
+def test_work_paths_lie_in_the_shared_folder(spark):
+    root = spark.conf.get("spark.checkpoint.dir", "")
+    one, two = work_path(spark, "a"), work_path(spark, "a")
+    assert one != two and one.startswith(root)

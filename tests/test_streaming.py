@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -57,8 +58,6 @@ def write_batches(source, seed, cuts):
 def test_click_pipeline_and_its_feedback(spark, tmp_path, cuts):
     batches = write_batches(tmp_path / "log", 4, cuts)
     # Files are taken in order of their age.
-    import os
-
     for i in range(cuts):
         os.utime(tmp_path / "log" / f"{i}.log", (1_700_000_000 + i, 1_700_000_000 + i))
     tables = stream.AdTables.under(spark, str(tmp_path / "out"))
@@ -156,11 +155,14 @@ def test_stream_anti_join(spark, tmp_path):
     assert sorted(seen) == [1, 3]
 
 
-def test_the_interval_is_five_seconds():
+def test_a_running_query_triggers_every_five_seconds():
     class Writer:
+        def __init__(self):
+            self.calls = {}
+
         def __getattr__(self, name):
             def call(*args, **kwargs):
-                self.last = (name, args, kwargs)
+                self.calls[name] = (args, kwargs)
                 return self
 
             return call
@@ -168,6 +170,8 @@ def test_the_interval_is_five_seconds():
     class Stream:
         writeStream = Writer()
 
-    stream.start(Stream(), print, "cp").trigger
-    assert Stream.writeStream.last[0] == "start"
-    assert stream.INTERVAL == "5 seconds"
+    stream.start(Stream(), print, "cp", mode="update")
+    calls = Stream.writeStream.calls
+    assert calls["trigger"] == ((), {"processingTime": "5 seconds"})
+    assert calls["outputMode"] == (("update",), {})
+    assert calls["option"] == (("checkpointLocation", "cp"), {})
