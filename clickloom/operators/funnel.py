@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from clickloom.functions.numbers import ratio
 from clickloom.operators.skew import _hot_frame, hot_keys
 
 _ORDER = ("action_time", "action_id")
+# Action ids of one instant that form a run.
+_RUN = 1_000_000
 
 
 def page_transitions(
@@ -18,49 +21,59 @@ def page_transitions(
 ) -> DataFrame:
     """(session_id, from_page, to_page) for each two consecutive views of a session.
 
-    Views are ordered by time, then action id. An ordinary session is one window group. A hot
-    session is cut at every second of its time, each second is a group of its own, and the
-    seams are closed by a second window over the first and last view of each second only.
+    Views are ordered by time, then action id. An ordinary session is one window group; a hot
+    session (see :func:`clickloom.operators.skew.hot_keys`) is cut into pieces of its order.
     """
     views = actions.select("session_id", "page_id", *_ORDER)
     if hot is None:
         hot = hot_keys(views, "session_id", **detect)
-    if not hot:
-        w = Window.partitionBy("session_id").orderBy(*_ORDER)
-        paired = views.select(
-            "session_id",
-            F.lag("page_id").over(w).alias("from_page"),
-            F.col("page_id").alias("to_page"),
-            F.lag(F.lit(True)).over(w).alias("_has_previous"),
-        )
-        return paired.where("_has_previous").drop("_has_previous")
+    if hot:
+        return _pair_pieces(views, hot)
+    w = Window.partitionBy("session_id").orderBy(*_ORDER)
+    paired = views.select(
+        "session_id",
+        F.lag("page_id").over(w).alias("from_page"),
+        F.col("page_id").alias("to_page"),
+        F.lag(F.lit(True)).over(w).alias("_has_previous"),
+    )
+    return paired.where("_has_previous").drop("_has_previous")
+
 
+def _pair_pieces(views: DataFrame, hot: Sequence[Row]) -> DataFrame:
+    """Pair views piece by piece.
+
+    The pieces of a hot session are the runs of equal time and neighbouring action ids. A view
+    is paired with the one before it in its piece. The first and last view of each piece go on
+    to be paired within their second, and the first and last of each second within the
+    session. A task thus holds a run of one instant, the ends of the runs of one second, or
+    the ends of the seconds of a session. Other sessions are a single piece and end there.
+    """
     is_hot = F.col("_chunks").isNotNull()
-    w = Window.partitionBy("session_id", "_second").orderBy(*_ORDER)
-    cut = (
-        views.join(_hot_frame(views, ["session_id"], hot), "session_id", "left")
-        .withColumn("_second", F.when(is_hot, F.unix_seconds("action_time")))
-        .withColumns(
+    rows = views.join(_hot_frame(views, ["session_id"], hot), "session_id", "left").select(
+        *views.columns,
+        is_hot.alias("_hot"),
+        F.when(is_hot, F.unix_seconds("action_time")).alias("_second"),
+        F.when(is_hot, F.col("action_time")).alias("_instant"),
+        F.when(is_hot, F.floor(F.col("action_id") / _RUN)).alias("_run"),
+        F.lit(True).alias("_open"),
+    )
+    paired = []
+    for piece in (["_second", "_instant", "_run"], ["_second"], []):
+        w = Window.partitionBy("session_id", *piece).orderBy(*_ORDER)
+        rows = rows.withColumns(
             {
-                "_hot": is_hot,
-                "from_page": F.lag("page_id").over(w),
-                "_has_previous": F.lag(F.lit(True)).over(w),
-                "_has_next": F.lead(F.lit(True)).over(w),
+                "_from": F.lag("page_id").over(w),
+                "_first": F.lag(F.lit(True)).over(w).isNull(),
+                "_last": F.lead(F.lit(True)).over(w).isNull(),
             }
         )
-    )
-    result = ["session_id", "from_page", F.col("page_id").alias("to_page")]
-    inner = cut.where("_has_previous").select(*result)
-    edges = cut.where("_hot and (_has_previous is null or _has_next is null)")
-    along = Window.partitionBy("session_id").orderBy(*_ORDER)
-    seams = (
-        edges.withColumns(
-            {"from_page": F.lag("page_id").over(along), "_joined": F.lag(F.lit(True)).over(along)}
+        paired.append(
+            rows.where("_open and not _first").select(
+                "session_id", F.col("_from").alias("from_page"), F.col("page_id").alias("to_page")
+            )
         )
-        .where("_joined and _has_previous is null")
-        .select(*result)
-    )
-    return inner.unionByName(seams)
+        rows = rows.where("_hot and (_first or _last)").withColumn("_open", F.expr("_open and _first"))
+    return reduce(DataFrame.unionByName, paired)
 
 
 def _steps(flow: Sequence[int]) -> list[tuple[int, int]]:

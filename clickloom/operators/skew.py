@@ -47,9 +47,10 @@ def hot_keys(
     on: str | Sequence[str],
     parts: int | None = None,
     min_rows: int = 1_000_000,
-    fraction: float = 0.1,
+    fraction: float = 0.01,
     seed: int = 9,
     min_bytes: int = 256 << 20,
+    weight: str | None = None,
 ) -> list[Row]:
     """Keys holding more than ``1/parts`` of the rows, with the chunks to cut each into.
 
@@ -57,19 +58,22 @@ def hot_keys(
     row is joined either way, so a sampling error costs balance, never rows. ``parts`` defaults
     to the shuffle partitions of the session. Keys with fewer than ``min_rows`` rows fit one
     task and are left alone, as is a whole input that Spark estimates under ``min_bytes``. At
-    most 1000 rows reach the driver.
+    most 1000 rows reach the driver. With ``weight`` each row stands for that many rows: a
+    table of counts tells the hot keys of the table it was counted from, without a sample.
     """
     if estimated_bytes(df) < min_bytes:
         return []
     spark = df.sparkSession
     on = _names(on)
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sampled = df.select(*on)
-    if fraction < 1:
-        sampled = sampled.sample(False, fraction, seed)
+    if weight is not None:
+        fraction = 1
+        counts = df.groupBy(*on).agg(F.sum(weight).alias("_rows"))
     else:
-        fraction = 1.0
-    counts = sampled.groupBy(*on).agg(F.count("*").alias("_rows"))
+        sampled = df.select(*on)
+        if fraction < 1:
+            sampled = sampled.sample(False, fraction, seed)
+        counts = sampled.groupBy(*on).agg(F.count("*").alias("_rows"))
     heavy = counts.where(F.col("_rows") >= min_rows * fraction)
     top = heavy.orderBy(F.desc("_rows")).limit(_MAX_HOT).collect()
     if not top:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from clickloom.functions import dates
 from clickloom.operators import categories, funnel, news, products, sessions
+from clickloom.operators.skew import hot_keys
 from clickloom.sinks.append import append, result_rows
 from clickloom.sources.params import TaskParams
 from clickloom.sources.tables import scan_actions, scan_clicks
@@ -20,21 +21,27 @@ def session_job(
 ) -> dict[str, DataFrame]:
     """Session statistics, extraction, hot categories, active sessions and their actions.
 
-    Two frames feed several results and are written out once: the filtered profiles (all
-    actions are aggregated a single time) and the actions of those sessions.
+    Three frames feed several results and are written out once: the profiles (all actions are
+    aggregated a single time), those that pass the filter, and the actions of the latter. The
+    profiles hold the number of actions of every session, so they also tell which sessions
+    are hot when the actions are joined.
     """
     actions = scan_actions(actions, params.start_date, params.end_date)
-    profiles = sessions.session_filter(sessions.session_aggregate(actions, users), params)
-    profiles = materialize(profiles, "session-profiles")
-    details = materialize(sessions.session_details(profiles, actions), "session-details")
+    profiles = materialize(sessions.session_aggregate(actions), "session-profiles")
+    kept = materialize(
+        sessions.session_filter(sessions.with_user_info(profiles, users, hot=None), params),
+        "session-kept",
+    )
+    hot = hot_keys(profiles, "session_id", weight="step_length")
+    details = materialize(sessions.session_details(kept, actions, hot), "session-details")
     top_categories = categories.top_categories(details, TOP_CATEGORIES)
     top_sessions = categories.top_sessions_per_category(details, top_categories, TOP_SESSIONS)
     top_details = categories.top_session_details(
         top_sessions, details, max_rows=TOP_CATEGORIES * TOP_SESSIONS
     )
-    extracted = sessions.as_extract_rows(sessions.sample_sessions(profiles, extract))
+    extracted = sessions.as_extract_rows(sessions.sample_sessions(kept, extract))
     found = {
-        "session_aggr_stat": sessions.session_length_stats(profiles),
+        "session_aggr_stat": sessions.session_length_stats(kept),
         "session_random_extract": extracted,
         "top10_category": top_categories,
         "top10_session": top_sessions,

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,8 +49,12 @@ class BatchTable:
         """The rows of one batch as written."""
         return self._load("batches", "batch", [batch_id]).drop("batch")
 
-    def read(self, before: int | None = None) -> DataFrame:
-        """The table as of the end of all batches, or of those numbered below ``before``."""
+    def read(self, before: int | None = None, where: Column | None = None) -> DataFrame:
+        """The table as of the end of all batches, or of those numbered below ``before``.
+
+        ``where`` is a condition on the keys. It applies to the stored rows, so on a column
+        the table is partitioned by it leaves out whole directories.
+        """
         snapshots = self._numbers("snapshots", "upto", before)
         batches = self._numbers("batches", "batch", before)
         base = max(snapshots, default=None)
@@ -60,7 +64,7 @@ class BatchTable:
             rows = rows.unionByName(
                 self._load("snapshots", "upto", [base]).withColumnRenamed("upto", "batch")
             )
-        return self._combined(rows)
+        return self._combined(rows if where is None else rows.where(where))
 
     def compact(self, upto: int) -> None:
         """Write the combined state of all batches up to ``upto`` as a snapshot."""

@@ -65,7 +65,7 @@ def trend_table(spark: SparkSession, path: str) -> BatchTable:
 
 
 def click_batch(
-    tables: AdTables, threshold: int = ads.BLACKLIST_THRESHOLD, compact_every: int = 100
+    tables: AdTables, threshold: int = ads.BLACKLIST_THRESHOLD, compact_every: int = 720
 ) -> Callable[[DataFrame, int], None]:
     """The work of the click pipeline on one micro-batch of parsed clicks.
 
@@ -77,12 +77,12 @@ def click_batch(
     4. Rank the provinces of the days this batch touched.
 
     It reads only what batches with lower numbers wrote, so running a batch again gives the
-    same rows again.
+    same rows again, and of the kept tables only the days the batch has clicks of. Every
+    ``compact_every`` batches (an hour of 5 second batches) the tables are compacted.
     """
 
     def process(clicks: DataFrame, batch_id: int) -> None:
         listed = tables.blacklist.read(before=batch_id)
-
         kept = ads.click_counts(clicks).join(listed, "user_id", "left_anti").persist()
         try:
             tables.user_clicks.write(ads.ad_user_clicks(kept), batch_id)
@@ -90,29 +90,35 @@ def click_batch(
         finally:
             kept.unpersist()
 
-        touched = tables.user_clicks.batch(batch_id).select(*tables.user_clicks.keys)
-        totals = tables.user_clicks.read(before=batch_id + 1).join(
-            touched, tables.user_clicks.keys, "left_semi"
-        )
-        tables.blacklist.write(
-            ads.ad_blacklist(totals, threshold).join(listed, "user_id", "left_anti"), batch_id
-        )
-        rank_touched(tables, batch_id)
+        touched = tables.user_clicks.batch(batch_id)
+        days = _days(touched)
+        if days:
+            keys = tables.user_clicks.keys
+            totals = tables.user_clicks.read(before=batch_id + 1, where=F.col("date").isin(days))
+            totals = totals.join(touched.select(*keys), keys, "left_semi")
+            reached = ads.ad_blacklist(totals, threshold)
+            tables.blacklist.write(reached.join(listed, "user_id", "left_anti"), batch_id)
+            rank_days(tables, days, batch_id)
         if batch_id and batch_id % compact_every == 0:
             for table in (tables.user_clicks, tables.blacklist, tables.stat):
                 table.compact(batch_id)
+                table.vacuum()
 
     return process
 
 
-def rank_touched(tables: AdTables, batch_id: int, n: int = 3) -> None:
-    """Rank anew the provinces of each day with rows in the batch.
+def _days(rows: DataFrame) -> list[str]:
+    """The distinct days of a micro-batch, a short list, to prune the partitions read next."""
+    return [row["date"] for row in rows.select("date").distinct().collect()]
+
+
+def rank_days(tables: AdTables, days: list[str], batch_id: int, n: int = 3) -> None:
+    """Rank anew the provinces of these days.
 
     Whole days are replaced, one directory each: a directory per (date, province) would hold
     three rows.
     """
-    days = tables.stat.batch(batch_id).select("date").distinct()
-    stat = tables.stat.read(before=batch_id + 1).join(days, "date", "left_semi")
+    stat = tables.stat.read(before=batch_id + 1, where=F.col("date").isin(days))
     replace_groups(ads.ad_province_top3(stat, n), tables.top3_path, ["date"])
 
 
@@ -203,6 +209,8 @@ def stat_batch(tables: AdTables) -> Callable[[DataFrame, int], None]:
 
     def process(updates: DataFrame, batch_id: int) -> None:
         tables.stat.write(updates, batch_id)
-        rank_touched(tables, batch_id)
+        days = _days(tables.stat.batch(batch_id))
+        if days:
+            rank_days(tables, days, batch_id)
 
     return process

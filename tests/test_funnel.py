@@ -28,14 +28,19 @@ def pairs_by_hand(rows):
     return found
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_transitions_with_and_without_cut_sessions(spark, seed):
-    rng = random.Random(seed)
+@pytest.mark.parametrize(("seconds", "run"), [(20, 1_000_000), (1, 30), (300, 3), (3, 1)])
+def test_transitions_with_and_without_cut_sessions(spark, monkeypatch, seconds, run):
+    monkeypatch.setattr(funnel, "_RUN", run)
+    rng = random.Random(seconds)
     rows = [
-        (rng.choice(["hot", "hot", "a", "b", "c"]), rng.randrange(5), rng.randrange(20), i)
+        (rng.choice(["hot", "hot", "a", "b", "c"]), rng.choice([None, 1, 2, 3, 4]),
+         rng.randrange(seconds), i)
         for i in range(400)
     ]
-    df = views(spark, rows)
+    # Several instants within a second, too.
+    df = views(spark, rows).withColumn(
+        "action_time", F.timestamp_micros(F.col("seconds") * 400_000)
+    )
     plain = funnel.page_transitions(df)
     cut = funnel.page_transitions(df, parts=4, min_rows=1, fraction=1, min_bytes=0)
     assert "_second" in cut._jdf.queryExecution().analyzed().toString()
