@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from clickloom.functions.numbers import ratio
-from clickloom.operators.skew import _hot_frame, hot_keys
+from clickloom.operators.skew import hot_frame, hot_keys
+from clickloom.workspace import materialize
 
 _ORDER = ("action_time", "action_id")
-# Action ids of one instant that form a run.
-_RUN = 1_000_000
 
 
 def page_transitions(
@@ -21,8 +19,9 @@ def page_transitions(
 ) -> DataFrame:
     """(session_id, from_page, to_page) for each two consecutive views of a session.
 
-    Views are ordered by time, then action id. An ordinary session is one window group; a hot
-    session (see :func:`clickloom.operators.skew.hot_keys`) is cut into pieces of its order.
+    Views are ordered by time, then action id, which is unique in its session. An ordinary
+    session is one window group; a hot session (see :func:`clickloom.operators.skew.hot_keys`)
+    is cut into pieces of its order, for which its views are written out once.
     """
     views = actions.select("session_id", "page_id", *_ORDER)
     if hot is None:
@@ -30,50 +29,51 @@ def page_transitions(
     if hot:
         return _pair_pieces(views, hot)
     w = Window.partitionBy("session_id").orderBy(*_ORDER)
+    return _paired(views, w)
+
+
+def _paired(
+    views: DataFrame, w: WindowSpec, page: str = "page_id", before: str = "page_id"
+) -> DataFrame:
+    """Each row's ``page`` with the ``before`` of the row ahead of it in its window group."""
     paired = views.select(
         "session_id",
-        F.lag("page_id").over(w).alias("from_page"),
-        F.col("page_id").alias("to_page"),
+        F.lag(before).over(w).alias("from_page"),
+        F.col(page).alias("to_page"),
         F.lag(F.lit(True)).over(w).alias("_has_previous"),
     )
     return paired.where("_has_previous").drop("_has_previous")
 
 
 def _pair_pieces(views: DataFrame, hot: Sequence[Row]) -> DataFrame:
-    """Pair views piece by piece.
+    """Pair the views of hot sessions in pieces, then close the seams between the pieces.
 
-    The pieces of a hot session are the runs of equal time and neighbouring action ids. A view
-    is paired with the one before it in its piece. The first and last view of each piece go on
-    to be paired within their second, and the first and last of each second within the
-    session. A task thus holds a run of one instant, the ends of the runs of one second, or
-    the ends of the seconds of a session. Other sessions are a single piece and end there.
+    A range partitioning by session and order cuts the hot sessions into pieces of about equal
+    size, wherever in time or ids the views lie. The piece of each view is written down, since
+    a range partitioning done twice may cut at other places. Views are paired within their
+    piece; for the seams the first and last page of each piece are enough, and there are only
+    about as many pieces as chunks asked for.
     """
-    is_hot = F.col("_chunks").isNotNull()
-    rows = views.join(_hot_frame(views, ["session_id"], hot), "session_id", "left").select(
-        *views.columns,
-        is_hot.alias("_hot"),
-        F.when(is_hot, F.unix_seconds("action_time")).alias("_second"),
-        F.when(is_hot, F.col("action_time")).alias("_instant"),
-        F.when(is_hot, F.floor(F.col("action_id") / _RUN)).alias("_run"),
-        F.lit(True).alias("_open"),
+    chunks = hot_frame(views, ["session_id"], hot)
+    n = sum(h["_chunks"] for h in hot)
+    pieces = materialize(
+        views.join(chunks.drop("_chunks"), "session_id")
+        .repartitionByRange(n, "session_id", *_ORDER)
+        .withColumn("_piece", F.spark_partition_id()),
+        "session-pieces",
     )
-    paired = []
-    for piece in (["_second", "_instant", "_run"], ["_second"], []):
-        w = Window.partitionBy("session_id", *piece).orderBy(*_ORDER)
-        rows = rows.withColumns(
-            {
-                "_from": F.lag("page_id").over(w),
-                "_first": F.lag(F.lit(True)).over(w).isNull(),
-                "_last": F.lead(F.lit(True)).over(w).isNull(),
-            }
-        )
-        paired.append(
-            rows.where("_open and not _first").select(
-                "session_id", F.col("_from").alias("from_page"), F.col("page_id").alias("to_page")
-            )
-        )
-        rows = rows.where("_hot and (_first or _last)").withColumn("_open", F.expr("_open and _first"))
-    return reduce(DataFrame.unionByName, paired)
+    others = views.join(chunks, "session_id", "left_anti").withColumn("_piece", F.lit(0))
+    within = _paired(
+        others.unionByName(pieces), Window.partitionBy("session_id", "_piece").orderBy(*_ORDER)
+    )
+    by = F.struct(*_ORDER)
+    ends = pieces.groupBy("session_id", "_piece").agg(
+        F.min_by("page_id", by).alias("first_page"), F.max_by("page_id", by).alias("last_page")
+    )
+    seams = _paired(
+        ends, Window.partitionBy("session_id").orderBy("_piece"), "first_page", "last_page"
+    )
+    return within.unionByName(seams)
 
 
 def _steps(flow: Sequence[int]) -> list[tuple[int, int]]:

@@ -22,6 +22,8 @@ _CHUNKS = "_chunks"
 _SALT = "_salt"
 _COPIES_ALL = ("inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "left_anti",
                "leftanti")
+# Fixed value: the size up to which a side is worth sending to every task.
+BROADCAST_LIMIT = 20_971_520
 # The most hot keys worth a chunk of their own; colder ones take the ordinary path.
 _MAX_HOT = 1000
 
@@ -87,7 +89,7 @@ def hot_keys(
     return found
 
 
-def _hot_frame(like: DataFrame, on: list[str], hot: Sequence[Row]) -> DataFrame:
+def hot_frame(like: DataFrame, on: list[str], hot: Sequence[Row]) -> DataFrame:
     """The hot keys as a frame: local rows, at most 1000 of them, so always small to broadcast."""
     fields = [like.schema[k] for k in on] + [T.StructField(_CHUNKS, T.IntegerType())]
     fields = [T.StructField(f.name, f.dataType, True) for f in fields]
@@ -120,7 +122,7 @@ def skew_join(
     if not hot:
         return left.join(right, on, how)
     most = max(h[_CHUNKS] for h in hot)
-    chunks = _hot_frame(left, on, hot)
+    chunks = hot_frame(left, on, hot)
     flagged = left.join(chunks, on, "left")
     n = F.when(_any_null(on), F.lit(most)).otherwise(F.coalesce(F.col(_CHUNKS), F.lit(1)))
     salted = flagged.withColumn(_SALT, placement(left, n)).drop(_CHUNKS)
@@ -132,6 +134,20 @@ def skew_join(
     return salted.join(copied, [*on, _SALT], how).drop(_SALT)
 
 
+def map_side_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str | Sequence[str],
+    how: str = "inner",
+    max_bytes: int = BROADCAST_LIMIT,
+) -> DataFrame:
+    """Send ``right`` to every task if Spark estimates it within ``max_bytes``, so that
+    ``left`` is not shuffled; otherwise :func:`skew_join`."""
+    if estimated_bytes(right) <= max_bytes:
+        return left.join(F.broadcast(right), _names(on), how)
+    return skew_join(left, right, on, how)
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, on: str | Sequence[str], n: int = 10, how: str = "inner"
 ) -> DataFrame:

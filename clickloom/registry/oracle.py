@@ -369,8 +369,33 @@ def oracle_sql() -> dict[str, str]:
             "count(*) as session_count from sessions group by 1",
             "sessions",
         ),
+        "sample_quotas": _with(
+            """
+            select date, hour, session_count,
+                   cast(session_count * (1000 // days) // day_count as bigint) as quota
+            from (select *, sum(session_count) over (partition by date) as day_count,
+                         (select count(distinct start_time[1:10]) from sessions) as days
+                  from (select start_time[1:10] as date, start_time[12:13] as hour,
+                               count(*) as session_count
+                        from sessions group by 1, 2)) h""",
+            "sessions",
+        ),
         "session_sample": _sample(),
         "session_details": _with(f"select * {_ACTION_TEXT} from details", "details"),
+        "category_events": _with(
+            """
+            select category_id, kind, count(*) as events from (
+                select click_category_id as category_id, 'click' as kind
+                from user_visit_action where click_category_id is not null
+                union all
+                select cast(unnest(string_split(order_category_ids, ',')) as bigint), 'order'
+                from user_visit_action where order_category_ids is not null
+                union all
+                select cast(pay_category_ids as bigint), 'pay'
+                from user_visit_action where pay_category_ids is not null)
+            group by category_id, kind""",
+            "user_visit_action",
+        ),
         "category_counts": _with("select * from category_counts", "category_counts"),
         "top_categories": _with("select * from top_categories", "top_categories"),
         "top_sessions": _with("select * from top_sessions", "top_sessions"),
@@ -394,6 +419,7 @@ def oracle_sql() -> dict[str, str]:
             "transitions", "start_pv",
         ),
         "area_product_clicks": _with("select * from area_clicks", "area_clicks"),
+        "area_product_sql": _with("select * from area_clicks", "area_clicks"),
         "area_top3_product": area_top,
         "news_page_pv": _with(
             "select date, pageid, count(*) as pv from news_access "
@@ -452,6 +478,7 @@ def oracle_sql() -> dict[str, str]:
             "user_visit_action",
         ),
         "salted_join": session_users,
+        "map_side_join": session_users,
         "skew_split_join": session_users,
         "skew_join": session_users,
         "top_n_per_group": """

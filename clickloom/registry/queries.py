@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions import dates, text
@@ -12,6 +12,7 @@ from clickloom.functions.numbers import round_half_up
 from clickloom.functions.sql import register_sql_functions
 from clickloom.operators import ads, categories, funnel, links, news, products, ranking, sessions
 from clickloom.operators import skew
+from clickloom.operators.skew import estimated_bytes
 from clickloom.plans import jobs
 from clickloom.sinks.append import append, replace_groups
 from clickloom.sinks.batches import BatchTable, upsert
@@ -165,6 +166,11 @@ def session_hourly_counts(t: Tables) -> DataFrame:
     return sessions.session_hourly_counts(_sessions(t))
 
 
+@query
+def sample_quotas(t: Tables) -> DataFrame:
+    return sessions.sample_quotas(materialize(_sessions(t), "session-profiles"), total=1000)
+
+
 @query
 def session_sample(t: Tables) -> DataFrame:
     profiles = materialize(_sessions(t), "session-profiles")
@@ -176,6 +182,13 @@ def session_details(t: Tables) -> DataFrame:
     return _detail_columns(_details(t))
 
 
+@query
+def category_events(t: Tables) -> DataFrame:
+    return categories.category_events(t.actions()).groupBy("category_id", "kind").agg(
+        F.count("*").alias("events")
+    )
+
+
 @query
 def category_counts(t: Tables) -> DataFrame:
     return categories.category_counts(_details(t))
@@ -219,8 +232,11 @@ def page_transitions(t: Tables) -> DataFrame:
 
 @query
 def page_transitions_split(t: Tables) -> DataFrame:
-    """The same with the largest sessions cut by second."""
-    return funnel.page_transitions(t.actions(), parts=20_000, min_rows=1, fraction=1, min_bytes=0)
+    """The same with the 20 longest sessions cut in pieces as if they were hot."""
+    actions = t.actions()
+    longest = actions.groupBy("session_id").count().orderBy(F.desc("count"), "session_id").limit(20)
+    hot = [Row(session_id=r["session_id"], _chunks=2) for r in longest.collect()]
+    return funnel.page_transitions(actions, hot)
 
 
 @query
@@ -255,6 +271,22 @@ def area_product_clicks(t: Tables) -> DataFrame:
     return _area_clicks(t)
 
 
+@query
+def area_product_sql(t: Tables) -> DataFrame:
+    """The same counts as SQL text over views, with the functions registered by name."""
+    register_sql_functions(t.spark)
+    tables.register_views({"clicks": tables.scan_clicks(t.actions()), "city_info": t.cities()})
+    return t.spark.sql(
+        """
+        select area, product_id, count(*) as click_count,
+               listagg(distinct city, ',') within group (order by city) as city_infos
+        from (select area, product_id, concat_long_string(city_id, city_name, ':') as city
+              from clicks join city_info using (city_id))
+        group by area, product_id
+        """
+    )
+
+
 @query
 def area_top3_product(t: Tables) -> DataFrame:
     return products.area_top_products(_area_clicks(t), t.products())
@@ -346,8 +378,13 @@ def _click_stream(t: Tables) -> DataFrame:
     return ad_log.parse_ad_log(t.ad_log(t.event_stream()))
 
 
-def _run(frame: DataFrame, process, root: str, mode: str) -> None:
-    stream.start(frame, process, f"{root}/checkpoint", mode, interval=None).awaitTermination()
+def _run(t: Tables, frame: DataFrame, process, root: str, mode: str) -> None:
+    """Work through the stream, its state in one part per 32 MB of log, at least 4 and at most
+    the shuffle partitions of the session."""
+    by_size = max(4, estimated_bytes(t.raw("events")) >> 25)
+    parts = min(by_size, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    checkpoint = f"{root}/checkpoint"
+    stream.start(frame, process, checkpoint, mode, None, parts).awaitTermination()
 
 
 @query
@@ -356,7 +393,7 @@ def ad_blacklist_stream(t: Tables) -> DataFrame:
     who is listed in the end."""
     root = work_path(t.spark, "ad-clicks")
     found = stream.AdTables.under(t.spark, root)
-    _run(_click_stream(t), stream.click_batch(found, THRESHOLD), root, "append")
+    _run(t, _click_stream(t), stream.click_batch(found, THRESHOLD), root, "append")
     return found.blacklist.read()
 
 
@@ -367,7 +404,7 @@ def _stat_stream(t: Tables) -> stream.AdTables:
     found.blacklist.write(_blacklist(_clicks(t)), 0)
     kept = stream.filter_blacklist(_click_stream(t), found.blacklist.read())
     counts = stream.running_ad_stat(kept, NEVER_LATE)
-    _run(counts, stream.stat_batch(found), root, "update")
+    _run(t, counts, stream.stat_batch(found), root, "update")
     return found
 
 
@@ -385,7 +422,7 @@ def ad_province_top3_stream(t: Tables) -> DataFrame:
 def ad_click_trend_stream(t: Tables) -> DataFrame:
     root = work_path(t.spark, "ad-trend")
     found = stream.trend_table(t.spark, f"{root}/ad_click_trend")
-    _run(stream.click_trend(_click_stream(t), NEVER_LATE), found.write, root, "update")
+    _run(t, stream.click_trend(_click_stream(t), NEVER_LATE), found.write, root, "update")
     return found.read()
 
 
@@ -394,7 +431,7 @@ def ad_click_trend_sliding(t: Tables) -> DataFrame:
     root = work_path(t.spark, "ad-sliding")
     found = stream.sliding_table(t.spark, f"{root}/ad_sliding")
     counts = stream.sliding_clicks(_click_stream(t), lateness=NEVER_LATE)
-    _run(counts, found.write, root, "update")
+    _run(t, counts, found.write, root, "update")
     return found.read().withColumn("window_start", dates.format_time(F.col("window_start")))
 
 
@@ -442,6 +479,12 @@ def skew_join(t: Tables) -> DataFrame:
     )
 
 
+@query
+def map_side_join(t: Tables) -> DataFrame:
+    profiles = sessions.session_aggregate(t.actions())
+    return _session_users(skew.map_side_join(profiles, t.users(), "user_id"))
+
+
 @query
 def top_n_per_group(t: Tables) -> DataFrame:
     return ranking.top_n_per_group(

@@ -29,9 +29,14 @@ NEWS_ACCESS = (
 
 TASK = "task_id bigint, task_param string"
 
-AD_CLICK = (
-    "ts timestamp, date string, province string, city string, user_id bigint, ad_id bigint"
-)
+INPUTS = {
+    "user_visit_action": USER_VISIT_ACTION,
+    "user_info": USER_INFO,
+    "product_info": PRODUCT_INFO,
+    "city_info": CITY_INFO,
+    "news_access": NEWS_ACCESS,
+    "task": TASK,
+}
 
 # Columns of the result tables, in order.
 OUTPUT_COLUMNS = {

@@ -9,6 +9,17 @@ from clickloom import schemas
 from clickloom.functions.dates import parse_time
 
 
+def read_input(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """An input table stored as parquet, read by its fixed schema."""
+    return spark.read.schema(schemas.INPUTS[name]).parquet(path)
+
+
+def register_views(frames: dict[str, DataFrame]) -> None:
+    """Make frames visible to SQL text under their names, for the session."""
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+
+
 def scan_actions(actions: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """Rows whose ``date`` text lies in the closed range; a missing bound is open.
 

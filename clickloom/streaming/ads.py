@@ -185,16 +185,31 @@ def start(
     checkpoint: str,
     mode: str = "append",
     interval: str | None = INTERVAL,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a query; it continues from ``checkpoint`` if that exists.
 
-    ``interval=None`` works through what is there now and stops.
+    ``interval=None`` works through what is there now and stops. ``state_partitions`` is the
+    number of parts the state of a new stateful query is kept in; it cannot change afterwards,
+    so it should follow the size the state will have. By default it is the shuffle partitions
+    of the session, as in Spark.
     """
     writer = stream.writeStream.outputMode(mode).foreachBatch(process)
     writer = writer.option("checkpointLocation", checkpoint)
     if interval is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=interval).start()
+        writer = writer.trigger(availableNow=True)
+    else:
+        writer = writer.trigger(processingTime=interval)
+    if state_partitions is None:
+        return writer.start()
+    # A query takes the setting of its session over when it starts.
+    conf = stream.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
 
 
 def sliding_table(spark: SparkSession, path: str) -> BatchTable:
