@@ -43,7 +43,7 @@ def parse_ad_log(log: DataFrame, column: str = "value") -> DataFrame:
         _with_fields(log, column)
         .where(_readable())
         .select(
-            ts.alias("ts"), F.date_format(ts, "yyyy-MM-dd").alias("date"),
+            ts.alias("ts"), ts.cast("date").cast("string").alias("date"),
             "province", "city", "user_id", "ad_id",
         )
     )
