@@ -18,10 +18,8 @@ def between(value: Column, low: int | None, high: int | None) -> Column | None:
 
 
 def in_list(value: Column, wanted: Sequence | None) -> Column | None:
-    """A scalar column equal to one of ``wanted``."""
-    if not wanted:
-        return None
-    return F.coalesce(value.isin(list(wanted)), F.lit(False))
+    """A text column, itself possibly a comma list, with an element among ``wanted``."""
+    return any_in(F.split(value, ","), wanted)
 
 
 def any_in(values: Column, wanted: Sequence | None) -> Column | None:

@@ -135,7 +135,7 @@ def test_dates(spark):
 
 def test_predicates_pass_without_parameter_and_fail_without_data(spark):
     rows = spark.createDataFrame(
-        [(20, "IT", ["a", "b"]), (60, "x", []), (None, None, None)],
+        [(20, "law,IT", ["a", "b"]), (60, "x", []), (None, None, None)],
         "age int, job string, words array<string>",
     )
 
@@ -146,6 +146,7 @@ def test_predicates_pass_without_parameter_and_fail_without_data(spark):
     assert kept(predicates.between(age, 20, 59)) == [20]
     assert kept(predicates.between(age, 50, None)) == [20, 60, None]
     assert kept(predicates.in_list(job, ["IT", "y"])) == [20]
+    assert kept(predicates.in_list(job, ["I", "law,IT"])) == []
     assert kept(predicates.in_list(job, [])) == [20, 60, None]
     assert kept(predicates.any_in(words, ["b", "z"])) == [20]
     assert kept(predicates.any_in(words, None)) == [20, 60, None]

@@ -147,3 +147,9 @@ def test_spark_splits_the_sessions_of_a_hot_user(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_keys_of_a_table_of_counts(spark):
+    counts = spark.createDataFrame([("a", 70), ("b", 20), ("b", 5), ("c", 5)], "k string, n bigint")
+    hot = skew.hot_keys(counts, "k", parts=10, min_rows=1, min_bytes=0, weight="n")
+    assert [(h["k"], h["_chunks"]) for h in hot] == [("a", 7), ("b", 3)]
