@@ -4,17 +4,41 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def work_path(spark: SparkSession, label: str) -> str:
-    """A new path under the folder the cluster names in ``spark.checkpoint.dir``.
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share.
 
-    Only where that is unset (local tests) does it fall back to a temporary folder.
+    It is the one named by ``spark.checkpoint.dir``, else the context's checkpoint folder. Only a
+    local session (one machine) may do without and gets a temporary folder; on a cluster that
+    would lose data without a word, so it is an error there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="clickloom-")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    named = spark.conf.get("spark.checkpoint.dir", "")
+    if named:
+        return named.rstrip("/")
+    context = spark.sparkContext
+    given = context.getCheckpointDir()
+    if given:
+        return given.rstrip("/")
+    if not context.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="clickloom-")
+
+
+def work_path(spark: SparkSession, label: str, root: str | None = None) -> str:
+    """A new path under ``root``, by default the shared folder."""
+    return f"{(root or shared_root(spark)).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path that this library wrote, on whatever file system it lies."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
@@ -26,3 +50,13 @@ def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame
     path = path or work_path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder for the tables of one job, deleted when the job has used them."""
+    path = work_path(spark, label)
+    try:
+        yield path
+    finally:
+        remove(spark, path)
