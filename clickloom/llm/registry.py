@@ -4,22 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import simhash
+from clickloom.llm import mixing, simhash, sql, token_files, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Token files of every document, written and read back."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.token_report(_table(spark, folder, "documents"), tokenizer, end_id=1)
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mix_report(_table(spark, folder, "documents"))
+
+
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Archive of every page, written and read back."""
+    return warc.archive_report(_table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_token_files": op4_token_files,
     "op5_simhash": op5_simhash,
+    "op7_mixing": op7_mixing,
+    "op10_warc": op10_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_mixing": sql.MIXING,
+    "op10_warc": sql.WARC,
+}
