@@ -7,13 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import mixing, simhash, sql, token_files, warc
+from clickloom.llm import mixing, quality, simhash, sql, token_files, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Base statistics and verdict of every document."""
+    return quality.rules_report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Token files of every document, written and read back."""
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -30,15 +35,22 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(_table(spark, folder, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.quality_report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Archive of every page, written and read back."""
     return warc.archive_report(_table(spark, folder, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality_rules": op3_quality_rules,
     "op4_token_files": op4_token_files,
     "op5_simhash": op5_simhash,
     "op7_mixing": op7_mixing,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_warc": op10_warc,
 }
 
