@@ -6,14 +6,21 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickloom.llm import mixing, quality, simhash, sql, token_files, warc
+from clickloom.llm import mixing, quality, simhash, sql, substring_dedup, token_files, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without repeated passages."""
+    made = substring_dedup.remove_repeats(_table(spark, folder, "documents"))
+    return made.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base statistics and verdict of every document."""
     return quality.rules_report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
@@ -46,6 +53,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_token_files": op4_token_files,
     "op5_simhash": op5_simhash,
@@ -55,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": sql.SUBSTRING_DEDUP,
     "op7_mixing": sql.MIXING,
     "op10_warc": sql.WARC,
 }

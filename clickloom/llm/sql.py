@@ -1,5 +1,22 @@
 """DuckDB SQL of the queries that SQL can express, over the whole tables."""
 
+SUBSTRING_DEDUP = r"""
+with d as (
+  select doc_id, text, row_number() over () as r,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+p as (select r, unnest(range(1, len(w) - 33)) as i from d where len(w) >= 35),
+v as (select p.r, p.i, array_to_string(d.w[p.i : p.i + 34], ' ') as g from p join d using (r)),
+c as (select r, i, count(*) over (partition by g) as n from v),
+x as (select distinct r, i + k as i from c, range(35) as t(k) where n > 1),
+k as (
+  select r, string_agg(word, ' ' order by i) as kept, count(*) as n
+  from (select d.r, unnest(d.w) as word, unnest(range(1, len(d.w) + 1)) as i from d) as a
+  anti join x using (r, i) group by r)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(k.n, 0))::bigint as n_removed,
+  sha256(coalesce(k.kept, '')) as kept_sha256
+from d left join k using (r)
+"""
+
 MIXING = r"""
 with d as (
   select doc_id, source,
