@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import mixing, quality, simhash, sql, substring_dedup, token_files, warc
+from clickloom.llm import mixing, quality, simhash, sql, substring_dedup, token_files, token_transducer, warc
+
+TOKEN_LIMIT = 2048
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,6 +39,13 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Token count of every document."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    counts = token_transducer.count_tokens(_table(spark, folder, "documents"), tokenizer)
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mix_report(_table(spark, folder, "documents"))
@@ -57,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_token_files": op4_token_files,
     "op5_simhash": op5_simhash,
+    "op6_token_counts": op6_token_counts,
     "op7_mixing": op7_mixing,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_warc": op10_warc,
