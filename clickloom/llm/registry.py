@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import mixing, quality, simhash, sql, substring_dedup, token_files, token_transducer, warc
+from clickloom.llm import decontamination, html_text, mixing, quality, simhash, sql, substring_dedup, token_files, token_transducer, warc
 
 TOKEN_LIMIT = 2048
 
@@ -23,6 +23,13 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return made.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold benchmark items, with alignment scores."""
+    return decontamination.leak_report(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    )
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base statistics and verdict of every document."""
     return quality.rules_report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
@@ -51,6 +58,11 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(_table(spark, folder, "documents"))
 
 
+def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Visible text of every page."""
+    return html_text.extract(_table(spark, folder, "pages"))
+
+
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Quality score of every document."""
     return quality.quality_report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
@@ -63,11 +75,13 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_decontamination": op2_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op4_token_files": op4_token_files,
     "op5_simhash": op5_simhash,
     "op6_token_counts": op6_token_counts,
     "op7_mixing": op7_mixing,
+    "op8_html_text": op8_html_text,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_warc": op10_warc,
 }
