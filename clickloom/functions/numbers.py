@@ -7,24 +7,27 @@ from pyspark.sql import functions as F
 
 # Multiplying by 2^27 + 1 and subtracting back leaves the upper 26 bits of a double.
 _SPLIT = 134217729.0
-# From here on a double has no digits after the point worth rounding.
-_WHOLE = 1e13
+# From 2^52 on a double has no digits after the point.
+_WHOLE = 4503599627370496.0
 
 
 def round_half_up(x: Column) -> Column:
     """Round a double half up to two decimals by its exact binary value.
 
     ``round(0.015D, 2)`` gives 0.02 because Spark rounds the shortest decimal text; the double
-    itself lies just under 0.015, and the result wanted here is 0.01. ``floor(100 x + 0.5)``
-    can be off by one cent at such edges, so it is compared with the exact value of ``200 x``,
-    kept as the sum of two products that both fit a double. NaN and infinity become NULL.
+    itself lies just under 0.015, and the result wanted here is 0.01. The whole part is split
+    off, which is exact, and the fraction is rounded: ``floor(100 x + 0.5)`` can be off by one
+    cent at such edges, so it is compared with the exact value of ``200 x``, kept as the sum of
+    two products that both fit a double. NaN and infinity become NULL, a negative zero 0.
     """
     x = x.cast("double")
     a = F.abs(x)
-    cents = F.floor(F.when(a < _WHOLE, a).otherwise(0.0) * 100 + 0.5).cast("double")
-    t = a * _SPLIT
-    hi = t - (t - a)
-    lo = a - hi
+    whole = F.floor(F.when(a < _WHOLE, a).otherwise(0.0)).cast("double")
+    part = a - whole
+    cents = F.floor(part * 100 + 0.5).cast("double")
+    t = part * _SPLIT
+    hi = t - (t - part)
+    lo = part - hi
     over_lower_edge = (hi * 200 - (cents * 2 - 1)) + lo * 200
     over_upper_edge = (hi * 200 - (cents * 2 + 1)) + lo * 200
     exact = (
@@ -32,8 +35,11 @@ def round_half_up(x: Column) -> Column:
         .when(over_upper_edge >= 0, cents + 1)
         .otherwise(cents)
     )
-    rounded = F.when(x < 0, -exact).otherwise(exact) / 100
-    return F.when(F.isnan(x) | (a == float("inf")), None).when(a < _WHOLE, rounded).otherwise(x)
+    # Below 2^46 a hundredfold fits a double exactly and one division gives the nearest value.
+    small = (whole * 100 + exact) / 100
+    rounded = F.when(a < 70368744177664.0, small).otherwise(whole + exact / 100)
+    signed = F.when(x < 0, F.when(rounded == 0, 0.0).otherwise(-rounded)).otherwise(rounded)
+    return F.when(F.isnan(x) | (a == float("inf")), None).when(a < _WHOLE, signed).otherwise(x)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

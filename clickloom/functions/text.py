@@ -49,8 +49,11 @@ def pad_two(text: Column) -> Column:
 
 
 def _packed(text: Column) -> Column:
-    """``k=v|k=v`` as an array of (k, v); pieces without exactly one value are left out."""
-    pairs = F.transform(F.split(text, r"\|"), lambda piece: F.split(piece, "="))
+    """``k=v|k=v`` as an array of (k, v); pieces without exactly one value are left out. Empty
+    parts at the end of a piece do not count."""
+    pairs = F.transform(
+        F.split(text, r"\|"), lambda piece: F.split(F.regexp_replace(piece, "=+$", ""), "=")
+    )
     return F.filter(pairs, lambda p: (F.size(p) == 2) & (p[1] != ""))
 
 

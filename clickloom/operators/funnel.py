@@ -17,7 +17,13 @@ _ORDER = ("action_time", "action_id")
 def page_transitions(
     actions: DataFrame, hot: Sequence[Row] | None = None, **detect
 ) -> DataFrame:
-    """(session_id, from_page, to_page) for each two consecutive views of a session.
+    """(session_id, from_page, to_page) for each two consecutive views of a session."""
+    return page_steps(actions, hot, **detect).where("follows").drop("follows")
+
+
+def page_steps(actions: DataFrame, hot: Sequence[Row] | None = None, **detect) -> DataFrame:
+    """Every view with the one before it in its session: (session_id, from_page, to_page,
+    follows), where ``follows`` is true, or NULL on the first view of a session.
 
     Views are ordered by time, then action id, which is unique in its session. An ordinary
     session is one window group; a hot session (see :func:`clickloom.operators.skew.hot_keys`)
@@ -35,14 +41,14 @@ def page_transitions(
 def _paired(
     views: DataFrame, w: WindowSpec, page: str = "page_id", before: str = "page_id"
 ) -> DataFrame:
-    """Each row's ``page`` with the ``before`` of the row ahead of it in its window group."""
-    paired = views.select(
+    """Each row's ``page`` with the ``before`` of the row ahead of it in its window group;
+    ``follows`` is NULL on the first row."""
+    return views.select(
         "session_id",
         F.lag(before).over(w).alias("from_page"),
         F.col(page).alias("to_page"),
-        F.lag(F.lit(True)).over(w).alias("_has_previous"),
+        F.lag(F.lit(True)).over(w).alias("follows"),
     )
-    return paired.where("_has_previous").drop("_has_previous")
 
 
 def _pair_pieces(views: DataFrame, hot: Sequence[Row]) -> DataFrame:
@@ -62,9 +68,10 @@ def _pair_pieces(views: DataFrame, hot: Sequence[Row]) -> DataFrame:
         .withColumn("_piece", F.spark_partition_id()),
         "session-pieces",
     )
-    others = views.join(chunks, "session_id", "left_anti").withColumn("_piece", F.lit(0))
+    others = views.join(chunks, "session_id", "left_anti")
+    cold = _paired(others, Window.partitionBy("session_id").orderBy(*_ORDER))
     within = _paired(
-        others.unionByName(pieces), Window.partitionBy("session_id", "_piece").orderBy(*_ORDER)
+        pieces, Window.partitionBy("session_id", "_piece").orderBy(*_ORDER)
     )
     by = F.struct(*_ORDER)
     ends = pieces.groupBy("session_id", "_piece").agg(
@@ -73,7 +80,8 @@ def _pair_pieces(views: DataFrame, hot: Sequence[Row]) -> DataFrame:
     seams = _paired(
         ends, Window.partitionBy("session_id").orderBy("_piece"), "first_page", "last_page"
     )
-    return within.unionByName(seams)
+    # The first view of each piece comes from the seams, which know what went before it.
+    return cold.unionByName(within.where("follows")).unionByName(seams)
 
 
 def _steps(flow: Sequence[int]) -> list[tuple[int, int]]:
@@ -113,16 +121,17 @@ def page_convert_rates(
 
     The first step is divided by the views of the start page, each later one by the step
     before it. A step without views, or a start page without views, counts ``missing_as``.
-    Both inputs are single counters per step, so all steps come out of one aggregation.
+    All steps and the start page come out of one scan and one aggregation.
     """
     steps = _steps(flow)
-    counters = page_transitions(actions, hot).agg(
+    # Every view is the end of one step row, so the start page is counted in the same pass.
+    counters = page_steps(actions, hot).agg(
+        F.count_if(F.col("to_page") == flow[0]).alias("pv_0"),
         *(
-            F.count_if((F.col("from_page") == a) & (F.col("to_page") == b)).alias(f"pv_{i}")
+            F.count_if(F.col("follows") & (F.col("from_page") == a) & (F.col("to_page") == b)).alias(f"pv_{i}")
             for i, (a, b) in enumerate(steps, 1)
-        )
+        ),
     )
-    start = start_page_pv(actions, flow).select(F.col("start_pv").alias("pv_0")).scalar()
     # An absent count is NULL here and takes the stand-in.
     seen = [F.col("pv_0")] + [F.col(f"pv_{i}") for i in range(1, len(steps) + 1)]
     filled = [F.when(c > 0, c).otherwise(F.lit(missing_as).cast("bigint")) for c in seen]
@@ -138,8 +147,7 @@ def page_convert_rates(
         )
     )
     return (
-        counters.withColumn("pv_0", start)
-        .select(F.inline(rows))
+        counters.select(F.inline(rows))
         .withColumn("convert_rate", ratio(F.col("pv"), F.col("base_pv")))
     )
 

@@ -34,13 +34,19 @@ def host_base(url: Column) -> Column:
 
 
 def resolve_link(page_url: Column, link: Column) -> Column:
-    """Full URL of a link found on a page."""
+    """Full URL of a link found on a page.
+
+    A link beside a page without a path is below the page's host. The scheme of a full link
+    may be in upper case.
+    """
     scheme = F.regexp_extract(page_url, "^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    folder = F.regexp_replace(page_url, "/[^/]*$", "")
+    folder = F.when(
+        page_url.rlike("^[A-Za-z][A-Za-z0-9+.-]*://[^/]*$"), host_base(page_url)
+    ).otherwise(F.regexp_replace(page_url, "/[^/]*$", ""))
     return (
         F.when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
         .when(link.startswith("/"), F.concat(host_base(page_url), link))
-        .when(link.startswith("http:") | link.startswith("https:"), link)
+        .when(link.rlike("^(?i)https?:"), link)
         .otherwise(F.concat(folder, F.lit("/"), link))
     )
 

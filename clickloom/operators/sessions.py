@@ -138,17 +138,47 @@ def session_hourly_counts(sessions: DataFrame) -> DataFrame:
 
 
 def sample_quotas(sessions: DataFrame, total: int = 100) -> DataFrame:
-    """Sessions to extract per (date, hour): ``total`` shared evenly by the days, each day's
-    share in proportion to the hours, fractions cut off."""
+    """Sessions to extract per (date, hour): ``total`` of them, or all if there are fewer.
+
+    The days share them evenly; a day with fewer sessions than its part gives all, and the
+    other days share what is left (odd ones go to the earliest days). Within a day the hours
+    share in proportion to their sessions, the largest remainders rounded up (ties: the earlier
+    hour). All of it is integer arithmetic on the hourly counts.
+    """
     hourly = sessions.groupBy(
         F.date_format("start_time", "yyyy-MM-dd").alias("date"),
         F.date_format("start_time", "HH").alias("hour"),
     ).agg(F.count("*").alias("session_count"))
-    days = hourly.agg(F.count_distinct("date")).scalar()
-    per_day = F.try_divide(F.lit(total).cast("long"), days)
-    day_count = F.sum("session_count").over(Window.partitionBy("date"))
-    quota = F.floor(F.col("session_count") * F.floor(per_day) / day_count)
-    return hourly.select("date", "hour", "session_count", quota.alias("quota"))
+    # One row per day from here: days in order of their size, those that give all come first.
+    daily = hourly.groupBy("date").agg(F.sum("session_count").alias("day_count"))
+    every = Window.partitionBy()
+    by_size = Window.orderBy("day_count", "date")
+    before = F.coalesce(
+        F.sum("day_count").over(by_size.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    wanted = F.least(F.lit(total).cast("long"), F.sum("day_count").over(every))
+    daily = (
+        daily.withColumn("wanted", wanted)
+        .withColumn("days_left", F.count("*").over(every) - F.row_number().over(by_size) + 1)
+        .withColumn("all_of_it", F.col("day_count") * F.col("days_left") <= F.col("wanted") - before)
+        .withColumn("rest", F.col("wanted") - F.coalesce(F.sum(F.when(F.col("all_of_it"), F.col("day_count"))).over(every), F.lit(0)))
+        .withColumn("sharing", F.count_if(~F.col("all_of_it")).over(every))
+        .withColumn("nth", F.row_number().over(Window.orderBy("all_of_it", "date")))
+    )
+    share = F.expr("rest div sharing + if(nth <= rest % sharing, 1, 0)")
+    daily = daily.select("date", "day_count", F.when(F.col("all_of_it"), F.col("day_count")).otherwise(share).alias("day_quota"))
+    day = Window.partitionBy("date")
+    return (
+        hourly.join(daily, "date")
+        .withColumn("part", F.expr("day_quota * session_count div day_count"))
+        .withColumn("over", F.expr("day_quota * session_count % day_count"))
+        .withColumn("missing", F.col("day_quota") - F.sum("part").over(day))
+        .withColumn("nth", F.row_number().over(day.orderBy(F.desc("over"), "hour")))
+        .select(
+            "date", "hour", "session_count",
+            (F.col("part") + (F.col("nth") <= F.col("missing")).cast("long")).alias("quota"),
+        )
+    )
 
 
 def sample_sessions(sessions: DataFrame, total: int = 100, seed: int = 9) -> DataFrame:

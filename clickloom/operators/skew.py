@@ -1,12 +1,13 @@
 """Joins and aggregations that stay balanced when a few keys hold most rows.
 
-A key is *hot* when it alone holds more than ``1/parts`` of the rows. There can be fewer than
-``parts`` such keys, whatever the data. A hot key with share ``s`` is cut into ``ceil(s*parts)``
-chunks, so no chunk holds more than about ``1/parts`` of the rows, and the copies made of the
-other side are at most ``2*parts`` chunks altogether.
+A key is *hot* when it holds more than ``target_rows`` rows, what one task should get. It is cut
+into ``ceil(rows / target_rows)`` chunks, and its rows of the other side are copied to each. There
+can be no more hot keys, and at most twice as many chunks, than the input's rows divided by
+``target_rows``; neither the size of files nor the number of partitions or keys plays a part.
 
 Row placement is a hash of the row's content and its input partition. Unlike a random number
-it is the same when a lost task runs again, and equal rows from different partitions spread.
+it is the same when a lost task runs again, and equal rows from different partitions spread. A
+count of rows within the partition would not be safe there: rows may arrive in another order.
 """
 
 from __future__ import annotations
@@ -24,18 +25,24 @@ _COPIES_ALL = ("inner", "left", "left_outer", "leftouter", "left_semi", "leftsem
                "leftanti")
 # Fixed value: the size up to which a side is worth sending to every task.
 BROADCAST_LIMIT = 20_971_520
-# The most hot keys worth a chunk of their own; colder ones take the ordinary path.
-_MAX_HOT = 1000
+# Rows of one key that a task can hold, sort and write without trouble.
+TARGET_ROWS = 4_000_000
 
 
 def _names(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    """Maps have no hash in Spark."""
+    return "map<" in kind.simpleString()
+
+
 def placement(df: DataFrame, n: int | Column) -> Column:
     """A number in ``[0, n)`` per row, stable across task retries."""
     n = F.lit(n) if isinstance(n, int) else n
-    content = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns), F.spark_partition_id())
+    plain = [f.name for f in df.schema if not _holds_map(f.dataType)]
+    content = F.xxhash64(*(F.col(f"`{c}`") for c in plain), F.spark_partition_id())
     return F.pmod(content, n.cast("bigint")).cast("int")
 
 
@@ -47,27 +54,20 @@ def estimated_bytes(df: DataFrame) -> int:
 def hot_keys(
     df: DataFrame,
     on: str | Sequence[str],
-    parts: int | None = None,
-    min_rows: int = 1_000_000,
+    target_rows: int = TARGET_ROWS,
     fraction: float = 0.01,
     seed: int = 9,
-    min_bytes: int = 256 << 20,
     weight: str | None = None,
 ) -> list[Row]:
-    """Keys holding more than ``1/parts`` of the rows, with the chunks to cut each into.
+    """Keys of more than ``target_rows`` rows, with the chunks to cut each into, in one job.
 
     Counts a sample of the key columns alone. What is found only steers where rows go; every
-    row is joined either way, so a sampling error costs balance, never rows. ``parts`` defaults
-    to the shuffle partitions of the session. Keys with fewer than ``min_rows`` rows fit one
-    task and are left alone, as is a whole input that Spark estimates under ``min_bytes``. At
-    most 1000 rows reach the driver. With ``weight`` each row stands for that many rows: a
-    table of counts tells the hot keys of the table it was counted from, without a sample.
+    row is joined either way, so a sampling error costs balance, never rows. The list is
+    shorter than the input's rows divided by ``target_rows``. With ``weight`` each row stands
+    for that many rows: a table of counts tells the hot keys of the table it was counted from,
+    without a sample.
     """
-    if estimated_bytes(df) < min_bytes:
-        return []
-    spark = df.sparkSession
     on = _names(on)
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if weight is not None:
         fraction = 1
         counts = df.groupBy(*on).agg(F.sum(weight).alias("_rows"))
@@ -76,21 +76,15 @@ def hot_keys(
         if fraction < 1:
             sampled = sampled.sample(False, fraction, seed)
         counts = sampled.groupBy(*on).agg(F.count("*").alias("_rows"))
-    heavy = counts.where(F.col("_rows") >= min_rows * fraction)
-    top = heavy.orderBy(F.desc("_rows")).limit(_MAX_HOT).collect()
-    if not top:
-        return []
-    total = counts.agg(F.sum("_rows")).first()[0]
-    found = []
-    for row in top:
-        chunks = -(-row["_rows"] * parts // total)
-        if chunks > 1:
-            found.append(Row(**{k: row[k] for k in on}, **{_CHUNKS: int(chunks)}))
-    return found
+    most = target_rows * fraction
+    chunks = F.ceil(F.col("_rows") / F.lit(most)).cast("int").alias(_CHUNKS)
+    found = counts.where(F.col("_rows") > most).select(*on, chunks).collect()
+    return sorted(found, key=lambda row: (-row[_CHUNKS], repr(row)))
 
 
 def hot_frame(like: DataFrame, on: list[str], hot: Sequence[Row]) -> DataFrame:
-    """The hot keys as a frame: local rows, at most 1000 of them, so always small to broadcast."""
+    """The hot keys as a frame. Their number is bounded (see :func:`hot_keys`): 10^12 rows have
+    under 250,000, so it is small enough to send to every task."""
     fields = [like.schema[k] for k in on] + [T.StructField(_CHUNKS, T.IntegerType())]
     fields = [T.StructField(f.name, f.dataType, True) for f in fields]
     rows = [tuple(h[k] for k in on) + (h[_CHUNKS],) for h in hot]
@@ -164,26 +158,20 @@ def skew_split_join(
     left: DataFrame,
     right: DataFrame,
     on: str,
-    n: int = 100,
+    n: int | None = None,
+    target_rows: int = TARGET_ROWS,
     fraction: float = 0.1,
     seed: int = 9,
-    hottest: int = 1,
 ) -> DataFrame:
-    """Inner join in two parts: the hottest keys of a sample salted ``n`` ways, the rest plainly.
+    """Inner join that salts the hot keys of a sample and joins the rest plainly, in one pass.
 
-    The keys are fetched first and stand in the plan as constants, so both parts always agree
-    on which rows are whose.
+    All keys above ``target_rows`` are salted, each ``n`` ways or (by default) into as many
+    chunks as it needs; other keys have the single salt 0. Both sides are read once.
     """
-    top = (
-        left.select(on).where(F.col(on).isNotNull()).sample(False, fraction, seed)
-        .groupBy(on).count().orderBy(F.desc("count"), on).limit(hottest).collect()
-    )
-    keys = [row[on] for row in top]
-    if not keys:
-        return left.join(right, on)
-    is_hot = F.col(on).isin(keys)
-    rest = left.where(~is_hot).join(right.where(~is_hot), on)
-    return salted_join(left.where(is_hot), right.where(is_hot), on, n).unionByName(rest)
+    hot = hot_keys(left, on, target_rows, fraction, seed)
+    if n is not None:
+        hot = [Row(**(h.asDict() | {_CHUNKS: n})) for h in hot]
+    return skew_join(left, right, on, "inner", hot)
 
 
 _MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}

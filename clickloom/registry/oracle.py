@@ -169,7 +169,9 @@ _VIEWS = {
                                     regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1),
                                     '^.*@', ''), ':80$', ''),
                                 link)
-                    when starts_with(link, 'http:') or starts_with(link, 'https:') then link
+                    when regexp_matches(link, '^[hH][tT][tT][pP][sS]?:') then link
+                    when not contains(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '/')
+                    then concat(url, '/', link)
                     else concat(regexp_replace(url, '/[^/]*$', ''), '/', link) end as target
         from links""",
     "tasks": """
@@ -247,14 +249,16 @@ _ACTION_TEXT = "replace (strftime(action_time, '%Y-%m-%d %H:%M:%S') as action_ti
 
 
 def _length_stats() -> str:
-    from clickloom.operators.sessions import STEP_BUCKETS, VISIT_BUCKETS
-
+    buckets = {
+        "visit_length": "1s_3s 1 3, 4s_6s 4 6, 7s_9s 7 9, 10s_30s 10 30, 30s_60s 31 60, 1m_3m 61 180, "
+        "3m_10m 181 600, 10m_30m 601 1800, 30m 1801 9999999999",
+        "step_length": "1_3 1 3, 4_6 4 6, 7_9 7 9, 10_30 10 30, 30_60 31 60, 60 61 9999999999",
+    }
     counts, ratios = [], []
-    for kind, buckets in (("visit_length", VISIT_BUCKETS), ("step_length", STEP_BUCKETS)):
-        for name, low, high in buckets:
-            top = "" if high is None else f" and {kind} <= {high}"
+    for kind, bounds in buckets.items():
+        for name, low, high in map(str.split, bounds.split(",")):
             column = f"{kind}_{name}"
-            counts.append(f"count(*) filter (where {kind} >= {low}{top}) as {column}")
+            counts.append(f"count(*) filter (where {kind} between {low} and {high}) as {column}")
             ratios.append(f"{_ratio(column, 'session_count')} as {column}_ratio")
     inner = f"select count(*) as session_count, {', '.join(counts)} from sessions"
     return _with(f"select *, {', '.join(ratios)} from ({inner})", "sessions")
@@ -275,22 +279,41 @@ def _flow_rates() -> str:
                     group by f.step, f.a, f.b))"""
 
 
-def _sample() -> str:
-    return _with(
-        """
-        select session_id, start_time, search_keywords, click_category_ids from (
-            select s.*, row_number() over (partition by s.date, s.hour
-                                           order by md5(concat('9:', session_id)), session_id) nth,
-                   h.n * (100 // days.n) // d.n as quota
-            from (select *, start_time[1:10] as date, start_time[12:13] as hour from sessions) s
-            join (select start_time[1:10] as date, start_time[12:13] as hour, count(*) as n
-                  from sessions group by 1, 2) h on h.date = s.date and h.hour = s.hour
-            join (select start_time[1:10] as date, count(*) as n from sessions group by 1) d
-              on d.date = s.date
-            cross join (select count(distinct start_time[1:10]) as n from sessions) days)
-        where nth <= quota""",
-        "sessions",
-    )
+def _quotas(total: int) -> str:
+    """From ``src`` (session_id, date, hour): every day in turn gives one session until the total
+    is met; hours share by largest remainder."""
+    return f"""
+        h as (select date, hour, count(*) as n from src group by date, hour),
+        d as (select date, sum(n)::bigint as n from h group by date),
+        turns as (select date, unnest(range(n)) as turn from d),
+        given as (select date, count(*) as q
+                  from (select date from turns order by turn, date limit {total}) group by date),
+        parts as (select h.date, h.hour, h.n, coalesce(q, 0) * h.n // d.n as whole,
+                         coalesce(q, 0) * h.n % d.n as remainder, coalesce(q, 0) as q
+                  from h join d on h.date = d.date left join given on given.date = d.date),
+        quotas as (
+            select date, hour, n as session_count,
+                   (whole + case when row_number() over (partition by date order by remainder desc, hour)
+                                 <= q - sum(whole) over (partition by date) then 1 else 0 end)::bigint as quota
+            from parts)"""
+
+
+_SESSION_TIMES = "src as (select *, start_time[1:10] as date, start_time[12:13] as hour from sessions)"
+_EVENT_TIMES = """
+    src as (select session_id, strftime(t, '%Y-%m-%d') as date, strftime(t, '%H') as hour from (
+        select concat(user_id, '_', cast(ts as date)) as session_id, min(ts) as t
+        from events group by 1))"""
+
+
+def _sample(source: str, total: int, columns: str) -> str:
+    body = f"""
+        {source}, {_quotas(total)}
+        select {columns} from (
+            select src.*, quota, row_number() over (partition by src.date, src.hour
+                order by md5(concat('9:', session_id)), session_id) as nth
+            from src join quotas on src.date = quotas.date and src.hour = quotas.hour)
+        where nth <= quota"""
+    return body
 
 
 _CLICK_COLUMNS = "ms, date, province, city, user_id, ad_id"
@@ -370,17 +393,14 @@ def oracle_sql() -> dict[str, str]:
             "sessions",
         ),
         "sample_quotas": _with(
-            """
-            select date, hour, session_count,
-                   cast(session_count * (1000 // days) // day_count as bigint) as quota
-            from (select *, sum(session_count) over (partition by date) as day_count,
-                         (select count(distinct start_time[1:10]) from sessions) as days
-                  from (select start_time[1:10] as date, start_time[12:13] as hour,
-                               count(*) as session_count
-                        from sessions group by 1, 2)) h""",
+            f", {_SESSION_TIMES}, {_quotas(1000)} select * from quotas", "sessions"
+        ),
+        "session_sample": _with(
+            ", " + _sample(_SESSION_TIMES, 100, "session_id, start_time, search_keywords, click_category_ids"),
             "sessions",
         ),
-        "session_sample": _sample(),
+        "sample_quotas_hours": f"with {_EVENT_TIMES}, {_quotas(100)} select * from quotas",
+        "session_sample_hours": "with " + _sample(_EVENT_TIMES, 25, "session_id, date, hour"),
         "session_details": _with(f"select * {_ACTION_TEXT} from details", "details"),
         "category_events": _with(
             """

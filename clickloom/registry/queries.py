@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions import dates, text
@@ -177,6 +177,25 @@ def session_sample(t: Tables) -> DataFrame:
     return sessions.as_extract_rows(sessions.sample_sessions(profiles))
 
 
+def _hour_sessions(t: Tables) -> DataFrame:
+    """Sessions with their first event's own time, which spreads over all hours."""
+    return t.raw("events").groupBy(
+        F.expr("concat(user_id, '_', cast(cast(ts as date) as string))").alias("session_id")
+    ).agg(F.min(F.col("ts").cast("timestamp")).alias("start_time"))
+
+
+@query
+def sample_quotas_hours(t: Tables) -> DataFrame:
+    return sessions.sample_quotas(materialize(_hour_sessions(t), "hour-sessions"))
+
+
+@query
+def session_sample_hours(t: Tables) -> DataFrame:
+    """Fewer sessions than days, so some days give none."""
+    sample = sessions.sample_sessions(materialize(_hour_sessions(t), "hour-sessions"), total=25)
+    return sample.select("session_id", "date", "hour")
+
+
 @query
 def session_details(t: Tables) -> DataFrame:
     return _detail_columns(_details(t))
@@ -232,11 +251,8 @@ def page_transitions(t: Tables) -> DataFrame:
 
 @query
 def page_transitions_split(t: Tables) -> DataFrame:
-    """The same with the 20 longest sessions cut in pieces as if they were hot."""
-    actions = t.actions()
-    longest = actions.groupBy("session_id").count().orderBy(F.desc("count"), "session_id").limit(20)
-    hot = [Row(session_id=r["session_id"], _chunks=2) for r in longest.collect()]
-    return funnel.page_transitions(actions, hot)
+    """The same with every session of more than eight views cut in pieces as if it were hot."""
+    return funnel.page_transitions(t.actions(), target_rows=8, fraction=1)
 
 
 @query
@@ -465,17 +481,17 @@ def salted_join(t: Tables) -> DataFrame:
 @query
 def skew_split_join(t: Tables) -> DataFrame:
     profiles = sessions.session_aggregate(t.actions())
-    return _session_users(skew.skew_split_join(profiles, t.users(), "user_id"))
+    return _session_users(
+        skew.skew_split_join(profiles, t.users(), "user_id", target_rows=20, fraction=1)
+    )
 
 
 @query
 def skew_join(t: Tables) -> DataFrame:
-    """Joined with every key above a thousandth of the sessions treated as hot."""
+    """Joined with every user of more than five sessions treated as hot."""
     profiles = sessions.session_aggregate(t.actions())
     return _session_users(
-        skew.skew_join(
-            profiles, t.users(), "user_id", parts=1000, min_rows=1, fraction=1, min_bytes=0
-        )
+        skew.skew_join(profiles, t.users(), "user_id", target_rows=5, fraction=1)
     )
 
 

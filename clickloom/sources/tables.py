@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom import schemas
 from clickloom.functions.dates import parse_time
@@ -45,8 +46,31 @@ def scan_clicks(actions: DataFrame, start: str | None = None, end: str | None =
 
 
 def read_access_log(spark: SparkSession, path: str) -> DataFrame:
-    r"""News access log: text fields parted by ``\x01``, missing values written ``null``."""
-    return spark.read.schema(schemas.NEWS_ACCESS).csv(path, sep="\x01", nullValue="null")
+    r"""News access log: text fields parted by ``\x01``, missing values written ``null``.
+
+    The format has no quoting. Lines that do not fit it are in :func:`access_log_rejects`.
+    """
+    return _access_log(spark, path).where("fits").select("row.*")
+
+
+def access_log_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """``line``: the lines of an access log with a wrong number of fields or a bad number."""
+    return _access_log(spark, path).where("not fits").select("line")
+
+
+def _access_log(spark: SparkSession, path: str) -> DataFrame:
+    """Each ``line`` with its typed ``row``, and whether it ``fits`` the format."""
+    fields = T.StructType.fromDDL(schemas.NEWS_ACCESS)
+    lines = spark.read.text(path).select(
+        F.col("value").alias("line"), F.split("value", "\x01").alias("parts")
+    )
+    given = [F.nullif(F.get("parts", F.lit(i)), F.lit("null")) for i in range(len(fields))]
+    typed = [x.try_cast(f.dataType) for x, f in zip(given, fields)]
+    fits = F.size("parts") == len(fields)
+    for x, y in zip(given, typed):
+        fits = fits & (x.isNull() | y.isNotNull())
+    row = F.struct(*(y.alias(f.name) for y, f in zip(typed, fields)))
+    return lines.select("line", row.alias("row"), fits.alias("fits"))
 
 
 def read_jdbc_table(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:

@@ -163,3 +163,27 @@ def test_sql_functions(spark):
     )
     assert tuple(row.first()) == ("1:a", "2", "x_y")
     assert "Python" not in row._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("x, expected", [
+    (1e13 + 0.125, 1e13 + 0.13), (2e13 + 0.375, 2e13 + 0.38), (-0.001, 0.0), (0.015, 0.01), (0.125, 0.13),
+    (-0.125, -0.13), (2.0**51 + 0.5, 2.0**51 + 0.5), (2.0**45 + 0.0078125, 2.0**45 + 0.01), (1e300, 1e300), (0.995, 0.99),
+])
+def test_rounding_of_large_and_small_values(spark, x, expected):
+    got = spark.createDataFrame([(x,)], "x double").select(round_half_up(F.col("x")).alias("r")).first().r
+    assert got == expected and str(got)[0] == str(expected)[0]
+
+
+@given(st.floats(min_value=-4e15, max_value=4e15))
+@settings(max_examples=60, deadline=None)
+def test_rounding_equals_exact_decimals_far_out(spark, x):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    got = spark.createDataFrame([(x,)], "x double").select(round_half_up(F.col("x")).alias("r")).first().r
+    assert got == float(Decimal(x).quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+def test_packed_field_drops_empty_ends(spark):
+    df = spark.createDataFrame([("x=a=|y=b",), ("x==",), ("x=a=b",)], "t string")
+    got = [r.v for r in df.select(text.packed_field(F.col("t"), "x").alias("v")).collect()]
+    assert got == ["a", None, None]

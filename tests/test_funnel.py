@@ -42,10 +42,10 @@ def test_transitions_with_and_without_cut_sessions(spark, seconds):
         "action_time", F.timestamp_micros(F.col("seconds") * 400_000)
     )
     plain = funnel.page_transitions(df)
-    cut = funnel.page_transitions(df, parts=4, min_rows=1, fraction=1, min_bytes=0)
+    cut = funnel.page_transitions(df, target_rows=20, fraction=1)
     assert "_piece" in cut._jdf.queryExecution().analyzed().toString()
     expected = pairs_by_hand(rows)
-    hot = hot_keys(df, "session_id", parts=4, min_rows=1, fraction=1, min_bytes=0)
+    hot = hot_keys(df, "session_id", target_rows=20, fraction=1)
     assert sum(h["_chunks"] for h in hot) > 1
     for got in (plain, cut):
         assert Counter(tuple(r) for r in got.collect()) == expected

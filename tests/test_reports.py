@@ -174,3 +174,14 @@ def test_links(spark):
         ("https://h.com:8080/y",),
     ]
     assert links.crawl_frontier(found, visited).count() == 6
+
+
+def test_links_of_pages_without_a_path_and_schemes_in_upper_case(spark):
+    from clickloom.operators import links
+
+    df = spark.createDataFrame(
+        [("http://a.com", "x.html"), ("http://a.com/p/q", "HTTP://b.com/x"), ("http://a.com/p/q", "x"), ("http://a.com/", "y")],
+        "url string, link string",
+    )
+    got = [r.t for r in df.select(links.resolve_link(df.url, df.link).alias("t")).collect()]
+    assert got == ["http://a.com/x.html", "HTTP://b.com/x", "http://a.com/p/x", "http://a.com/y"]

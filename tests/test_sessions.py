@@ -137,9 +137,9 @@ def test_sample_follows_the_quotas(spark):
         (r["date"][-2:], r["hour"]): r["n"]
         for r in got.groupBy("date", "hour").agg(F.count("*").alias("n")).collect()
     }
-    # 20 a day; day 3 has fewer sessions than its share and gives its quota of 4 * 20 / 4.
+    # Day 3 has fewer sessions than a third and gives all; the others share the 56 that are left.
     assert counts == {
-        ("01", "00"): 12, ("01", "05"): 6, ("01", "07"): 2, ("02", "03"): 10, ("02", "04"): 10,
+        ("01", "00"): 17, ("01", "05"): 8, ("01", "07"): 3, ("02", "03"): 14, ("02", "04"): 14,
         ("03", "01"): 4,
     }
     again = {r[0] for r in sessions.sample_sessions(df.repartition(5), 60).select("session_id").collect()}
@@ -163,8 +163,31 @@ def test_details_keep_every_action_of_kept_sessions(spark):
     plain = df.join(kept, "session_id", "left_semi")
     from clickloom.operators.skew import hot_keys
 
-    hot = hot_keys(df, "session_id", parts=10, min_rows=1, fraction=1, min_bytes=0)
+    hot = hot_keys(df, "session_id", target_rows=100, fraction=1)
     assert [(h["session_id"], h["_chunks"]) for h in hot] == [("hot", 4)]
     for given in (None, hot):
         got = sessions.session_details(kept, df, given)
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+
+
+@pytest.mark.parametrize("counts, total", [
+    ({(d, h): 50 for d in range(1, 31) for h in range(24)}, 100),
+    ({(d, h): 3 for d in range(1, 29) for h in (3, 9)}, 20),
+    ({(1, 0): 1, (1, 5): 2, (2, 7): 500, (3, 9): 40}, 100),
+    ({(1, 0): 5, (2, 1): 7}, 100),
+    ({(1, 0): 33, (1, 1): 33, (1, 2): 34}, 10),
+])
+def test_quotas_meet_the_total(spark, counts, total):
+    rows = {(r.date, r.hour): r for r in sessions.sample_quotas(started(spark, counts), total).collect()}
+    quotas = {k: r.quota for k, r in rows.items()}
+    assert sum(quotas.values()) == min(total, sum(counts.values()))
+    assert all(0 <= r.quota <= r.session_count for r in rows.values())
+    days = {}
+    for (date, _), r in rows.items():
+        given, there = days.get(date, (0, 0))
+        days[date] = (given + r.quota, there + r.session_count)
+    most = max(given for given, _ in days.values())
+    assert all(given >= most - 1 or given == there for given, there in days.values())
+    for (date, _), r in rows.items():
+        given, there = days[date]
+        assert abs(r.quota - given * r.session_count / there) < 1

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import ranking, skew
 
-FORCED = {"parts": 8, "min_rows": 1, "fraction": 1, "min_bytes": 0}
+FORCED = {"target_rows": 70, "fraction": 1}
 
 
 def rows_of(df):
@@ -40,8 +40,10 @@ def test_skew_joins_equal_the_plain_join(sides, how):
 def test_split_join_equals_the_plain_join(sides):
     left, right = sides
     expected = rows_of(left.join(right, "k"))
-    for hottest in (1, 3):
-        assert rows_of(skew.skew_split_join(left, right, "k", n=5, hottest=hottest)) == expected
+    for target in (20, 100, 10_000):
+        for n in (None, 5):
+            got = skew.skew_split_join(left, right, "k", n=n, target_rows=target, fraction=1)
+            assert rows_of(got) == expected
     assert rows_of(skew.skew_split_join(left.limit(0), right, "k")) == []
 
 
@@ -55,22 +57,54 @@ def test_right_and_full_joins_are_refused(sides):
 def test_two_key_columns(spark):
     left = spark.range(300).select((F.col("id") % 2).alias("a"), (F.col("id") % 3).alias("b"), "id")
     right = left.select("a", "b").distinct().withColumn("name", F.concat("a", F.lit("-"), "b"))
-    got = skew.skew_join(left, right, ["a", "b"], **FORCED)
+    got = skew.skew_join(left, right, ["a", "b"], target_rows=20, fraction=1)
     assert rows_of(got) == rows_of(left.join(right, ["a", "b"]))
 
 
-def test_hot_keys_are_bounded_and_cut_by_share(spark):
+def test_hot_keys_are_cut_by_rows(spark):
     df = spark.range(1000).select(
         F.when(F.col("id") < 333, 1).when(F.col("id") < 500, 2).otherwise(F.col("id")).alias("k")
     )
-    hot = skew.hot_keys(df, "k", parts=10, min_rows=1, fraction=1, min_bytes=0)
+    hot = skew.hot_keys(df, "k", target_rows=100, fraction=1)
     assert [(h["k"], h["_chunks"]) for h in hot] == [(1, 4), (2, 2)]
-    assert skew.hot_keys(df, "k", parts=10, min_rows=1000, min_bytes=0) == []
-    assert skew.hot_keys(df, "k", parts=10, min_rows=1, fraction=1) == []  # a small input
-    sampled = skew.hot_keys(df, "k", parts=5, min_rows=50, fraction=0.3, min_bytes=0)
+    assert skew.hot_keys(df, "k") == []
+    sampled = skew.hot_keys(df, "k", target_rows=200, fraction=0.3)
     assert sampled[0]["k"] == 1
 
 
+def test_a_hot_key_in_a_small_file_is_found_by_default(spark, tmp_path):
+    """Forty million rows of one key take a few hundred kilobytes as Parquet."""
+    path = str(tmp_path / "one")
+    spark.range(0, 40_000_000, 1, 8).select(F.lit("s").alias("k")).write.parquet(path)
+    hot = skew.hot_keys(spark.read.parquet(path), "k")
+    assert [h["k"] for h in hot] == ["s"] and 9 <= hot[0]["_chunks"] <= 12
+
+
+def test_more_than_a_thousand_hot_keys_are_all_treated(spark):
+    df = spark.range(6000).select((F.col("id") % 1500).alias("k"))
+    assert len(skew.hot_keys(df, "k", target_rows=3, fraction=1)) == 1500
+
+
+def test_one_job_finds_the_hot_keys(spark):
+    df = spark.range(100).select((F.col("id") % 2).alias("k"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("hot-keys-test", "x")
+    try:
+        skew.skew_join(df, df.distinct(), "k", target_rows=1000)
+        assert len(tracker.getJobIdsForGroup("hot-keys-test")) <= 2  # AQE runs its stages as jobs
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_frames_with_map_columns(spark):
+    left = spark.range(300).select((F.col("id") % 3).alias("k"), F.create_map("id", F.lit("v")).alias("m"))
+    right = spark.range(3).select(F.col("id").alias("k"), F.lit("r").alias("name"))
+    for joined in (
+        skew.skew_join(left, right, "k", target_rows=20, fraction=1), skew.salted_join(left, right, "k", 4),
+    ):
+        assert joined.count() == 300
+
+
 def test_hot_rows_spread_over_their_chunks(spark):
     df = spark.range(4000).select(F.lit(1).alias("k"), F.col("id").alias("v"))
     sizes = df.groupBy(skew.placement(df, 8).alias("s")).count().collect()
@@ -151,5 +185,5 @@ def test_spark_splits_the_sessions_of_a_hot_user(spark):
 
 def test_hot_keys_of_a_table_of_counts(spark):
     counts = spark.createDataFrame([("a", 70), ("b", 20), ("b", 5), ("c", 5)], "k string, n bigint")
-    hot = skew.hot_keys(counts, "k", parts=10, min_rows=1, min_bytes=0, weight="n")
+    hot = skew.hot_keys(counts, "k", target_rows=10, weight="n")
     assert [(h["k"], h["_chunks"]) for h in hot] == [("a", 7), ("b", 3)]

@@ -146,3 +146,14 @@ def test_ad_log_lines(spark):
     assert sorted(r[0] or "" for r in ad_log.ad_log_rejects(log).collect()) == sorted(
         v or "" for v in bad
     )
+
+
+def test_access_log_has_no_quoting_and_keeps_what_it_cannot_read(spark, tmp_path):
+    from clickloom.sources import tables
+
+    good = '2024-01-01\x011\x012\x013\x01"sport\x01view'
+    bad = ["2024-01-01\x01soon\x012\x013\x01a\x01view", "2024-01-01\x011"]
+    spark.createDataFrame([(x,) for x in [good, *bad]], "value string").coalesce(1).write.text(f"{tmp_path}/log")
+    rows = tables.read_access_log(spark, f"{tmp_path}/log").collect()
+    assert [(r.section, r.action) for r in rows] == [('"sport', "view")]
+    assert sorted(r.line for r in tables.access_log_rejects(spark, f"{tmp_path}/log").collect()) == sorted(bad)
