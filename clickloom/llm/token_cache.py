@@ -1,22 +1,31 @@
-"""Token ids of whole texts by the tokenizers library, each white-space chunk encoded once."""
+"""Token ids of whole texts by the tokenizers library, encoding what was met before only once."""
 
 from __future__ import annotations
 
+import json
 import os
 from functools import lru_cache
 
 import numpy as np
+import regex
 
-CACHE_ENTRIES = 400_000
-# Longer chunks are rare and would fill the cache.
+from clickloom.llm.token_transducer import PATTERN, PLAIN, byte_letters
+
+#: The most white-space chunks and the most pieces that a worker remembers.
+CHUNKS = 600_000
+PIECES = 500_000
+# Longer ones are rare and would fill the cache.
 _LONGEST = 100
 
 
 class ChunkEncoder:
-    """Encodes texts chunk by chunk with a bounded cache.
+    """Encodes texts chunk by chunk, with bounded caches of chunks and of their pieces.
 
-    For a tokenizer that drops white space, normalises locally and has no token across it, the
-    ids of a text are those of its chunks in a row, so chunks met before need no encoding.
+    This holds for tokenizers that drop white space, normalise each character by itself and
+    split by :data:`PATTERN`: the ids of a text are those of its white-space chunks in a row,
+    and those of a chunk are the library model's ids of its pieces. Chunks with unusual
+    characters or with special strings go to the library whole, and so do all texts of
+    tokenizers of another kind.
     """
 
     def __init__(self, path: str) -> None:
@@ -26,33 +35,62 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        split = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
+        kinds = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        added = [t["content"] for t in spec["added_tokens"]]
+        self.local = (
+            split.get("pattern") == {"Regex": PATTERN} and kinds == ["NFC", "Replace", "Lowercase"]
+            and all("<|" in t and not any(c.isspace() for c in t) for t in added)
+        )
+        self.split = regex.compile(PATTERN)
+        self.letters = byte_letters()
+        self.chunks: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def vocabulary(self) -> int:
         """Number of ids, added ones too."""
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        spelt = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self.letters)
+        made = np.array([t.id for t in self.model.tokenize(spelt)], "<u4").tobytes()
+        if len(piece) <= _LONGEST:
+            if len(self.pieces) >= PIECES:
+                self.pieces.clear()
+            self.pieces[piece] = made
+        return made
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        text = chunk.decode("utf-8")
+        if "<|" in text or not (text.isprintable() and (text.isascii() or max(text) < chr(PLAIN))):
+            return self._whole(text)
+        known, piece = self.pieces.get, self._piece
+        return b"".join([known(p) or piece(p) for p in self.split.findall(text.lower())])
+
     def ids(self, text: bytes) -> np.ndarray:
         """The ids of a whole text as unsigned 32-bit integers."""
+        if not self.local:
+            return np.frombuffer(self._whole(text.decode("utf-8")), "<u4")
+        known, long = self.chunks, []
         words = text.split()
-        missing = list(set(words).difference(self.known))
-        if missing:
-            if len(self.known) + len(missing) > CACHE_ENTRIES:
-                self.known.clear()
-                missing = list(set(words))
-            for a in range(0, len(missing), 10_000):
-                part = missing[a : a + 10_000]
-                made = self.tokenizer.encode_batch(
-                    [w.decode("utf-8") for w in part], add_special_tokens=False
-                )
-                for w, e in zip(part, made):
-                    self.known[w] = np.array(e.ids, "<u4").tobytes()
-        joined = b"".join(map(self.known.__getitem__, words))
-        if missing:
-            for w in missing:
-                if len(w) > _LONGEST:
-                    del self.known[w]
-        return np.frombuffer(joined, "<u4")
+        missing = set(words).difference(known)
+        if missing and len(known) + len(missing) > CHUNKS:
+            known.clear()
+            missing = set(words)
+        for chunk in missing:
+            known[chunk] = self._chunk(chunk)
+            if len(chunk) > _LONGEST:
+                long.append(chunk)
+        made = b"".join(map(known.__getitem__, words))
+        for chunk in long:
+            del known[chunk]
+        return np.frombuffer(made, "<u4")
 
 
 @lru_cache(maxsize=2)

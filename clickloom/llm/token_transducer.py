@@ -38,7 +38,7 @@ CHUNK = 128
 MAX_TRANSITIONS = 400_000
 MAX_PIECES = 400_000
 # Below this all characters are alone in their normal form.
-_PLAIN = 0x300
+PLAIN = 0x300
 # Fixed value: the split pattern that the splitter's states stand for.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -213,7 +213,7 @@ class TokenCounter:
         return _NUMBER if len(self.splits(char * 2)) == 2 else _OTHER
 
     def _normalised(self, text: str) -> str:
-        if text.isascii() or max(text) < chr(_PLAIN):
+        if text.isascii() or max(text) < chr(PLAIN):
             return text.lower()
         return self.normal(text)
 

@@ -87,3 +87,19 @@ def test_repeated_ids_keep_all_rows(spark):
 
 def test_empty_table(spark):
     assert token_files.token_report(spark.createDataFrame([], SCHEMA), PATH).collect() == []
+
+
+def test_caches_are_bounded_and_other_tokenizers_go_whole(monkeypatch):
+    from clickloom.llm import token_cache
+
+    monkeypatch.setattr(token_cache, "CHUNKS", 20)
+    monkeypatch.setattr(token_cache, "PIECES", 15)
+    own = ChunkEncoder(PATH)
+    for i in range(40):
+        text = f"some{i} words{i * 7}, to see{i} Çé{i} " + "y" * 300
+        assert own.ids(text.encode()).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+        assert len(own.chunks) <= 20 and len(own.pieces) <= 15
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    text = "two  spaces\n and 'more'"
+    expected = Tokenizer.from_file(other).encode(text, add_special_tokens=False).ids
+    assert ChunkEncoder(other).ids(text.encode()).tolist() == expected
