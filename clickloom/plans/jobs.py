@@ -1,15 +1,18 @@
-"""The batch jobs. Each takes input frames and returns its result tables by name."""
+"""The jobs. A batch job takes input frames and returns its result tables by name."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.functions import dates
 from clickloom.operators import categories, funnel, news, products, sessions
+from clickloom.operators.ads import BLACKLIST_THRESHOLD
 from clickloom.operators.skew import hot_keys
 from clickloom.sinks.append import append, result_rows
 from clickloom.sources.params import TaskParams
 from clickloom.sources.tables import scan_actions, scan_clicks
+from clickloom.streaming import ads as stream
 from clickloom.workspace import materialize
 
 TOP_CATEGORIES = 10
@@ -81,6 +84,18 @@ def news_job(access: DataFrame, date: str | None = None) -> dict[str, DataFrame]
     }
 
 
+def ad_job(
+    lines: DataFrame, root: str, threshold: int = BLACKLIST_THRESHOLD, interval: str | None = stream.INTERVAL
+) -> tuple[StreamingQuery, stream.AdTables]:
+    """Start the real-time ad statistics over a stream of log lines.
+
+    Its tables lie under ``root``, with the checkpoint from which a new start goes on.
+    """
+    tables = stream.AdTables.under(lines.sparkSession, root)
+    query = stream.start(lines, stream.job_batch(tables, threshold), f"{root}/checkpoint", interval=interval)
+    return query, tables
+
+
 def write_results(results: dict[str, DataFrame], root: str) -> None:
     """Append each result to its table under ``root``."""
     for table, df in results.items():

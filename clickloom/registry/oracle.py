@@ -183,7 +183,23 @@ _VIEWS = {
         from customer""",
 }
 
+_VIEWS |= {
+    # Clicks that the ad job can read, with the batch they come in, and those it keeps: a user
+    # listed by one batch is left out of the later ones.
+    "job_clicks": """
+        select *, (day(ts) - 1) * 5 // 31 as part from clicks where ad_id <> 3""",
+    "job_kept": f"""
+        select c.* from job_clicks c left join (
+            select user_id, min(part) as listed from (
+                select part, date, user_id, ad_id from job_clicks
+                group by all having count(*) >= {q.THRESHOLD})
+            group by user_id) l on l.user_id = c.user_id
+        where listed is null or c.part <= listed""",
+}
+
 _NEEDS = {
+    "job_clicks": ["clicks"],
+    "job_kept": ["job_clicks"],
     "e": [],
     "user_visit_action": ["e"],
     "user_info": [],
@@ -483,6 +499,34 @@ def oracle_sql() -> dict[str, str]:
         "ad_stat_stream": stat,
         "ad_province_top3_stream": province_top3,
         "ad_click_trend_stream": trend,
+        "ad_job_user_clicks": _with(
+            "select date, user_id, ad_id, count(*) as click_count from job_kept group by all", "job_kept"
+        ),
+        "ad_job_stat": _with(
+            "select date, province, city, ad_id, count(*) as click_count from job_kept group by all",
+            "job_kept",
+        ),
+        "ad_job_top3": _with(
+            """
+            select date, province, ad_id, click_count from (
+                select date, province, ad_id, count(*) as click_count,
+                       row_number() over (partition by date, province
+                                          order by count(*) desc, ad_id) as nth
+                from job_kept group by date, province, ad_id)
+            where nth <= 3""",
+            "job_kept",
+        ),
+        "ad_job_trend": _with(
+            """
+            select date, strftime(ts, '%H') as hour, strftime(ts, '%M') as minute, ad_id,
+                   count(*) as click_count
+            from job_clicks group by all""",
+            "job_clicks",
+        ),
+        "ad_job_rejects": _with(
+            "select concat(ms, ' ', province, ' ', city, ' ', user_id) as value from clicks where ad_id = 3",
+            "clicks",
+        ),
         "ad_click_trend_sliding": _with(
             """
             select strftime(time_bucket(interval 10 minute, ts) - to_minutes(10 * i),

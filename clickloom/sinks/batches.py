@@ -8,6 +8,7 @@ folds the batches so far into one snapshot.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Written into a batch when all its files are there, whatever markers the cluster writes.
+_MARKER = "_COMMITTED"
+
+
 class BatchTable:
     """A table of ``keys`` and ``values``.
 
@@ -55,33 +60,80 @@ class BatchTable:
         ``where`` is a condition on the keys. It applies to the stored rows, so on a column
         the table is partitioned by it leaves out whole directories.
         """
-        snapshots = self._numbers("snapshots", "upto", before)
-        batches = self._numbers("batches", "batch", before)
-        base = max(snapshots, default=None)
-        recent = [b for b in batches if base is None or b > base]
-        rows = self._load("batches", "batch", recent)
+        base = max(self._numbers("snapshots", "upto", before), default=None)
+        rows = self._since(base, before)
         if base is not None:
-            rows = rows.unionByName(
-                self._load("snapshots", "upto", [base]).withColumnRenamed("upto", "batch")
-            )
+            rows = rows.unionByName(self._snapshot(self._parts(base)))
         return self._combined(rows if where is None else rows.where(where))
 
+    def _since(self, base: int | None, before: int | None) -> DataFrame:
+        """The rows of all batches after a snapshot."""
+        batches = self._numbers("batches", "batch", before)
+        return self._load("batches", "batch", [b for b in batches if base is None or b > base])
+
+    def _parts(self, upto: int) -> dict[str, int]:
+        """By partition folder, the snapshot that holds its state as of snapshot ``upto``."""
+        fs, marker = self._fs(f"{self.path}/snapshots/upto={upto}/{_MARKER}")
+        lines = self.spark._jvm.org.apache.commons.io.IOUtils.toString(fs.open(marker), "UTF-8")
+        return json.loads(lines)
+
+    def _snapshot(self, parts: dict[str, int]) -> DataFrame:
+        """The rows of the given partition folders, each from its snapshot."""
+        schema = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        base = f"{self.path}/snapshots"
+        paths = [f"{base}/upto={n}/{part}".rstrip("/") for part, n in sorted(parts.items())]
+        rows = self.spark.read.schema(
+            T.StructType([*self.schema.fields, T.StructField("upto", T.LongType())])
+        ).option("basePath", base).parquet(*paths)
+        return rows.withColumnRenamed("upto", "batch").select(*schema.fieldNames())
+
     def compact(self, upto: int) -> None:
-        """Write the combined state of all batches up to ``upto`` as a snapshot."""
-        self._store(self.read(before=upto + 1), f"{self.path}/snapshots/upto={upto}")
+        """Write a snapshot of all batches up to ``upto``.
+
+        Only partitions that batches touched since the last snapshot are written anew; for the
+        others the new snapshot points to the older one, so the work does not grow with history.
+        """
+        base = max(self._numbers("snapshots", "upto", upto), default=None)
+        rows = self._since(base, upto + 1)
+        old = {} if base is None else self._parts(base)
+        path = f"{self.path}/snapshots/upto={upto}"
+        if self.partition_by:
+            touched = {
+                row[0] for row in rows.select(self._folder()).distinct().collect()
+            }
+            known = {part: n for part, n in old.items() if part in touched}
+            rows = rows.unionByName(self._snapshot(known))
+        else:
+            touched, rows = {""}, rows.unionByName(self._snapshot(old))
+        self._store(self._combined(rows), path, json.dumps(old | dict.fromkeys(touched, upto)))
+
+    def _folder(self) -> Column:
+        """The partition folder of a row as Spark names it; values are dates or plain words."""
+        names = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in self.partition_by]
+        return F.concat_ws("/", *names)
 
     def next_batch(self) -> int:
         known = self._numbers("batches", "batch") + self._numbers("snapshots", "upto")
         return max(known, default=-1) + 1
 
     def vacuum(self, keep: int = 2) -> None:
-        """Delete snapshots but the last ``keep``, and the batches the oldest kept one covers."""
+        """Delete what the last ``keep`` snapshots do not use, and the batches the oldest of
+        them covers."""
         snapshots = sorted(self._numbers("snapshots", "upto"))
         if len(snapshots) < keep:
             return
         oldest = snapshots[-keep]
+        used = {(n, part) for s in snapshots[-keep:] for part, n in self._parts(s).items()}
         for number in (s for s in snapshots if s < oldest):
-            self._delete(f"{self.path}/snapshots/upto={number}")
+            own = [part for part, n in self._parts(number).items() if n == number]
+            gone = [part for part in own if (number, part) not in used]
+            if len(gone) == len(own):
+                self._delete(f"{self.path}/snapshots/upto={number}")
+            else:
+                for part in gone:
+                    self._delete(f"{self.path}/snapshots/upto={number}/{part}")
         for number in self._numbers("batches", "batch", before=oldest + 1):
             self._delete(f"{self.path}/batches/batch={number}")
 
@@ -94,13 +146,17 @@ class BatchTable:
         latest = grouped.agg(F.max_by(F.struct(*self.values), "batch").alias("_latest"))
         return latest.select(*self.keys, "_latest.*")
 
-    def _store(self, df: DataFrame, path: str) -> None:
+    def _store(self, df: DataFrame, path: str, note: str = "{}") -> None:
         rows = df.select(*(F.col(f.name).cast(f.dataType) for f in self.schema))
         if self.partition_by:
             # One file per directory and not one per task, split where a directory is large.
             rows = rows.hint("rebalance", *self.partition_by)
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         writer.partitionBy(*self.partition_by).parquet(path)
+        fs, marker = self._fs(f"{path}/{_MARKER}")
+        out = fs.create(marker, True)
+        out.write(bytearray(note, "utf-8"))
+        out.close()
 
     def _load(self, kind: str, label: str, numbers: Sequence[int]) -> DataFrame:
         schema = T.StructType([*self.schema.fields, T.StructField(label, T.LongType())])
@@ -118,7 +174,7 @@ class BatchTable:
 
     def _numbers(self, kind: str, label: str, before: int | None = None) -> list[int]:
         """Numbers of the directories whose write was completed."""
-        done = f"{self.path}/{kind}/{label}=*/_SUCCESS"
+        done = f"{self.path}/{kind}/{label}=*/{_MARKER}"
         fs, pattern = self._fs(done)
         numbers = [
             int(s.getPath().getParent().getName().split("=")[1])

@@ -7,6 +7,7 @@ stateful aggregations; their state is bounded by a watermark.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -17,9 +18,11 @@ from pyspark.sql.streaming import StreamingQuery
 from clickloom.operators import ads
 from clickloom.sinks.append import replace_groups
 from clickloom.sinks.batches import BatchTable
+from clickloom.sources.ad_log import ad_log_rejects, parse_ad_log
 
 # Fixed value: the micro-batch interval.
 INTERVAL = "5 seconds"
+_STARTING = threading.Lock()
 
 
 @dataclass
@@ -30,6 +33,8 @@ class AdTables:
     blacklist: BatchTable
     stat: BatchTable
     top3_path: str
+    trend: BatchTable
+    rejects_path: str
 
     @classmethod
     def under(cls, spark: SparkSession, root: str, stat_combine: str = "sum") -> AdTables:
@@ -47,23 +52,59 @@ class AdTables:
                 ["date", "province", "city", "ad_id"], stat_combine, ["date"],
             ),
             top3_path=f"{root}/ad_province_top3",
+            trend=trend_table(spark, f"{root}/ad_click_trend", combine="sum"),
+            rejects_path=f"{root}/rejects",
         )
 
+    def read_rejects(self) -> DataFrame:
+        """The lines no batch could read."""
+        return self.stat.spark.read.text(self.rejects_path).select("value")
+
     def read_top3(self) -> DataFrame:
         return self.stat.spark.read.schema(
             "province string, ad_id bigint, click_count bigint, date string"
         ).parquet(self.top3_path).select("date", "province", "ad_id", "click_count")
 
 
-def trend_table(spark: SparkSession, path: str) -> BatchTable:
-    """Clicks per minute and ad; each batch holds the new totals of the minutes it touched."""
+def trend_table(spark: SparkSession, path: str, combine: str = "last") -> BatchTable:
+    """Clicks per minute and ad; each batch holds the new totals of the minutes it touched, or
+    (``combine="sum"``) what it adds to them."""
     return BatchTable(
         spark, path,
         "date string, hour string, minute string, ad_id bigint, click_count bigint",
-        ["date", "hour", "minute", "ad_id"], "last", ["date"],
+        ["date", "hour", "minute", "ad_id"], combine, ["date"],
     )
 
 
+def job_batch(
+    tables: AdTables, threshold: int = ads.BLACKLIST_THRESHOLD, compact_every: int = 720
+) -> Callable[[DataFrame, int], None]:
+    """The whole ad job on one micro-batch of log lines.
+
+    Four outputs come from one source: user counts with the blacklist they feed, area counts
+    and province top lists of the clicks left by the blacklist as earlier batches made it, and
+    the trend of all clicks. Every output adds to the key of a click whenever the click comes,
+    so none is too late; lines that cannot be read are kept as they came.
+    """
+    clicks_of = click_batch(tables, threshold, compact_every)
+
+    def process(lines: DataFrame, batch_id: int) -> None:
+        lines = lines.persist()
+        try:
+            rejects = ad_log_rejects(lines)
+            rejects.write.mode("overwrite").text(f"{tables.rejects_path}/batch={batch_id}")
+            clicks = parse_ad_log(lines)
+            tables.trend.write(ads.ad_click_trend(clicks), batch_id)
+            clicks_of(clicks, batch_id)
+        finally:
+            lines.unpersist()
+        if batch_id and batch_id % compact_every == 0:
+            tables.trend.compact(batch_id)
+            tables.trend.vacuum()
+
+    return process
+
+
 def click_batch(
     tables: AdTables, threshold: int = ads.BLACKLIST_THRESHOLD, compact_every: int = 720
 ) -> Callable[[DataFrame, int], None]:
@@ -127,11 +168,11 @@ def filter_blacklist(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
     return clicks.join(blacklist.select("user_id"), "user_id", "left_anti")
 
 
-def running_ad_stat(clicks: DataFrame, lateness: str | None = "2 days") -> DataFrame:
+def running_ad_stat(clicks: DataFrame, lateness: str | None = None) -> DataFrame:
     """Running clicks per (date, province, city, ad).
 
-    The day is a window on the click time, so days older than the watermark leave the state.
-    With ``lateness=None`` clicks of any age count and the state keeps every key.
+    Clicks of any age count and the state keeps every key. With a ``lateness`` days older than
+    the watermark leave the state, and clicks later than that are dropped.
     """
     if lateness is not None:
         clicks = clicks.withWatermark("ts", lateness)
@@ -144,8 +185,9 @@ def running_ad_stat(clicks: DataFrame, lateness: str | None = "2 days") -> DataF
     )
 
 
-def click_trend(clicks: DataFrame, lateness: str | None = "60 minutes") -> DataFrame:
-    """Clicks per minute and ad; a minute is final once the watermark has passed it."""
+def click_trend(clicks: DataFrame, lateness: str | None = None) -> DataFrame:
+    """Clicks per minute and ad; with a ``lateness`` a minute is final once the watermark has
+    passed it, and later clicks are dropped."""
     if lateness is not None:
         clicks = clicks.withWatermark("ts", lateness)
     counts = clicks.groupBy(F.window("ts", "1 minute"), "ad_id").agg(
@@ -162,7 +204,7 @@ def click_trend(clicks: DataFrame, lateness: str | None = "60 minutes") -> DataF
 
 def sliding_clicks(
     clicks: DataFrame, length: str = "60 minutes", slide: str = "10 minutes",
-    lateness: str | None = "60 minutes",
+    lateness: str | None = None,
 ) -> DataFrame:
     """Clicks per ad in windows of ``length`` that start every ``slide``.
 
@@ -202,14 +244,15 @@ def start(
         writer = writer.trigger(processingTime=interval)
     if state_partitions is None:
         return writer.start()
-    # A query takes the setting of its session over when it starts.
+    # A query takes the setting of its session over when it starts; one starts at a time.
     conf = stream.sparkSession.conf
-    before = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        return writer.start()
-    finally:
-        conf.set("spark.sql.shuffle.partitions", before)
+    with _STARTING:
+        before = conf.get("spark.sql.shuffle.partitions")
+        conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        try:
+            return writer.start()
+        finally:
+            conf.set("spark.sql.shuffle.partitions", before)
 
 
 def sliding_table(spark: SparkSession, path: str) -> BatchTable:

@@ -67,7 +67,7 @@ def test_an_unfinished_batch_is_not_read(spark, tmp_path):
     t = table(spark, tmp_path / "t")
     upsert(t, frame(spark, [("d1", 1, 5)]))
     upsert(t, frame(spark, [("d1", 1, 6)]))
-    (tmp_path / "t" / "batches" / "batch=1" / "_SUCCESS").unlink()
+    (tmp_path / "t" / "batches" / "batch=1" / "_COMMITTED").unlink()
     assert rows_of(t.read()) == [("d1", 1, 5)]
 
 
@@ -112,3 +112,35 @@ def test_jdbc_append_passes_its_options():
     append_jdbc(Frame(), "jdbc:x", "ad_blacklist", {"user": "u"})
     assert Frame.write.saved == "append"
     assert Frame.write.call == (("jdbc:x", "ad_blacklist"), {"properties": {"user": "u"}})
+
+
+def test_compaction_writes_only_touched_partitions(spark, tmp_path):
+    """Old days stay where they are; what a snapshot writes does not grow with history."""
+    table = BatchTable(
+        spark, str(tmp_path / "t"), "day string, k int, n bigint", ["day", "k"], "sum", ["day"]
+    )
+    expected, written = {}, []
+    for batch in range(8):
+        rows = [(f"d{batch // 2}", k, 1) for k in range(3)]
+        table.write(spark.createDataFrame(rows, "day string, k int, n bigint"), batch)
+        for day, k, n in rows:
+            expected[day, k] = expected.get((day, k), 0) + n
+        table.compact(batch)
+        table.vacuum()
+        written.append(sorted(p.name for p in (tmp_path / "t/snapshots" / f"upto={batch}").iterdir() if p.is_dir()))
+        assert {(r.day, r.k): r.n for r in table.read().collect()} == expected
+    assert written == [[f"day=d{b // 2}"] for b in range(8)]
+    assert len(list((tmp_path / "t/batches").iterdir())) <= 2
+
+
+def test_a_batch_counts_when_it_is_committed(spark, tmp_path):
+    table = BatchTable(spark, str(tmp_path / "t"), "k int, n bigint", ["k"], "sum")
+    df = spark.createDataFrame([(1, 5)], "k int, n bigint")
+    spark.sparkContext._jsc.hadoopConfiguration().set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        table.write(df, 0)
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert [tuple(r) for r in table.read().collect()] == [(1, 5)]
+    df.write.parquet(str(tmp_path / "t/batches/batch=1"))  # a write that broke off before its mark
+    assert [tuple(r) for r in table.read().collect()] == [(1, 5)]

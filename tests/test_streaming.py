@@ -117,12 +117,15 @@ def test_late_clicks_are_dropped_only_past_the_watermark(spark, tmp_path):
     hour = 3_600_000
     for i, (name, ms) in enumerate([("a", 5 * hour), ("b", int(4.5 * hour)), ("c", 2 * hour)]):
         put(tmp_path / "log", f"{name}.log", [line(START + ms, 1, 1)])
-        run(spark, tmp_path / "log", table.write, tmp_path / "cp", "update", stream.click_trend)
+        run(
+            spark, tmp_path / "log", table.write, tmp_path / "cp", "update",
+            lambda clicks: stream.click_trend(clicks, lateness="60 minutes"),
+        )
     assert rows_of(table.read()) == [("2024-01-01", "04", "30", 1, 1), ("2024-01-01", "05", "00", 1, 1)]
     everything = stream.trend_table(spark, str(tmp_path / "all"))
     run(
         spark, tmp_path / "log", everything.write, tmp_path / "cp2", "update",
-        lambda clicks: stream.click_trend(clicks, lateness=None),
+        stream.click_trend,
     )
     assert len(rows_of(everything.read())) == 3
 
@@ -175,3 +178,20 @@ def test_a_running_query_triggers_every_five_seconds():
     assert calls["trigger"] == ((), {"processingTime": "5 seconds"})
     assert calls["outputMode"] == (("update",), {})
     assert calls["option"] == (("checkpointLocation", "cp"), {})
+
+
+def test_the_ad_job_keeps_late_clicks_and_broken_lines(spark, tmp_path):
+    from clickloom.plans.jobs import ad_job
+
+    days = [3, 2, 1]  # each file is older than the one before
+    for i, day in enumerate(days):
+        lines = [line(START + day * DAY + n * 1000, 1, 1) for n in range(4)] + [f"broken {i}"]
+        put(tmp_path / "log", f"{i}.log", lines)
+        os.utime(tmp_path / "log" / f"{i}.log", (1_700_000_000 + i, 1_700_000_000 + i))
+    source = read_text_log(spark, str(tmp_path / "log"), 1)
+    query, tables = ad_job(source, str(tmp_path / "out"), threshold=4, interval=None)
+    query.awaitTermination()
+    assert rows_of(tables.blacklist.read()) == [(1,)]
+    assert rows_of(tables.user_clicks.read()) == [("2024-01-04", 1, 1, 4)]
+    assert sum(r.click_count for r in tables.trend.read().collect()) == 12
+    assert rows_of(tables.read_rejects()) == [(f"broken {i}",) for i in range(3)]
