@@ -264,7 +264,7 @@ def _ratio(a: str, b: str) -> str:
 _ACTION_TEXT = "replace (strftime(action_time, '%Y-%m-%d %H:%M:%S') as action_time)"
 
 
-def _length_stats() -> str:
+def _length_stats(source: str = "sessions") -> str:
     buckets = {
         "visit_length": "1s_3s 1 3, 4s_6s 4 6, 7s_9s 7 9, 10s_30s 10 30, 30s_60s 31 60, 1m_3m 61 180, "
         "3m_10m 181 600, 10m_30m 601 1800, 30m 1801 9999999999",
@@ -276,8 +276,8 @@ def _length_stats() -> str:
             column = f"{kind}_{name}"
             counts.append(f"count(*) filter (where {kind} between {low} and {high}) as {column}")
             ratios.append(f"{_ratio(column, 'session_count')} as {column}_ratio")
-    inner = f"select count(*) as session_count, {', '.join(counts)} from sessions"
-    return _with(f"select *, {', '.join(ratios)} from ({inner})", "sessions")
+    inner = f"select count(*) as session_count, {', '.join(counts)} from {source}"
+    return _with(f"select *, {', '.join(ratios)} from ({inner})", source)
 
 
 def _flow_rates() -> str:
@@ -440,6 +440,63 @@ def oracle_sql() -> dict[str, str]:
             f"select {detail_columns} from (select * {_ACTION_TEXT} from top_details)",
             "top_details",
         ),
+        "session_job_stat": f"""
+            select cast(1 as bigint) as task_id, session_count, columns('.*_ratio')
+            from ({_length_stats("filtered")})""",
+        "session_job_extract": _with(
+            ", " + _sample(
+                _SESSION_TIMES.replace("from sessions", "from filtered"), 100,
+                "cast(1 as bigint) as task_id, session_id, start_time, search_keywords, click_category_ids",
+            ),
+            "filtered",
+        ),
+        "session_job_categories": _with(
+            "select cast(1 as bigint) as task_id, category_id, click_count, order_count, pay_count "
+            "from top_categories",
+            "top_categories",
+        ),
+        "session_job_sessions": _with(
+            "select cast(1 as bigint) as task_id, category_id, session_id, click_count from top_sessions",
+            "top_sessions",
+        ),
+        "funnel_job": _with(
+            "select cast(1 as bigint) as task_id, string_agg(concat(page_split, '=', "
+            f"cast(convert_rate as varchar)), '|' order by step) as convert_rate from ({_flow_rates()})",
+            "transitions", "start_pv",
+        ),
+        "product_job": _with(
+            "select cast(1 as bigint) as task_id, area, area_level, product_id, city_infos, click_count, "
+            "product_name, product_status from area_top", "area_top",
+        ).replace(
+            "where click_product_id is not null", f"where click_product_id is not null and {in_range}"
+        ),
+        "news_job_counts": _with(
+            f"""
+            select 'page_pv' as kind, cast(pageid as varchar) as name, count(*) as n
+            from news_access where action = 'view' and date = '{q.NEWS_DAY}' group by pageid
+            union all
+            select 'page_uv', cast(pageid as varchar), count(*) from (
+                select distinct pageid, userid from news_access
+                where action = 'view' and date = '{q.NEWS_DAY}') group by pageid
+            union all
+            select 'section_pv', section, count(*)
+            from news_access where action = 'view' and date = '{q.NEWS_DAY}' group by section""",
+            "news_access",
+        ),
+        "news_job_rates": _with(
+            f"""
+            select date, registers, anonymous_views, {_ratio('registers', 'anonymous_views')} as register_rate,
+                   one_view_users, user_views, {_ratio('one_view_users', 'user_views')} as jump_rate
+            from (
+                select date, count(*) filter (where action = 'register') as registers,
+                       count(*) filter (where action = 'view' and userid is null) as anonymous_views
+                from news_access where date = '{q.NEWS_DAY}' group by date),
+            (
+                select count(*) filter (where n = 1) as one_view_users, cast(sum(n) as bigint) as user_views
+                from (select userid, count(*) as n from news_access
+                      where action = 'view' and userid is not null and date = '{q.NEWS_DAY}' group by userid))""",
+            "news_access",
+        ),
         "page_transitions": transitions,
         "page_transitions_split": transitions,
         "page_flow_splits": _with(

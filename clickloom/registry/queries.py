@@ -241,6 +241,58 @@ def session_job(t: Tables) -> DataFrame:
     return _detail_columns(results["session_detail"])
 
 
+def _session_job(t: Tables, table: str) -> DataFrame:
+    return jobs.session_job(t.actions(), t.users(), FILTER, task_id=1)[table]
+
+
+@query
+def session_job_stat(t: Tables) -> DataFrame:
+    return _session_job(t, "session_aggr_stat")
+
+
+@query
+def session_job_extract(t: Tables) -> DataFrame:
+    return _session_job(t, "session_random_extract")
+
+
+@query
+def session_job_categories(t: Tables) -> DataFrame:
+    return _session_job(t, "top10_category")
+
+
+@query
+def session_job_sessions(t: Tables) -> DataFrame:
+    return _session_job(t, "top10_session")
+
+
+@query
+def funnel_job(t: Tables) -> DataFrame:
+    task = params.TaskParams(page_flow=FLOW)
+    return jobs.funnel_job(t.actions(), task, task_id=1)["page_split_convert_rate"]
+
+
+@query
+def product_job(t: Tables) -> DataFrame:
+    task = params.TaskParams(start_date=START, end_date=END)
+    return jobs.product_job(t.actions(START, END), t.cities(), t.products(), task, 1)["area_top3_product"]
+
+
+@query
+def news_job_counts(t: Tables) -> DataFrame:
+    """Pages, visitors and sections of one day in one table."""
+    found = jobs.news_job(t.news(NEWS_DAY, NEWS_DAY), NEWS_DAY)
+    pv = found["page_pv"].selectExpr("'page_pv' as kind", "cast(pageid as string) as name", "pv as n")
+    uv = found["page_uv"].selectExpr("'page_uv' as kind", "cast(pageid as string) as name", "uv as n")
+    sections = found["section_pv"].selectExpr("'section_pv' as kind", "section as name", "pv as n")
+    return pv.unionByName(uv).unionByName(sections)
+
+
+@query
+def news_job_rates(t: Tables) -> DataFrame:
+    found = jobs.news_job(t.news(NEWS_DAY, NEWS_DAY), NEWS_DAY)
+    return found["register_rate"].join(found["jump_rate"], "date")
+
+
 # -- page flows -------------------------------------------------------------------------------
 
 
