@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions import predicates as p
@@ -13,6 +13,7 @@ from clickloom.functions.numbers import ratio
 from clickloom.operators.ranking import top_n_per_group
 from clickloom.operators.skew import skew_join
 from clickloom.sources.params import TaskParams
+from clickloom.workspace import materialize
 
 # Bucket name, lowest and highest value (both inside; None is open).
 VISIT_BUCKETS = (
@@ -107,6 +108,77 @@ def session_filter(sessions: DataFrame, params: TaskParams) -> DataFrame:
     )
 
 
+def session_profiles(actions: DataFrame, params: TaskParams) -> DataFrame:
+    """One row per session with its lengths, its start, and whether it meets the keyword and the
+    category parameter (``has_keyword``, ``has_category``).
+
+    What the filter asks of keywords and categories is folded in while counting, so however
+    many different ones a session has, its row stays small; :func:`with_lists` builds the
+    lists for the sessions that are delivered.
+    """
+
+    def meets(value: Column, wanted: Sequence | None) -> Column:
+        if not wanted:
+            return F.lit(True)
+        return F.coalesce(F.bool_or(value.isin(list(wanted))), F.lit(False))
+
+    keyword = F.when(F.col("search_keyword") != "", F.col("search_keyword"))
+    return (
+        actions.groupBy("session_id")
+        .agg(
+            F.min("user_id").alias("user_id"),
+            (F.unix_seconds(F.max("action_time")) - F.unix_seconds(F.min("action_time"))).alias("visit_length"),
+            F.count("*").alias("step_length"),
+            F.min("action_time").alias("start_time"),
+            # An empty keyword is no keyword, on either side.
+            meets(keyword, params.keywords).alias("has_keyword"),
+            meets(F.col("click_category_id"), params.category_ids).alias("has_category"),
+        )
+    )
+
+
+def profile_filter(
+    profiles: DataFrame, users: DataFrame, params: TaskParams, hot: Sequence[Row] | None = ()
+) -> DataFrame:
+    """The :func:`session_profiles` that meet every given parameter, with user facts."""
+    known = with_user_info(profiles, users, hot)
+    return known.where(
+        p.all_of(
+            p.between(F.col("age"), params.start_age, params.end_age),
+            p.in_list(F.col("professional"), params.professionals),
+            p.in_list(F.col("city"), params.cities),
+            p.equal(F.col("sex"), params.sex),
+            F.col("has_keyword"), F.col("has_category"),
+        )
+    ).drop("has_keyword", "has_category")
+
+
+def with_lists(
+    sessions: DataFrame, actions: DataFrame, hot: Sequence[Row] | None = ()
+) -> DataFrame:
+    """Add the distinct keywords and clicked categories of the given sessions."""
+    keyword = F.when(F.col("search_keyword") != "", F.col("search_keyword"))
+    mine = session_details(sessions, actions, hot).select(
+        "session_id", keyword.alias("keyword"), F.col("click_category_id").alias("category")
+    )
+    lists = mine.distinct().groupBy("session_id").agg(
+        F.array_sort(F.collect_set("keyword")).alias("search_keywords"),
+        F.array_sort(F.collect_set("category")).alias("click_category_ids"),
+    )
+    return sessions.join(lists, "session_id")
+
+
+def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
+    """What :func:`session_filter` keeps of :func:`session_aggregate`, with lists built for the
+    kept sessions alone. The kept sessions are written out once."""
+    kept = materialize(profile_filter(session_profiles(actions, params), users, params), "session-kept")
+    columns = [
+        "session_id", "user_id", "search_keywords", "click_category_ids", "visit_length", "step_length",
+        "start_time", "age", "professional", "city", "sex",
+    ]
+    return with_lists(kept, actions).select(*columns)
+
+
 def session_length_stats(sessions: DataFrame) -> DataFrame:
     """Session count, and for each length bucket the count and its share of the sessions.
 

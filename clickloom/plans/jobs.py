@@ -13,36 +13,43 @@ from clickloom.sinks.append import append, result_rows
 from clickloom.sources.params import TaskParams
 from clickloom.sources.tables import scan_actions, scan_clicks
 from clickloom.streaming import ads as stream
-from clickloom.workspace import materialize
+from clickloom.workspace import materialize, work_path
 
 TOP_CATEGORIES = 10
 TOP_SESSIONS = 3
 
 
 def session_job(
-    actions: DataFrame, users: DataFrame, params: TaskParams, task_id: int, extract: int = 100
+    actions: DataFrame, users: DataFrame, params: TaskParams, task_id: int, extract: int = 100,
+    folder: str | None = None,
 ) -> dict[str, DataFrame]:
     """Session statistics, extraction, hot categories, active sessions and their actions.
 
     Three frames feed several results and are written out once: the profiles (all actions are
     aggregated a single time), those that pass the filter, and the actions of the latter. The
     profiles hold the number of actions of every session, so they also tell which sessions
-    are hot when the actions are joined.
+    are hot when the actions are joined. Lists of keywords and categories are built for the
+    extracted sessions alone.
+
+    They lie under ``folder`` if one is given. The results read them, so delete it when the
+    results are written: ``with scratch(spark, "job") as folder: write_results(...)``.
     """
+    spark = actions.sparkSession
+    folder = folder or work_path(spark, "session-job")
     actions = scan_actions(actions, params.start_date, params.end_date)
-    profiles = materialize(sessions.session_aggregate(actions), "session-profiles")
+    profiles = materialize(sessions.session_profiles(actions, params), "profiles", f"{folder}/profiles")
     kept = materialize(
-        sessions.session_filter(sessions.with_user_info(profiles, users, hot=None), params),
-        "session-kept",
+        sessions.profile_filter(profiles, users, params, hot=None), "kept", f"{folder}/kept"
     )
     hot = hot_keys(profiles, "session_id", weight="step_length")
-    details = materialize(sessions.session_details(kept, actions, hot), "session-details")
+    details = materialize(sessions.session_details(kept, actions, hot), "details", f"{folder}/details")
     top_categories = categories.top_categories(details, TOP_CATEGORIES)
     top_sessions = categories.top_sessions_per_category(details, top_categories, TOP_SESSIONS)
     top_details = categories.top_session_details(
         top_sessions, details, max_rows=TOP_CATEGORIES * TOP_SESSIONS
     )
-    extracted = sessions.as_extract_rows(sessions.sample_sessions(kept, extract))
+    sample = sessions.with_lists(sessions.sample_sessions(kept, extract), details, hot)
+    extracted = sessions.as_extract_rows(sample)
     found = {
         "session_aggr_stat": sessions.session_length_stats(kept),
         "session_random_extract": extracted,

@@ -123,11 +123,13 @@ def _sessions(t: Tables) -> DataFrame:
 
 
 def _filtered(t: Tables) -> DataFrame:
-    return sessions.session_filter(_sessions(t), FILTER)
+    return sessions.filtered_sessions(t.actions(), t.users(), FILTER)
 
 
 def _details(t: Tables) -> DataFrame:
-    return sessions.session_details(_filtered(t), t.actions())
+    profiles = sessions.session_profiles(t.actions(), FILTER)
+    kept = materialize(sessions.profile_filter(profiles, t.users(), FILTER), "session-kept")
+    return sessions.session_details(kept, t.actions())
 
 
 def _session_text(df: DataFrame) -> DataFrame:
@@ -153,7 +155,7 @@ def session_filter(t: Tables) -> DataFrame:
 
 @query
 def session_filter_categories(t: Tables) -> DataFrame:
-    return _session_text(sessions.session_filter(_sessions(t), CATEGORY_FILTER))
+    return _session_text(sessions.filtered_sessions(t.actions(), t.users(), CATEGORY_FILTER))
 
 
 @query

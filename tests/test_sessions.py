@@ -191,3 +191,20 @@ def test_quotas_meet_the_total(spark, counts, total):
     for (date, _), r in rows.items():
         given, there = days[date]
         assert abs(r.quota - given * r.session_count / there) < 1
+
+
+@pytest.mark.parametrize("params", [
+    TaskParams(), TaskParams(keywords=("kw1", "kw3")), TaskParams(category_ids=(3, 7)),
+    TaskParams(keywords=("kw2",), category_ids=(1,), start_age=5, end_age=50, sex="male"),
+    TaskParams(professionals=("BUILDING",), cities=("CHINA", "FRANCE")),
+])
+def test_filtered_sessions_equal_the_filter_over_all_lists(spark, params):
+    from clickloom.sources.views import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    slow = sessions.session_filter(sessions.session_aggregate(t.actions(), t.users()), params)
+    fast = sessions.filtered_sessions(t.actions(), t.users(), params)
+    assert fast.columns == slow.columns
+    assert sorted(map(str, fast.collect())) == sorted(map(str, slow.collect()))
+    plan = sessions.session_profiles(t.actions(), params)._jdf.queryExecution().toString()
+    assert "collect_set" not in plan
