@@ -4,7 +4,7 @@ Fixed-block anchors. Each document is cut into non-overlapping reference blocks
 ``(width + 1) // 2`` words; any run of ``width`` words holds a whole block. The blocks are the
 index, and every rolling window of the block length, at every place of every document, probes
 it. A place is a hit if its window is a block that the corpus holds twice or more. Hits are then
-extended: every ``width``-word window around a hit is looked up by a longer hash, and those found
+extended: every ``width``-word window around a hit is looked up by a hash of 88 bits, and those found
 twice join into maximal exact repeats.
 
 Both look-ups move hashes, not words: a task sorts the hashes of some millions of places and
@@ -128,9 +128,9 @@ def partition_of(hashes: np.ndarray, parts: int) -> np.ndarray:
 
 
 def short_key(hashes: np.ndarray, parts: int) -> np.ndarray:
-    """Partition and the lower 32 bits of a hash: enough within a partition of bounded size, as
-    what is found is looked up once more by 96 bits."""
-    return partition_of(hashes, parts).astype(np.uint64) << _U64(32) | hashes & _U64(0xFFFFFFFF)
+    """Partition and the lower 28 bits of a hash: enough within a partition of bounded size (one
+    place in two thousand is taken for a hit), as what is found is looked up once more."""
+    return partition_of(hashes, parts).astype(np.uint64) << _U64(32) | hashes & _U64(0xFFFFFFF)
 
 
 def _send(width: int, block: int, parts: int, exact: bool) -> Callable:
@@ -157,7 +157,7 @@ def _send(width: int, block: int, parts: int, exact: bool) -> Callable:
                     places = np.flatnonzero(reach[: max(n - width + 1, 0)] & texts.whole(width))
                     chunk.add(
                         texts, keys[a:b], places, texts.windows(hashes, width)[places],
-                        (texts.windows(hashes, width, second=True)[places] & _U64(0xFFFFFFFF)).astype(np.uint32),
+                        (texts.windows(hashes, width, second=True)[places] & _U64(0xFFFFFF)).astype(np.uint32),
                         np.ones(len(places), bool),
                     )
                 else:
