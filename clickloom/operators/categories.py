@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators.ranking import top_n, top_n_per_group
-from clickloom.operators.skew import skew_join
-
-# Up to this many rows a side counts as small enough to send to every task.
-_SMALL = 10_000
+from clickloom.operators.skew import BROADCAST_LIMIT, map_side_join
+from clickloom.workspace import materialize
 
 
 def category_events(details: DataFrame) -> DataFrame:
@@ -78,21 +74,16 @@ def top_sessions_per_category(details: DataFrame, categories: DataFrame, n: int
 
 
 def top_session_details(
-    top_sessions: DataFrame,
-    details: DataFrame,
-    max_rows: int | None = None,
-    distinct_sessions: bool = False,
-    hot: Sequence[Row] | None = None,
+    top_sessions: DataFrame, details: DataFrame, distinct_sessions: bool = False,
+    max_bytes: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """The actions of the top sessions, once per category the session is listed for.
 
-    ``max_rows`` states how many rows the list can have at most (sessions per category times
-    categories). When it is given and small the list goes to every task and the details are
-    not shuffled; otherwise the join cuts hot sessions into chunks.
+    The list is written out, so its size is known: within ``max_bytes`` it goes to every
+    task and the details are not shuffled, otherwise the join cuts hot sessions.
     """
     listed = top_sessions.select("session_id")
     if distinct_sessions:
         listed = listed.distinct()
-    if max_rows is not None and max_rows <= _SMALL:
-        return details.join(F.broadcast(listed), "session_id").select(*details.columns)
-    return skew_join(details, listed, "session_id", hot=hot).select(*details.columns)
+    listed = materialize(listed, "top-sessions")
+    return map_side_join(details, listed, "session_id", max_bytes=max_bytes).select(*details.columns)

@@ -72,11 +72,12 @@ def area_top_products(
 ) -> DataFrame:
     """The ``n`` most clicked known products of each area with name, status and area level."""
     named = area_clicks.join(products, "product_id").select(
-        "area", "product_id", "click_count", "city_infos", "product_name",
-        product_status(F.col("extend_info")).alias("product_status"),
+        "area", "product_id", "click_count", "city_infos", "product_name", "extend_info",
     )
+    # The status is read from its JSON only for the products that are listed.
     top = top_n_per_group(named, "area", [F.desc("click_count"), F.asc("product_id")], n)
     return top.select(
         "area", area_level(F.col("area"), levels).alias("area_level"), "product_id",
-        "click_count", "city_infos", "product_name", "product_status",
+        "click_count", "city_infos", "product_name",
+        product_status(F.col("extend_info")).alias("product_status"),
     )

@@ -45,9 +45,7 @@ def session_job(
     details = materialize(sessions.session_details(kept, actions, hot), "details", f"{folder}/details")
     top_categories = categories.top_categories(details, TOP_CATEGORIES)
     top_sessions = categories.top_sessions_per_category(details, top_categories, TOP_SESSIONS)
-    top_details = categories.top_session_details(
-        top_sessions, details, max_rows=TOP_CATEGORIES * TOP_SESSIONS
-    )
+    top_details = categories.top_session_details(top_sessions, details)
     sample = sessions.with_lists(sessions.sample_sessions(kept, extract), details, hot)
     extracted = sessions.as_extract_rows(sample)
     found = {

@@ -233,7 +233,7 @@ def top_sessions(t: Tables) -> DataFrame:
 def top_session_details(t: Tables) -> DataFrame:
     details = materialize(_details(t), "session-details")
     listed = _top_sessions(details)
-    return _detail_columns(categories.top_session_details(listed, details, max_rows=30))
+    return _detail_columns(categories.top_session_details(listed, details))
 
 
 @query

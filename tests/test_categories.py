@@ -95,9 +95,9 @@ def test_details_repeat_per_category_unless_distinct(spark):
     top = spark.createDataFrame(
         [(1, "a", 1), (2, "a", 1)], "category_id bigint, session_id string, click_count bigint"
     )
-    for max_rows in (None, 30):
-        twice = categories.top_session_details(top, df, max_rows)
-        once = categories.top_session_details(top, df, max_rows, distinct_sessions=True)
+    for limit in (0, 1 << 20):
+        twice = categories.top_session_details(top, df, max_bytes=limit)
+        once = categories.top_session_details(top, df, distinct_sessions=True, max_bytes=limit)
         assert Counter(r["action_id"] for r in twice.collect()) == {0: 2, 1: 2}
         assert Counter(r["action_id"] for r in once.collect()) == {0: 1, 1: 1}
         assert twice.columns == df.columns
