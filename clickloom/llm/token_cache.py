@@ -12,8 +12,8 @@ import regex
 from clickloom.llm.token_transducer import PATTERN, PLAIN, byte_letters
 
 #: The most white-space chunks and the most pieces that a worker remembers.
-CHUNKS = 600_000
-PIECES = 500_000
+CHUNKS = 400_000
+PIECES = 450_000
 # Longer ones are rare and would fill the cache.
 _LONGEST = 100
 
