@@ -1,11 +1,12 @@
 """Find benchmark items copied or edited into documents.
 
-Seeds are runs of three words. Every run of every item is counted over all documents; then of
-each six neighbouring runs of an item the rarest becomes a seed, so any copy that keeps eight
-words in a row is met, however common the item's words or its copies are. Where a document
-holds a seed, the item is laid against the passage around it and Smith-Waterman alignment over
-words gives the score: two for an equal word, minus one for a changed, missing or added word,
-divided by what the item scores with itself.
+The filter before the alignment loses nothing. A copy that scores enough keeps some number of the
+item's words, within a bounded stretch of the document; so of the item's words without its commonest
+ones (counted over all documents) it keeps a known number at least, whichever words were edited and
+even if no two words in a row are left. Stretches with that many of them, and with enough words of
+the whole item, are laid against the item. Smith-Waterman alignment over words gives the score: two
+for an equal word, minus one for a changed, missing or added word, divided by what the item scores
+with itself.
 
 Words are compared in lower case without ASCII punctuation. The benchmark goes to the tasks in
 blocks of bounded size; the documents are read twice for each block and never shuffled.
@@ -13,24 +14,28 @@ blocks of bounded size; the documents are read twice for each block and never sh
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.words import Texts, slices
 from clickloom.workspace import materialize, work_path
 
-SEED = 3
-STRETCH = 6
+#: Items of fewer words match nothing.
+LEAST_WORDS = 3
 MIN_SCORE = 0.5
 MATCH, MISS, GAP = 2, -1, -1
+#: One in so many of the equal words that a score takes must be marks.
+MARKS = 3
 #: The most words of benchmark items sent to the tasks at once.
 BLOCK_WORDS = 500_000
 _CELLS = 1 << 19
+_HITS = 1 << 21
 _BITS = 22
 _FOLD = bytes(32 if 32 <= c < 127 and not chr(c).isalnum() else c for c in range(256))
 
@@ -67,22 +72,17 @@ class _Lookup:
         return place[right], at[right]
 
 
-def _item_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b in slices(batch.column(1)):
             texts = folded(batch.column(1).slice(a, b - a))
-            words = texts.hashes()
-            gram = np.zeros(len(words), np.uint64)
-            made = texts.windows(words, SEED)
-            gram[: len(made)] = made
-            whole = np.zeros(len(words), bool)
-            whole[: len(made)] = texts.whole(SEED)
-            owner = texts.text_of_word()
+            words, owner = texts.hashes(), texts.text_of_word()
+            place = np.arange(len(words)) - texts.first[owner]
+            long = texts.n_words[owner] >= LEAST_WORDS
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a).take(pa.array(owner)),
-                 pa.array(np.arange(len(words)) - texts.first[owner]), pa.array(words.view(np.int64)),
-                 pa.array(gram.view(np.int64), mask=~whole)],
-                ["item", "place", "word", "gram"],
+                [batch.column(0).slice(a, b - a).take(pa.array(owner[long])),
+                 pa.array(place[long]), pa.array(words[long].view(np.int64))],
+                ["item", "place", "word"],
             )
 
 
@@ -91,14 +91,11 @@ def _counted(lookup: "_Lookup"):
         total = np.zeros(len(lookup.hashes), np.int64)
         for batch in batches:
             for a, b in slices(batch.column(0)):
-                texts = folded(batch.column(0).slice(a, b - a))
-                gram = texts.windows(texts.hashes(), SEED)
-                place, at = lookup.find(gram)
-                place_ok = texts.whole(SEED)[place]
-                total += np.bincount(at[place_ok], minlength=len(total))
+                _, at = lookup.find(folded(batch.column(0).slice(a, b - a)).hashes())
+                total += np.bincount(at, minlength=len(total))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(lookup.hashes[some].view(np.int64)), pa.array(total[some])], ["gram", "n"]
+            [pa.array(lookup.hashes[some].view(np.int64)), pa.array(total[some])], ["word", "n"]
         )
 
     return run
@@ -136,50 +133,101 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarr
 
 
 class _Block:
-    """Seeds and words of a bounded part of the benchmark, as arrays."""
+    """Words of a bounded part of the benchmark, and those of each item that find its copies.
 
-    def __init__(self, table: pa.Table) -> None:
+    A score of ``least`` takes ``need`` equal words at least, and its alignment covers ``span`` words
+    of the document at most. An item of ``size`` words with ``size - need + times`` of them taken as
+    marks therefore has ``times`` marks in any such copy.
+    """
+
+    def __init__(self, table: pa.Table, least: float) -> None:
         order = np.lexsort((table["place"].to_numpy(), table["item"].to_numpy()))
         item, word = table["item"].to_numpy()[order], table["word"].to_numpy()[order].view(np.uint64)
-        place = table["place"].to_numpy()[order]
         self.names, first = np.unique(item, return_index=True)
-        self.words = np.split(word, first[1:])
-        seed = table["seed"].to_numpy()[order]
-        gram = table["gram"].to_numpy(zero_copy_only=False)[order][seed].astype(np.int64).view(np.uint64)
-        which = np.searchsorted(self.names, item[seed])
-        by = np.argsort(gram, kind="stable")
-        self.lookup = _Lookup(gram)
-        self.item, self.place = which[by], place[seed][by]
-        self.edge = np.searchsorted(gram[by], self.lookup.hashes)
-        self.edge = np.append(self.edge, len(gram))
+        self.words = np.split(word, first[1:]) if len(first) else []
+        counts = np.split(table["n"].to_numpy()[order], first[1:])
+        size = np.array([len(w) for w in self.words], np.int64)
+        self.need = np.maximum(np.ceil(least * size - 1e-9).astype(np.int64), 1)
+        self.span = size + np.array([math.floor(MATCH * (1 - least) * n + 1e-9) for n in size.tolist()], np.int64)
+        self.times = np.maximum(self.need // MARKS, 1)
+        marks = [np.zeros(0, np.uint64)]
+        for w, n, take in zip(self.words, counts, (size - self.need + self.times).tolist()):
+            marks.append(np.unique(w[np.lexsort((w, n))[:take]]))
+        mark = np.concatenate(marks)
+        which = np.repeat(np.arange(len(size)), [len(m) for m in marks[1:]])
+        by = np.argsort(mark, kind="stable")
+        self.item = which[by]
+        self.marks = _Lookup(mark)
+        self.edge = np.append(np.searchsorted(mark[by], self.marks.hashes), len(mark))
+        # Each word of each item as one number, with how often the item has it.
+        self.known = _Lookup(word)
+        pair = np.repeat(np.arange(len(size)), size) * len(self.known.hashes) + np.searchsorted(self.known.hashes, word)
+        self.pairs = _Lookup(pair.astype(np.uint64))
+        self.often = np.unique(pair, return_counts=True)[1]
 
     def candidates(self, texts: Texts, words: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(document, item, first word, last word + 1) of passages around seeds; passages of
-        one document and item that overlap are one."""
-        place, at = self.lookup.find(texts.windows(words, SEED))
-        ok = texts.whole(SEED)[place]
-        place, at = place[ok], at[ok]
+        """(document, item, first word, last word + 1) of passages that may score enough; passages
+        of one document and item that overlap are one."""
+        place, at = self.marks.find(words)
+        doc = np.searchsorted(texts.first, place, "right") - 1
+        total = np.cumsum(self.edge[at + 1] - self.edge[at])
+        out: list[tuple[int, int, int, int]] = []
+        a = 0
+        while a < len(place):
+            # Whole documents, about _HITS marks at once.
+            done = total[a - 1] if a else 0
+            b = int(np.searchsorted(total, done + _HITS))
+            b = len(place) if b >= len(place) else max(int(np.searchsorted(doc, doc[b])), int(np.searchsorted(doc, doc[a], "right")))
+            out += self._passages(texts, words, place[a:b], at[a:b], doc[a:b])
+            a = b
+        return out
+
+    def _passages(self, texts: Texts, words: np.ndarray, place: np.ndarray, at: np.ndarray, doc: np.ndarray) -> list[tuple[int, int, int, int]]:
         times = self.edge[at + 1] - self.edge[at]
-        if not times.sum():
-            return []
-        start = np.repeat(self.edge[at], times)
         nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        seed, place = start + nth, np.repeat(place, times)
-        item = self.item[seed]
-        doc = np.searchsorted(texts.first, place, "right") - 1
-        size = np.array([len(w) for w in self.words])[item]
-        slack = size // 2 + SEED
-        low = np.maximum(place - self.place[seed] - slack, texts.first[doc])
-        high = np.minimum(place - self.place[seed] + size + slack, texts.first[doc + 1])
-        order = np.lexsort((low, item, doc))
+        item = self.item[np.repeat(self.edge[at], times) + nth]
+        order = np.argsort(item, kind="stable")
+        item, place, doc = item[order], np.repeat(place, times)[order], np.repeat(doc, times)[order]
+        last = np.arange(len(item)) + self.times[item] - 1
+        some = np.flatnonzero(last < len(item))
+        last = last[some]
+        span = self.span[item[some]]
+        ok = (item[last] == item[some]) & (doc[last] == doc[some]) & (place[last] - place[some] < span)
+        some, last, span = some[ok], last[ok], span[ok]
+        if not len(some):
+            return []
+        item, doc = item[some], doc[some]
+        low = np.maximum(place[last] + 1 - span, texts.first[doc])
+        high = np.minimum(place[some] + span, texts.first[doc + 1])
+        new = np.ones(len(some), bool)
+        new[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (low[1:] > high[:-1])
+        begin = np.flatnonzero(new)
+        high = high[np.append(begin[1:], len(new)) - 1]
+        item, doc, low = item[begin], doc[begin], low[begin]
         out: list[tuple[int, int, int, int]] = []
-        for d, i, x, y in zip(*(v[order].tolist() for v in (doc, item, low, high))):
-            if out and out[-1][:2] == (d, i) and x <= out[-1][3]:
-                out[-1] = (d, i, out[-1][2], max(y, out[-1][3]))
-            else:
-                out.append((d, i, x, y))
+        ends = np.cumsum(high - low)
+        a = 0
+        while a < len(item):
+            b = max(int(np.searchsorted(ends, (ends[a - 1] if a else 0) + _HITS)), a + 1)
+            enough = self._enough(words, item[a:b], low[a:b], high[a:b])
+            out += zip(*(v[a:b][enough].tolist() for v in (doc, item, low, high)))
+            a = b
         return out
 
+    def _enough(self, words: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Which passages hold as many words of their items, each as often as the item has it, as
+        the score takes."""
+        size = high - low
+        passage = np.repeat(np.arange(len(item)), size)
+        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size)
+        known, number = self.known.find(words[place])
+        passage = passage[known]
+        here, pair = self.pairs.find((item[passage] * len(self.known.hashes) + number).astype(np.uint64))
+        both, n = np.unique(passage[here] * len(self.often) + pair, return_counts=True)
+        held = np.minimum(n, self.often[both % len(self.often)])
+        total = np.bincount(both // len(self.often), weights=held, minlength=len(item))
+        return total >= self.need[item]
+
 
 def _scored(block: _Block, least: float):
     names = ["doc", "item", "score", "start_word", "end_word"]
@@ -238,31 +286,24 @@ def contaminated(
     )
     items = benchmark.select(F.col(f"`{item_id}`").alias("item_id"), F.col(f"`{item_text}`").alias("text"))
     items = items.withColumn("item", F.xxhash64("item_id", "text")).dropDuplicates(["item"])
-    grams = materialize(
-        items.select("item", "text").mapInArrow(_item_grams, "item long, place long, word long, gram long"),
-        "benchmark-grams",
+    words = materialize(
+        items.select("item", "text").mapInArrow(_item_words, "item long, place long, word long"),
+        "benchmark-words",
     )
-    size = grams.count()
+    size = words.count()
     blocks = max(1, -(-2 * size // block_words)) if size > block_words else 1
     folder = work_path(spark, "contaminated")
     schema = rows.select("doc").schema.add("item", "long").add("score", "double").add("start_word", "long").add("end_word", "long")
     for number in range(blocks):
-        mine = grams.where(F.pmod(F.col("item"), F.lit(blocks)) == number)
-        known = mine.where("gram is not null").select("gram").distinct().toArrow()["gram"].to_numpy()
+        mine = words.where(F.pmod(F.col("item"), F.lit(blocks)) == number)
+        known = mine.select("word").distinct().toArrow()["word"].to_numpy()
         counts = rows.select("text").mapInArrow(
-            _counted(_Lookup(known.view(np.uint64))), "gram long, n long"
-        ).groupBy("gram").agg(F.sum("n").alias("n"))
-        ahead = Window.partitionBy("item").orderBy("place").rowsBetween(0, STRETCH - 1)
-        rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram", "place")).over(ahead)
-        seeds = (
-            mine.where("gram is not null").join(counts, "gram", "left")
-            .select("item", rarest.alias("r")).select("item", F.col("r.place").alias("place")).distinct()
+            _counted(_Lookup(known.view(np.uint64))), "word long, n long"
+        ).groupBy("word").agg(F.sum("n").alias("n"))
+        block = _Block(
+            mine.join(counts, "word", "left").select("item", "place", "word", F.coalesce("n", F.lit(0)).alias("n")).toArrow(),
+            least,
         )
-        marked = mine.join(seeds.withColumn("seed", F.lit(True)), ["item", "place"], "left")
-        block = _Block(marked.select(
-            "item", "place", "word", F.coalesce("gram", F.lit(0)).alias("gram"),
-            F.coalesce("seed", F.lit(False)).alias("seed"),
-        ).toArrow())
         rows.mapInArrow(_scored(block, least), schema).write.mode("append").parquet(folder)
     found = spark.read.schema(schema).parquet(folder)
     return found.join(items.select("item", "item_id"), "item").select(

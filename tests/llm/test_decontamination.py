@@ -86,3 +86,36 @@ def test_empty_tables(spark):
     assert dc.leak_report(docs, bench).collect() == []
     assert dc.leak_report(some, bench).collect() == []
     assert dc.without_leaks(some, bench).count() == 1
+
+
+def test_copies_edited_everywhere(spark):
+    """Edits every 2 to 8 words, the untouched item elsewhere: all that the alignment accepts is found."""
+    rng = random.Random(4)
+    items, text = make(rng)
+    items = items[:4] + [["the", "of"] * 9, [f"w{k % 5}" for k in range(20)]]
+    rows = []
+    for i, item in enumerate(items):
+        rows += [(1000 * i, text(40) + item + text(40)), (1000 * i + 1, text(20) + item + text(20))]
+        for step in range(2, 9):
+            for first in range(min(step, 3)):
+                changed, added, dropped = [], [], []
+                for k, w in enumerate(item):
+                    at = k % step == first
+                    changed.append("zz" if at else w)
+                    added += [w, "zz"] if at else [w]
+                    dropped += [] if at else [w]
+                for kind, copy in enumerate((changed, added, dropped)):
+                    rows.append((1000 * i + 100 * kind + 10 * step + first, text(30) + copy + text(30)))
+        rows.append((1000 * i + 500, text(10) + [x for w in item for x in (w, "zz")] + text(10)))
+    numbers = {}
+    code = lambda ws: np.array([numbers.setdefault(w, len(numbers) + 2) for w in ws], np.uint64)
+    want = set()
+    for j, item in enumerate(items):
+        scores, _ = dc.align([code(item)] * len(rows), [code(w) for _, w in rows])
+        want |= {(rows[k][0], j) for k in np.flatnonzero(scores >= len(item))}
+    df = spark.createDataFrame([(i, " ".join(w), "x", 1) for i, w in rows], SCHEMA)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    for block in (100, 500_000):
+        got = {(r.doc_id, r.item_id) for r in dc.leak_report(df, bench, block_words=block).collect()}
+        assert got == want
+    assert sum(d // 1000 == j and d % 1000 >= 5 for d, j in want) > 100
