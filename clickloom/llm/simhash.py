@@ -15,6 +15,7 @@ all its pairs: links keep their components, and a group of k members gives fewer
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from clickloom.llm.components import components
 from clickloom.llm.words import slices
@@ -68,27 +70,43 @@ def fingerprint(hashes: np.ndarray, n: int = 1) -> np.ndarray:
     return out
 
 
-def with_fingerprint(docs: DataFrame, text: str, width: int, n: int = 1) -> DataFrame:
-    """All columns but the text, and ``fp``: the ``n`` fingerprint words as big-endian bytes.
+def prefix(hashes: np.ndarray, few: int, share: float) -> np.ndarray:
+    """The smallest hashes of a set of ``few`` at most, as many that sets alike in ``share`` have one
+    of them in common. Larger sets have none."""
+    own = np.unique(hashes)
+    if not 0 < len(own) <= few:
+        return own[:0]
+    return own[: len(own) - math.ceil(share * len(own) - 1e-9) + 1]
+
+
+def with_fingerprint(
+    docs: DataFrame, text: str, width: int, n: int = 1, few: int = 0, share: float = 1.0
+) -> DataFrame:
+    """All columns but the text, and ``fp``: the ``n`` fingerprint words as big-endian bytes; with
+    ``few``, also ``short``: the :func:`prefix` of texts of few shingles.
 
     A NULL text counts as empty; without words the fingerprint is zero.
     """
     kept = [c for c in docs.columns if c != text]
     source = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").alias("_text"))
     schema = source.drop("_text").schema.add("fp", "binary")
+    names = [*kept, "fp"]
+    if few:
+        schema, names = schema.add("short", ArrayType(LongType())), [*names, "short"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(len(kept)).cast(pa.large_binary())
             for a, b in slices(texts):
-                made = [
-                    fingerprint(shingle_hashes(t.as_py(), width), n).astype(">u8").tobytes()
-                    for t in texts.slice(a, b - a)
-                ]
-                part = batch.slice(a, b - a).columns[: len(kept)]
-                yield pa.RecordBatch.from_arrays(
-                    [*part, pa.array(made, pa.binary())], [*kept, "fp"]
-                )
+                made, short = [], []
+                for t in texts.slice(a, b - a):
+                    hashes = shingle_hashes(t.as_py(), width)
+                    made.append(fingerprint(hashes, n).astype(">u8").tobytes())
+                    short.append(prefix(hashes, few, share).view(np.int64))
+                part = [*batch.slice(a, b - a).columns[: len(kept)], pa.array(made, pa.binary())]
+                if few:
+                    part.append(pa.array(short, pa.list_(pa.int64())))
+                yield pa.RecordBatch.from_arrays(part, names)
 
     return source.mapInArrow(run, schema)
 
@@ -111,16 +129,19 @@ def pigeonring_keys(fp: Column) -> Column:
 
 
 def segment_index(words: int, width: int) -> Callable:
-    """Task code that gives ``(fp, key)`` for each ``width``-bit segment of long fingerprints."""
+    """Task code that gives ``(fp, key)`` for each ``width``-bit segment of long fingerprints, taken
+    in a row and, once more, from bits that lie apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = 64 * words // width
         scale = 1 << np.arange(width - 1, -1, -1)
+        apart = np.arange(n * width).reshape(width, n).T.reshape(-1)
         for batch in batches:
             raw = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8)
-            bits = np.unpackbits(raw.reshape(-1, 8 * words), axis=1)[:, : n * width]
-            value = bits.reshape(-1, n, width) @ scale + (np.arange(n) << width)
-            fps = batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), n)))
+            bits = np.unpackbits(raw.reshape(-1, 8 * words), axis=1)
+            bits = np.concatenate([bits[:, : n * width], bits[:, ::-1][:, apart]], axis=1)
+            value = bits.reshape(-1, 2 * n, width) @ scale + (np.arange(2 * n) << width)
+            fps = batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), 2 * n)))
             yield pa.RecordBatch.from_arrays([fps, pa.array(value.reshape(-1))], ["fp", "key"])
 
     return run
@@ -163,7 +184,19 @@ def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def linked_rows(group: np.ndarray, side: np.ndarray, fps: np.ndarray, bits: int) -> list[np.ndarray]:
+def _alike(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, share: float) -> np.ndarray:
+    """Which pairs of sets (rows ``a`` and ``b``) have a Jaccard similarity of ``share`` or more."""
+    out = []
+    for k, (i, j) in enumerate(zip(a.tolist(), b.tolist())):
+        x, y = sets[i], sets[j]
+        if min(len(x), len(y)) >= share * max(len(x), len(y), 1):
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if both >= share * (len(x) + len(y) - both) - 1e-9:
+                out.append(k)
+    return np.array(out, np.int64)
+
+
+def linked_rows(group: np.ndarray, side: np.ndarray, near_of: Callable) -> list[np.ndarray]:
     """Row pairs that link all close members of each group, given sorted by group.
 
     Rows are compared with those 1, 2, 3... places on. Rows already joined are not compared
@@ -179,7 +212,7 @@ def linked_rows(group: np.ndarray, side: np.ndarray, fps: np.ndarray, bits: int)
         a = a[(label[a] != label[a + lag]) & ((side[a] == 0) | (side[a] != side[a + lag]))]
         for at in range(0, len(a), 1 << 16):
             part = a[at : at + (1 << 16)]
-            near = part[_close(fps[part], fps[part + lag], bits)]
+            near = part[near_of(part, part + lag)]
             if len(near):
                 out.append(np.stack([near, near + lag]))
         if out and len(a):
@@ -188,16 +221,18 @@ def linked_rows(group: np.ndarray, side: np.ndarray, fps: np.ndarray, bits: int)
     return out
 
 
-def _compare(bits: int, words: int) -> Callable:
+def _compare(near: Callable) -> Callable:
+    """Task code that links the members of groups; ``near`` makes of their last column the test of
+    row pairs."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def links_of(table: pa.RecordBatch) -> pa.RecordBatch:
             group = table.column(0).to_numpy(zero_copy_only=False)
             side = table.column(1).to_numpy(zero_copy_only=False)
-            raw = b"".join(table.column(2).to_pylist())
-            fps = np.frombuffer(raw, ">u8").astype(np.uint64).reshape(-1, words)
-            pairs = np.concatenate([np.zeros((2, 0), np.int64), *linked_rows(group, side, fps, bits)], axis=1)
+            test = near(table.column(table.num_columns - 1))
+            pairs = np.concatenate([np.zeros((2, 0), np.int64), *linked_rows(group, side, test)], axis=1)
             u, v = (table.column(2).take(pa.array(end)) for end in pairs)
             return pa.RecordBatch.from_arrays([u, v], ["u", "v"])
 
@@ -234,42 +269,79 @@ def links(keyed: DataFrame, bits: int, words: int = 1, block: int = BLOCK) -> Da
     else:
         large = materialize(sizes.where(F.col("n") > block), "simhash-large")
         met = keyed.join(large, "key", "left").withColumn("n", F.coalesce("n", F.lit(1)))
-    met = met.select("fp", "key", F.ceil(F.col("n") / F.lit(block)).cast("int").alias("n"))
+
+    def near(column: pa.Array) -> Callable:
+        fps = np.frombuffer(b"".join(column.to_pylist()), ">u8").astype(np.uint64).reshape(-1, words)
+        return lambda a, b: _close(fps[a], fps[b], bits)
+
+    return _linked(met, block, near)
+
+
+def _linked(met: DataFrame, block: int, near: Callable) -> DataFrame:
+    """Links among the rows ``(fp, key, n)`` of each key, of which there are ``n``; further columns
+    go to the tasks too."""
+    more = [c for c in met.columns if c not in ("fp", "key", "n")]
+    met = met.select("fp", *more, "key", F.ceil(F.col("n") / F.lit(block)).cast("int").alias("n"))
     mine = F.pmod(F.xxhash64("fp"), F.col("n")).cast("int")
     spread = met.select(
-        "fp", "key", mine.alias("mine"),
+        "fp", *more, "key", mine.alias("mine"),
         F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other"),
     )
     low, high = F.least("mine", "other"), F.greatest("mine", "other")
     side = F.when(low == high, 0).when(F.col("mine") == low, 1).otherwise(2).cast("int")
-    grouped = spread.select(F.xxhash64("key", low, high).alias("group"), side.alias("side"), "fp")
+    grouped = spread.select(F.xxhash64("key", low, high).alias("group"), side.alias("side"), "fp", *more)
     return (
         grouped.repartition("group").sortWithinPartitions("group", "side", "fp")
-        .mapInArrow(_compare(bits, words), "u binary, v binary")
+        .mapInArrow(_compare(near), "u binary, v binary")
         .distinct()
     )
 
 
+def alike(members: DataFrame, width: int, share: float, block: int = BLOCK) -> DataFrame:
+    """Links ``(u, v)`` among the rows ``(fp, root, text)`` of each root: they connect what the pairs
+    of a Jaccard similarity of ``share`` or more over shingles connect."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(2).cast(pa.large_binary())
+            for a, b in slices(texts):
+                made = [np.unique(shingle_hashes(t.as_py(), width)).tobytes() for t in texts.slice(a, b - a)]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.slice(a, b - a).columns[:2], pa.array(made, pa.binary())], ["fp", "key", "shingles"]
+                )
+
+    def near(column: pa.Array) -> Callable:
+        held = [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
+        return lambda a, b: _alike(held, a, b, share)
+
+    made = materialize(members.mapInArrow(sets, "fp binary, key binary, shingles binary"), "simhash-sets")
+    large = materialize(made.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block), "simhash-large-sets")
+    return _linked(made.join(large, "key", "left").withColumn("n", F.coalesce("n", F.lit(1))), block, near)
+
+
 def groups(
     docs: DataFrame, text: str = "text", width: int = 3, words: int = 1, bits: int = BITS,
-    segment: int = 14,
+    segment: int = 14, few: int = 0, share: float = 1.0,
 ) -> tuple[DataFrame, DataFrame]:
     """Fingerprints of all documents, and the component of every linked fingerprint.
 
     Returns ``(rows, linked)``: the documents' other columns with ``fp``, and ``(node, root)``
     for each fingerprint that has a link to another. With one word and 3 bits the links are
     complete. With several words candidates must share one ``segment`` of bits, each of which
-    is a chain of its own; the more segments there are, the fewer links that misses.
+    is a chain of its own; the more segments there are, the fewer links that misses. Texts of
+    ``few`` shingles at most are also candidates by a :func:`prefix` for ``share``.
     """
     if words == 1 and bits > BITS:
         raise ValueError(f"one word is indexed for {BITS} bits at most")
-    rows = materialize(with_fingerprint(docs, text, width, words), "simhash")
+    rows = materialize(with_fingerprint(docs, text, width, words, few, share), "simhash")
     distinct = rows.select("fp").distinct()
     if words == 1:
         keys = pigeonring_keys(F.conv(F.hex("fp"), 16, -10).cast("long"))
         keyed = distinct.select("fp", F.explode(F.array_distinct(keys)).alias("key"))
     else:
         keyed = distinct.mapInArrow(segment_index(words, segment), "fp binary, key long")
+        if few:
+            keyed = keyed.unionByName(rows.select("fp", F.explode("short").alias("key")).distinct())
     return rows, components(links(keyed, bits, words), "simhash-links")
 
 
@@ -295,8 +367,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 #: For whole documents alike in 0.8 of their five-word shingles (Jaccard): then about 15 % of the
-#: bits differ, 77 of 512 with a deviation of 8.
-SIMILAR = {"width": 5, "words": 8, "bits": 85, "segment": 14}
+#: bits differ, 77 of 512 with a deviation of 8 (96 for 4 shingles of 5). The bits only find
+#: candidates, so the limit lies far above; ``SHARE`` decides.
+SIMILAR = {"width": 5, "words": 8, "bits": 140, "segment": 14, "few": 80}
+SHARE = 0.8
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
@@ -312,7 +386,16 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how)
         F.col(f"`{doc_id}`").alias("doc_id"), keys[0].alias("k1"), keys[1].alias("k2"),
         F.col(f"`{text}`").alias("text"),
     )
-    rows, linked = groups(narrow, "text", **how)
+    rows, loose = groups(narrow, "text", share=SHARE, **how)
+    # One text of each fingerprint is laid against the others of its loose group.
+    # A root is no node of its own, so it is added.
+    members = loose.select(F.col("node").alias("fp"), "root").unionByName(
+        loose.select(F.col("root").alias("fp"), "root").distinct()
+    )
+    one = rows.groupBy("fp").agg(F.min(F.struct("k1", "k2")).alias("k"))
+    chosen = materialize(one.join(members, "fp").select("fp", "root", "k.k1", "k.k2"), "simhash-chosen")
+    texts = narrow.select("k1", "k2", "text").join(chosen, ["k1", "k2"]).select("fp", "root", "text")
+    linked = components(alike(texts, how["width"], SHARE), "simhash-alike")
     root = rows.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select(
         F.coalesce("root", "fp").alias("root"), F.struct(F.isnull("doc_id"), "doc_id", "k1", "k2").alias("row")
     )

@@ -131,3 +131,27 @@ def test_one_of_each_group_stays(spark):
     kept = simhash.keep_one(df)
     assert kept.columns == df.columns
     assert sorted(r.doc_id for r in kept.collect()) == [*range(40), 500]
+
+
+def test_pairs_are_kept_apart_or_joined_by_their_jaccard(spark):
+    """Just under and at 0.8, long texts and texts of a few shingles."""
+    rng = random.Random(6)
+    word = lambda: f"v{rng.randrange(10**6)}"
+    rows, single = [], set()
+    shingles = lambda ws: {tuple(ws[i : i + 5]) for i in range(len(ws) - 4)}
+    for i in range(150):
+        size = (8, 9, 10, 11, 24, 29, 60, 100, 300, 900)[i % 10]
+        words = [word() for _ in range(size)]
+        other = list(words)
+        if size < 30:
+            other += [word() for _ in range(max(1, size // 5 - 1 + i // 10 % 2))]
+        else:
+            target = (0.70, 0.75, 0.79, 0.805, 0.83)[i // 10 % 5]
+            while len(shingles(words) & shingles(other)) / len(shingles(words) | shingles(other)) > target + 0.005:
+                other.append(word())
+        share = len(shingles(words) & shingles(other)) / len(shingles(words) | shingles(other))
+        rows += [(i, " ".join(words), "x", 1), (1000 + i, " ".join(other), "x", 1)]
+        single |= {i} if share >= 0.8 else {i, 1000 + i}
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert kept == single
+    assert 180 < len(single) < 290
