@@ -6,7 +6,9 @@ tag without its element is ignored, and one that skips open elements closes them
 lays its text into its block when it closes, so the work is linear and nothing recurses.
 
 Hidden: the head, scripts, styles, templates, embedded media, ``hidden`` elements, and inline
-styles with ``display:none`` or ``visibility:hidden``. Rules of style sheets are not applied.
+styles with ``display:none`` or ``visibility:hidden``. Rules of style sheets are not applied. Of
+drawings (svg) the text elements are shown, of formulas (math) all but annotations. Rows without a
+table are laid out where they stand.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 HIDDEN = frozenset(
-    "head script style template noscript iframe object audio video canvas svg math noembed noframes "
+    "head script style template noscript iframe object audio video canvas noembed noframes "
     "title meta link datalist".split()
 )
 BLOCKS = frozenset(
@@ -41,6 +43,18 @@ _ENDS = {
     "body": ({"head"}, {"body"}),
 }
 _CLOSES_P = BLOCKS - {"html", "body", "tr", "td", "th", "thead", "tbody", "tfoot", "caption", "option", "select", "legend"}
+FOREIGN = frozenset(("svg", "math"))
+# Not drawn where they stand.
+_NOT_DRAWN = {
+    "svg": frozenset("defs desc metadata symbol clippath mask pattern marker".split()),
+    "math": frozenset(("annotation", "annotation-xml")),
+}
+_LABELS = frozenset(("text", "foreignobject"))
+# HTML elements that end a drawing they turn up in.
+_BREAKS_OUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 hr i img li menu meta nobr "
+    "ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
 _SCOPE = frozenset("td th table caption html button".split())
 _IN_HEAD = HIDDEN | {"base", "html"}
 _TAG = re.compile(
@@ -54,7 +68,7 @@ _BREAK, _KEEP = "\x00", "\x01"
 
 
 class _Element:
-    __slots__ = ("tag", "shown", "keep", "lines", "inline", "gap", "count", "rows", "span", "block")
+    __slots__ = ("tag", "shown", "keep", "lines", "inline", "gap", "count", "rows", "span", "block", "mute")
 
     def __init__(self, tag: str, shown: bool, keep: bool) -> None:
         self.tag, self.shown, self.keep = tag, shown, keep
@@ -64,6 +78,7 @@ class _Element:
         self.count, self.span = 0, 1
         self.rows: list[list[tuple[list[str], int]]] | None = [] if tag == "table" else None
         self.block = tag in BLOCKS
+        self.mute = False
 
     def flush(self) -> None:
         """End the line of loose text."""
@@ -118,7 +133,7 @@ class _Page:
 
     def text(self, raw: str) -> None:
         top = self.stack[-1]
-        if not top.shown or not raw:
+        if not top.shown or top.mute or not raw:
             return
         value = html.unescape(raw) if "&" in raw else raw
         value = value.replace(_BREAK, "").replace(_KEEP, "")
@@ -139,6 +154,8 @@ class _Page:
         top = self.stack[-1]
         if self.open.get("head") and tag not in _IN_HEAD and tag != "head":
             self.close_to({"head"})
+        if top.mute and tag in _BREAKS_OUT:
+            self.close_to({"svg"})
         if tag in _CLOSES_P and self.has({"p"}, _SCOPE):
             self.close_to({"p"})
         if tag in _ENDS:
@@ -154,9 +171,13 @@ class _Page:
         elif tag == "hr":
             self.blocks[-1].flush()
             self.blocks[-1].gap = bool(self.blocks[-1].lines)
-        elif tag not in VOID:
+        elif tag not in VOID and not (rest.endswith("/") and self.foreign(tag)):
             self.push(tag, rest)
 
+    def foreign(self, tag: str) -> bool:
+        """Whether an element of this tag is part of a drawing or a formula, where ``/>`` closes it."""
+        return tag in FOREIGN or bool(self.open.get("svg") or self.open.get("math")) and not self.open.get("foreignobject")
+
     def push(self, tag: str, rest: str) -> None:
         top = self.stack[-1]
         shown = top.shown and tag not in HIDDEN
@@ -170,12 +191,22 @@ class _Page:
                     span = min(max(int(m[0]), 1), 1000)
         element = _Element(tag, shown, top.keep or tag in ("pre", "textarea", "xmp"))
         element.span = span
+        element.mute = tag == "svg" or top.mute and tag not in _LABELS
+        for kind, tags in _NOT_DRAWN.items():
+            if tag in tags and self.open.get(kind):
+                element.shown = False
+        self.part(tag)
         self.stack.append(element)
         self.open[tag] = self.open.get(tag, 0) + 1
         if element.block:
             self.blocks[-1].flush()
             self.blocks.append(element)
 
+    def part(self, tag: str) -> None:
+        """Keep labels of a drawing and cells of a formula apart."""
+        if tag == "text" and self.open.get("svg") or tag == "mtd" and self.open.get("math"):
+            self.blocks[-1].inline.append(" ")
+
     def close_to(self, tags: set[str]) -> None:
         """Close elements up to and with the nearest of the given ones."""
         while len(self.stack) > 1:
@@ -184,6 +215,8 @@ class _Page:
             if element.block:
                 self.blocks.pop()
                 self.lay(element)
+            else:
+                self.part(element.tag)
             if element.tag in tags:
                 return
 
@@ -206,6 +239,7 @@ class _Page:
                     around.put(lines, False)
                 around.rows.append(element.rows or [])
                 return
+            lines = lines + _table([element.rows or []])
         elif tag == "table":
             lines = lines + _table(element.rows)
         elif tag == "li":
@@ -235,7 +269,7 @@ class _Page:
             stop = {"td", "th", "table"} - {tag}
         if self.has({tag}, stop):
             # An inline end tag does not close the blocks opened inside it.
-            if tag not in BLOCKS and tag not in HIDDEN:
+            if tag not in BLOCKS and tag not in HIDDEN and tag not in FOREIGN:
                 for i in range(len(self.stack) - 1, 0, -1):
                     if self.stack[i].tag == tag:
                         if any(e.block for e in self.stack[i + 1 :]):
@@ -268,7 +302,7 @@ def visible_text(page: str) -> str:
             out.end(name)
             continue
         out.start(name, rest)
-        if name in RAW:
+        if name in RAW and out.stack[-1].tag == name:
             last = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             stop = last.start() if last else n
             if name in ("textarea", "xmp"):

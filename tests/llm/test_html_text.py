@@ -90,3 +90,21 @@ def test_operator(spark):
     assert got == sorted([(1, ""), (2, ""), (None, "x"), (3, "a\n\nb"), (3, "a\n\nb")], key=repr)
     assert extract(df.limit(0)).collect() == []
     assert "br" in VOID
+
+
+SHOWN = {
+    "<tr><td>aa<td>b<tr><td>c": "aa  b\nc",
+    "<table><tr><td>a</table><tr><td>b<td>c</tr></table>d": "a\n\nb  c\nd",
+    "<div><tr><th>a</tr></div>b": "a\nb",
+    "x <math><mi>a</mi><mo>=</mo><mn>2</mn><annotation>TeX</annotation></math> y": "x a=2 y",
+    "<svg><title>t</title><path d='1'/><g>n<text x=1>one</text><text>two</text></g></svg>after": "one two after",
+    "<svg><title/><defs><text>no</text></defs><text>yes</text></svg>": "yes",
+    "<svg hidden><text>no</text></svg>x": "x",
+    "<svg><path><p>out": "out",
+    "<svg><foreignObject><div>in</div></foreignObject></svg>after": "in\nafter",
+}
+
+
+@pytest.mark.parametrize("page", SHOWN)
+def test_rows_without_a_table_and_labels_are_shown(page):
+    assert visible_text(page) == SHOWN[page]
