@@ -8,9 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontamination, html_text, mixing, quality, simhash, sql, substring_dedup, token_files, token_transducer, warc
+from clickloom.llm import (
+    centroids, decontamination, html_text, mixing, quality, simhash, sql, substring_dedup, token_files,
+    token_transducer, url_rules, warc, whitening,
+)
 
 TOKEN_LIMIT = 2048
+# The host rules; after them this library's own patterns for the hosts they leave open.
+URL_RULES = [
+    url_rules.Rule("org/", "allow", True), url_rules.Rule("example.org/es/", "block", True),
+    url_rules.Rule("example.org/en/1", "block", True), url_rules.Rule("com/fr/", "allow", True),
+    url_rules.Rule("com/de/", "block", True),
+    *(url_rules.Rule(text, "block") for text in (
+        "||casino-", "||free-bets.", "||cheap-pills.", "||spam-", "||adult-", "||ads-track.")),
+]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -73,6 +84,24 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_report(_table(spark, folder, "pages"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Whitened components of every embedding; a deviation beyond a long is NULL."""
+    made = whitening.whiten(_table(spark, folder, "embeddings"))
+    return made.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+def op12_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on the URL of every page."""
+    pages = _table(spark, folder, "pages").select("page_id", "url")
+    judged = url_rules.judge(pages, url_rules.rule_frame(pages, URL_RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
+
+
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """Cluster of every embedding of 64 components."""
+    return centroids.cluster_vectors(_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontamination": op2_decontamination,
@@ -84,10 +113,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_warc": op10_warc,
+    "op11_whitening": op11_whitening,
+    "op12_url_rules": op12_url_rules,
+    "op13_centroids": op13_centroids,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": sql.SUBSTRING_DEDUP,
     "op7_mixing": sql.MIXING,
     "op10_warc": sql.WARC,
+    "op12_url_rules": sql.URL_RULES,
+    "op13_centroids": sql.CENTROIDS,
 }

@@ -63,3 +63,63 @@ select page_id, payload_bytes,
   case when page_id is not distinct from first_page then null else first_page end as refers_to
 from p join f using (address)
 """
+
+URL_RULES = r"""
+with p as (
+  select page_id, row_number() over () as r,
+    translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path
+  from pages),
+h(h_host, h_path, h_verdict) as (values
+  ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+b as (
+  select r, arg_max(h_host || h_path, length(h_host || h_path)) as rule,
+    arg_max(h_verdict, length(h_host || h_path)) as rule_verdict
+  from p join h on (host = h_host or ends_with(host, '.' || h_host)) and starts_with(path, h_path)
+  group by r),
+t(start_) as (values ('casino-'), ('free-bets.'), ('cheap-pills.'), ('spam-'), ('adult-'), ('ads-track.')),
+m as (
+  select r, arg_max('||' || start_, (length(start_), -ascii(start_))) as pattern
+  from p join t on starts_with(host, start_) or contains(host, '.' || start_) group by r)
+select page_id, host, path, rule, coalesce(rule_verdict, case when pattern is null then 'allow' else 'block' end) as verdict,
+  case when rule is null then pattern end as pattern
+from p left join b using (r) left join m using (r)
+"""
+
+
+def _centroid_rounds(rounds: int) -> str:
+    """Assignment and replacement, one pair of tables per round."""
+    made = []
+    for i in range(rounds):
+        made.append(f"""
+a{i} as materialized (
+  select r, arg_min(j, (list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), j)) as j
+  from v cross join c{i} group by r),
+s{i} as (
+  select j, g as i, sum(x[g])::bigint as s, count(*) as n
+  from a{i} join v using (r) cross join range(1, 65) as t(g) group by j, g),
+m{i} as (select j, list((s - ((s % n) + n) % n) // n order by i) as c from s{i} group by j),
+c{i + 1} as materialized (select c{i}.j, coalesce(m{i}.c, c{i}.c) as c from c{i} left join m{i} using (j))""")
+    return ",".join(made)
+
+
+CENTROIDS = rf"""
+with v as materialized (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda e: floor(1024 * e::double)::bigint) as x
+  from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda e: e is not null and isfinite(e))) = 64),
+c0 as materialized (
+  select (row_number() over (order by sha256('3:' || vec_id)) - 1)::int as j, x as c
+  from v order by sha256('3:' || vec_id) limit 8),{_centroid_rounds(10)},
+d as (
+  select r, vec_id, j, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d
+  from v cross join c10),
+f as materialized (select r, any_value(vec_id) as vec_id, arg_min(j, (d, j)) as j, min(d) as d from d group by r),
+t as (select j, sum(d)::bigint as own from f group by j)
+select f.vec_id, f.j::int as cluster, f.d::bigint as distance, t.own as cluster_inertia,
+  (select sum(own) from t)::bigint as inertia,
+  sha256(array_to_string(c10.c, ',')) as centroid_sha256
+from f join t using (j) join c10 using (j)
+"""

@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from clickloom.llm import centroids
+from clickloom.llm.centroids import Centroids
+
+SCHEMA = "vec_id long, embedding array<float>, cluster string, planes int"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+
+
+def brute(rows, k=8, rounds=10):
+    """Plain k-means over the kept rows, in Python integers."""
+    kept = [(i, [math.floor(1024 * float(np.float32(c))) for c in v]) for i, v in rows
+            if v is not None and len(v) == 64 and all(c is not None and math.isfinite(c) for c in v)]
+    digest = lambda i: hashlib.sha256(f"3:{i}".encode()).hexdigest() if i is not None else "z"
+    chosen = sorted(kept, key=lambda r: digest(r[0]))[:k]
+    c = [x for _, x in chosen]
+    far = lambda a, b: sum((p - q) ** 2 for p, q in zip(a, b))
+    near = lambda x: min((far(x, y), j) for j, y in enumerate(c))
+    for _ in range(rounds):
+        groups = {}
+        for _, x in kept:
+            groups.setdefault(near(x)[1], []).append(x)
+        c = [[sum(col) // len(groups[j]) for col in zip(*groups[j])] if j in groups else y for j, y in enumerate(c)]
+    found = [(i, *near(x)[::-1]) for i, x in kept]
+    own = {}
+    for _, j, d in found:
+        own[j] = own.get(j, 0) + d
+    sha = [hashlib.sha256(",".join(map(str, y)).encode()).hexdigest() for y in c]
+    return sorted(((i, j, d, own[j], sum(own.values()), sha[j]) for i, j, d in found), key=repr)
+
+
+def vectors(n, seed=1, scale=1.0):
+    rng = random.Random(seed)
+    return [[rng.gauss(i % 5 * 0.3, 0.5) * scale for _ in range(64)] for i in range(n)]
+
+
+@given(st.lists(st.lists(st.integers(-centroids.LARGEST, centroids.LARGEST), min_size=64, max_size=64), min_size=1, max_size=5),
+       st.integers(0, 27))
+@settings(max_examples=60, deadline=None)
+def test_planes_are_exact(rows, shift):
+    x = np.array(rows, np.int64) >> shift
+    planes = centroids.pack(x)
+    assert np.array_equal(centroids.unpack(planes), x)
+    assert np.array_equal(centroids.dots(planes, planes), x @ x.T)
+    assert np.array_equal(centroids.lengths(planes), (x * x).sum(axis=1))
+    c = np.roll(x, 1, axis=1)
+    at, distance = Centroids(c).nearest(planes)
+    full = ((x[:, None] - c[None]) ** 2).sum(axis=2)
+    assert np.array_equal(at, full.argmin(axis=1)) and np.array_equal(distance, full.min(axis=1))
+
+
+def test_more_centroids_than_a_block(monkeypatch):
+    monkeypatch.setattr(centroids, "BLOCK", 3)
+    x = np.random.default_rng(4).integers(-50, 50, (40, 64))
+    c = np.concatenate([x[:10], x[:10]])
+    at, distance = Centroids(c).nearest(centroids.pack(x))
+    full = ((x[:, None] - c[None]) ** 2).sum(axis=2)
+    assert np.array_equal(at, full.argmin(axis=1)) and np.array_equal(distance, full.min(axis=1))
+
+
+def test_planes_of_several_widths_meet():
+    x = np.array([[1] * 64, [-3] * 64, [1000] * 64, [-4096] * 64])
+    stored = [centroids.pack(x[i : i + 1]).astype("<u8").tobytes() for i in range(4)]
+    assert len({len(s) for s in stored}) > 1
+    assert np.array_equal(centroids.unpack(centroids._batch_planes(pa.array(stored, pa.binary()))), x)
+
+
+@pytest.mark.parametrize("case", ["plain", "edges", "few", "one", "tens"])
+def test_equals_brute_force(spark, case):
+    made = vectors(150)
+    rows = list(enumerate(made))
+    if case == "edges":
+        odd = [None, [], [1.0] * 63, [1.0] * 65, [None] + [1.0] * 63, [math.nan] + [1.0] * 63, [math.inf] + [1.0] * 63]
+        rows = rows[:40] + [(1000 + i, v) for i, v in enumerate(odd)] + rows[:20] + [(None, made[60]), (None, [0.0] * 64)]
+        rows += [(2000 + i, made[3]) for i in range(60)]
+    elif case == "few":
+        rows = rows[:5]
+    elif case == "one":
+        rows = [(i, made[0]) for i in range(30)]
+    elif case == "tens":
+        rows = list(enumerate(vectors(60, scale=900)))
+    got = sorted((tuple(r) for r in centroids.cluster_vectors(frame(spark, rows)).collect()), key=repr)
+    assert got == brute(rows)
+
+
+def test_empty_tables(spark):
+    for rows in ([], [(1, None), (2, [1.0])]):
+        out = centroids.cluster_vectors(frame(spark, rows))
+        assert out.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+        assert out.collect() == []
+
+
+def test_components_out_of_range_are_an_error(spark):
+    with pytest.raises(Exception, match="would not fit a long"):
+        centroids.cluster_vectors(frame(spark, [(1, [1e9] * 64)])).collect()
