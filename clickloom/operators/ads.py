@@ -51,11 +51,16 @@ def ad_stat(clicks: DataFrame) -> DataFrame:
     return _count(clicks, ["date", "province", "city", "ad_id"])
 
 
+def province_clicks(stat: DataFrame) -> DataFrame:
+    """Clicks per (date, province, ad) of area counts."""
+    return _count(stat, ["date", "province", "ad_id"])
+
+
 def ad_province_top3(stat: DataFrame, n: int = 3, per_day: bool = True) -> DataFrame:
     """The ``n`` most clicked ads of each province, per day or (``per_day=False``) over all
     days, where each (day, ad) competes as a row of its own."""
     group = ["date", "province"] if per_day else ["province"]
-    totals = _count(stat, ["date", "province", "ad_id"])
+    totals = province_clicks(stat)
     order = [F.desc("click_count"), F.asc("ad_id"), F.asc("date")]
     return top_n_per_group(totals, group, order, n).select(
         "date", "province", "ad_id", "click_count"

@@ -90,13 +90,15 @@ def news_job(access: DataFrame, date: str | None = None) -> dict[str, DataFrame]
 
 
 def ad_job(
-    lines: DataFrame, root: str, threshold: int = BLACKLIST_THRESHOLD, interval: str | None = stream.INTERVAL
+    lines: DataFrame, root: str, threshold: int = BLACKLIST_THRESHOLD, interval: str | None = stream.INTERVAL,
+    buckets: int = 1,
 ) -> tuple[StreamingQuery, stream.AdTables]:
     """Start the real-time ad statistics over a stream of log lines.
 
-    Its tables lie under ``root``, with the checkpoint from which a new start goes on.
+    Its tables lie under ``root``, with the checkpoint from which a new start goes on. ``buckets``
+    as in :meth:`~clickloom.streaming.ads.AdTables.under`.
     """
-    tables = stream.AdTables.under(lines.sparkSession, root)
+    tables = stream.AdTables.under(lines.sparkSession, f"{root}/tables", buckets=buckets)
     query = stream.start(lines, stream.job_batch(tables, threshold), f"{root}/checkpoint", interval=interval)
     return query, tables
 

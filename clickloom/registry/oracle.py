@@ -650,13 +650,11 @@ def oracle_sql() -> dict[str, str]:
         ),
         "append_sink": area_top,
         "upsert_sink": """
-            select o_custkey, arg_max(o_orderstatus, step) as status,
-                   arg_max(orders, step) as orders, arg_max(last_order, step) as last_order
-            from (select o_custkey, o_orderstatus,
-                         case o_orderstatus when 'O' then 0 when 'F' then 1 else 2 end as step,
-                         count(*) as orders, max(o_orderkey) as last_order
-                  from orders where o_orderstatus in ('O', 'F', 'P') group by all)
-            group by o_custkey""",
+            select o_custkey, status, orders, last_order
+            from (select o_custkey, max(o_orderstatus) as status, count(*) as orders, max(o_orderkey) as last_order,
+                         row_number() over (partition by o_custkey order by o_orderstatus is distinct from 'O' desc) as nth
+                  from orders group by o_custkey, o_orderstatus is distinct from 'O')
+            where nth = 1""",
         "replace_groups_sink": """
             select o_orderstatus as status, o_orderpriority,
                    cast(case when o_orderstatus = 'F' then sum(o_custkey) else count(*) end

@@ -15,11 +15,11 @@ from clickloom.operators import skew
 from clickloom.operators.skew import estimated_bytes
 from clickloom.plans import jobs
 from clickloom.sinks.append import append, replace_groups
-from clickloom.sinks.batches import BatchTable, upsert
+from clickloom.sinks.ledger import Ledger, LedgerTable, upsert
 from clickloom.sources import ad_log, params, tables
 from clickloom.sources.views import Tables
 from clickloom.streaming import ads as stream
-from clickloom.workspace import materialize, work_path
+from clickloom.workspace import materialize, move, work_path
 
 # Parameters of the queries; registry/oracle.py uses the same.
 FLOW = (3, 8, 9, 3)
@@ -448,11 +448,15 @@ def _click_stream(t: Tables) -> DataFrame:
     return ad_log.parse_ad_log(t.ad_log(t.event_stream()))
 
 
+def _parts(t: Tables) -> int:
+    """One part per 32 MB of log, at most the shuffle partitions of the session."""
+    by_size = max(1, estimated_bytes(t.raw("events")) >> 25)
+    return min(by_size, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _run(t: Tables, frame: DataFrame, process, root: str, mode: str) -> None:
-    """Work through the stream, its state in one part per 32 MB of log, at least 4 and at most
-    the shuffle partitions of the session."""
-    by_size = max(4, estimated_bytes(t.raw("events")) >> 25)
-    parts = min(by_size, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    """Work through the stream, its state in one part per 32 MB of log, at least 4."""
+    parts = min(max(4, _parts(t)), int(t.spark.conf.get("spark.sql.shuffle.partitions")))
     checkpoint = f"{root}/checkpoint"
     stream.start(frame, process, checkpoint, mode, None, parts).awaitTermination()
 
@@ -462,7 +466,7 @@ def ad_blacklist_stream(t: Tables) -> DataFrame:
     """The click pipeline with its feedback; how clicks fall into batches does not matter to
     who is listed in the end."""
     root = work_path(t.spark, "ad-clicks")
-    found = stream.AdTables.under(t.spark, root)
+    found = stream.AdTables.under(t.spark, f"{root}/tables", buckets=_parts(t))
     _run(t, _click_stream(t), stream.click_batch(found, THRESHOLD), root, "append")
     return found.blacklist.read()
 
@@ -470,9 +474,10 @@ def ad_blacklist_stream(t: Tables) -> DataFrame:
 def _stat_stream(t: Tables) -> stream.AdTables:
     """Running counts of the clicks left by a preset blacklist."""
     root = work_path(t.spark, "ad-stat")
-    found = stream.AdTables.under(t.spark, root, stat_combine="last")
-    found.blacklist.write(_blacklist(_clicks(t)), 0)
-    kept = stream.filter_blacklist(_click_stream(t), found.blacklist.read())
+    found = stream.AdTables.under(t.spark, f"{root}/tables", "last", _parts(t))
+    preset = stream.AdTables.under(t.spark, f"{root}/preset").blacklist
+    preset.write(_blacklist(_clicks(t)))
+    kept = stream.filter_blacklist(_click_stream(t), preset.read())
     counts = stream.running_ad_stat(kept)
     _run(t, counts, stream.stat_batch(found), root, "update")
     return found
@@ -506,19 +511,22 @@ def ad_click_trend_sliding(t: Tables) -> DataFrame:
 
 
 def _ad_job(t: Tables) -> stream.AdTables:
-    """The ad job over the log in several files, one per micro-batch, each of some days; lines of
-    ad 3 are broken. Users listed by one batch are left out of the next."""
+    """The ad job over the log in parts of some days, one micro-batch each; lines of ad 3 are
+    broken. Users listed by one batch are left out of the next.
+
+    The log is written once. A part then moves to where the stream looks, and the job goes on from
+    its checkpoint, as it does after a stop.
+    """
     root = work_path(t.spark, "ad-job")
     cut = "case when value like '% 3' then substring(value, 1, length(value) - 2) else value end"
-    lines = t.ad_log().select(
-        F.expr(cut).alias("value"),
-        F.expr(f"(day(timestamp_millis(cast(split(value, ' ')[0] as bigint))) - 1) * {AD_FILES} div 31").alias("part"),
-    )
+    part = f"(day(timestamp_millis(cast(split(value, ' ')[0] as bigint))) - 1) * {AD_FILES} div 31"
+    lines = t.ad_log().select(F.expr(cut).alias("value"), F.expr(part).alias("part"))
+    lines.write.partitionBy("part").text(f"{root}/parts")
     for part in range(AD_FILES):
-        lines.where(F.col("part") == part).select("value").coalesce(1).write.text(f"{root}/log/{part}")
-    source = ad_log.read_text_log(t.spark, f"{root}/log/*", files_per_batch=1)
-    query, found = jobs.ad_job(source, f"{root}/tables", THRESHOLD, interval=None)
-    query.awaitTermination()
+        move(t.spark, f"{root}/parts/part={part}", f"{root}/log/part={part}")
+        source = ad_log.read_text_log(t.spark, f"{root}/log")
+        query, found = jobs.ad_job(source, f"{root}/tables", THRESHOLD, interval=None, buckets=_parts(t))
+        query.awaitTermination()
     return found
 
 
@@ -712,22 +720,21 @@ def append_sink(t: Tables) -> DataFrame:
 
 @query
 def upsert_sink(t: Tables) -> DataFrame:
-    """Per user the last order date, from the open orders first and then from the others."""
-    table = BatchTable(
-        t.spark, work_path(t.spark, "upsert"),
-        "o_custkey bigint, status string, orders bigint, last_order bigint", ["o_custkey"],
+    """Per user the last order date, from the open orders first and then from all others."""
+    table = LedgerTable(
+        Ledger(t.spark, work_path(t.spark, "upsert")), "last_orders",
+        "o_custkey bigint, status string, orders bigint, last_order bigint", ["o_custkey"], buckets=_parts(t),
     )
-    for status in ("O", "F", "P"):
-        rows = t.raw("orders").where(F.col("o_orderstatus") == status)
+    opened = F.col("o_orderstatus").eqNullSafe("O")
+    for chosen in (opened, ~opened):
         upsert(
             table,
-            rows.groupBy("o_custkey").agg(
-                F.lit(status).alias("status"),
+            t.raw("orders").where(chosen).groupBy("o_custkey").agg(
+                F.max("o_orderstatus").alias("status"),
                 F.count("*").alias("orders"),
                 F.max("o_orderkey").alias("last_order"),
             ),
         )
-        table.compact(table.next_batch() - 1)
     return table.read()
 
 

@@ -9,15 +9,16 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.operators import ads
-from clickloom.sinks.append import replace_groups
-from clickloom.sinks.batches import BatchTable
+from clickloom.sinks.ledger import FOLD_EVERY, MERGE_EVERY, Batch, Cell, Ledger, LedgerTable, cells_of
 from clickloom.sources.ad_log import ad_log_rejects, parse_ad_log
 
 # Fixed value: the micro-batch interval.
@@ -27,140 +28,168 @@ _STARTING = threading.Lock()
 
 @dataclass
 class AdTables:
-    """The tables the click pipeline keeps under one root."""
+    """The tables the click pipeline keeps under one root. A batch feeds all of them at once."""
 
-    user_clicks: BatchTable
-    blacklist: BatchTable
-    stat: BatchTable
-    top3_path: str
-    trend: BatchTable
-    rejects_path: str
+    ledger: Ledger
+    user_clicks: LedgerTable
+    blacklist: LedgerTable
+    stat: LedgerTable
+    top3: LedgerTable
+    trend: LedgerTable
+    rejects: LedgerTable
 
     @classmethod
-    def under(cls, spark: SparkSession, root: str, stat_combine: str = "sum") -> AdTables:
-        """``stat_combine="last"`` when the stat batches hold totals instead of increments."""
+    def under(cls, spark: SparkSession, root: str, stat_combine: str = "sum", buckets: int = 1) -> AdTables:
+        """``stat_combine="last"`` when the stat batches hold totals instead of increments.
+        ``buckets`` parts a day and cannot change later: the clicks of a day by 10 million is a good number."""
+        ledger = Ledger(spark, root)
         return cls(
-            user_clicks=BatchTable(
-                spark, f"{root}/ad_user_click_count",
-                "date string, user_id bigint, ad_id bigint, click_count bigint",
-                ["date", "user_id", "ad_id"], "sum", ["date"],
+            ledger,
+            user_clicks=LedgerTable(
+                ledger, "ad_user_click_count", "date string, user_id bigint, ad_id bigint, click_count bigint",
+                ["date", "user_id", "ad_id"], "sum", "date", ["user_id"], buckets,
             ),
-            blacklist=BatchTable(spark, f"{root}/ad_blacklist", "user_id bigint", ["user_id"]),
-            stat=BatchTable(
-                spark, f"{root}/ad_stat",
-                "date string, province string, city string, ad_id bigint, click_count bigint",
-                ["date", "province", "city", "ad_id"], stat_combine, ["date"],
+            blacklist=LedgerTable(ledger, "ad_blacklist", "user_id bigint", ["user_id"], buckets=buckets),
+            stat=LedgerTable(
+                ledger, "ad_stat", "date string, province string, city string, ad_id bigint, click_count bigint",
+                ["date", "province", "city", "ad_id"], stat_combine, "date", ["province", "ad_id"], buckets,
             ),
-            top3_path=f"{root}/ad_province_top3",
-            trend=trend_table(spark, f"{root}/ad_click_trend", combine="sum"),
-            rejects_path=f"{root}/rejects",
+            top3=LedgerTable(
+                ledger, "ad_province_top3",
+                "date string, province string, top array<struct<ad_id: bigint, click_count: bigint>>",
+                ["date", "province"], "last", "date",
+            ),
+            trend=trend_table(spark, root, combine="sum", ledger=ledger),
+            rejects=LedgerTable(ledger, "rejects", "value string", combine="append"),
         )
 
     def read_rejects(self) -> DataFrame:
         """The lines no batch could read."""
-        return self.stat.spark.read.text(self.rejects_path).select("value")
+        return self.rejects.read()
 
     def read_top3(self) -> DataFrame:
-        return self.stat.spark.read.schema(
-            "province string, ad_id bigint, click_count bigint, date string"
-        ).parquet(self.top3_path).select("date", "province", "ad_id", "click_count")
+        return _listed(self.top3.read())
+
 
+def _listed(top: DataFrame) -> DataFrame:
+    """Top lists as rows."""
+    return top.select("date", "province", F.inline("top"))
 
-def trend_table(spark: SparkSession, path: str, combine: str = "last") -> BatchTable:
+
+def trend_table(
+    spark: SparkSession, path: str, combine: str = "last", ledger: Ledger | None = None
+) -> LedgerTable:
     """Clicks per minute and ad; each batch holds the new totals of the minutes it touched, or
     (``combine="sum"``) what it adds to them."""
-    return BatchTable(
-        spark, path,
+    return LedgerTable(
+        ledger or Ledger(spark, path), "ad_click_trend",
         "date string, hour string, minute string, ad_id bigint, click_count bigint",
-        ["date", "hour", "minute", "ad_id"], combine, ["date"],
+        ["date", "hour", "minute", "ad_id"], combine, "date",
     )
 
 
+def at_once(spark: SparkSession, *works: Callable[[], object]) -> None:
+    """Run independent pieces of a batch side by side; Spark shares its tasks among their jobs."""
+    with ThreadPoolExecutor(len(works)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(w)) for w in works]:
+            done.result()
+
+
 def job_batch(
-    tables: AdTables, threshold: int = ads.BLACKLIST_THRESHOLD, compact_every: int = 720
+    tables: AdTables, threshold: int = ads.BLACKLIST_THRESHOLD, merge_every: int = MERGE_EVERY,
+    fold_every: int = FOLD_EVERY,
 ) -> Callable[[DataFrame, int], None]:
     """The whole ad job on one micro-batch of log lines.
 
     Four outputs come from one source: user counts with the blacklist they feed, area counts
     and province top lists of the clicks left by the blacklist as earlier batches made it, and
     the trend of all clicks. Every output adds to the key of a click whenever the click comes,
-    so none is too late; lines that cannot be read are kept as they came.
+    so none is too late; lines that cannot be read are kept as they came. All of them commit
+    together.
     """
-    clicks_of = click_batch(tables, threshold, compact_every)
 
     def process(lines: DataFrame, batch_id: int) -> None:
+        batch = tables.ledger.begin(batch_id)
         lines = lines.persist()
         try:
-            rejects = ad_log_rejects(lines)
-            rejects.write.mode("overwrite").text(f"{tables.rejects_path}/batch={batch_id}")
             clicks = parse_ad_log(lines)
-            tables.trend.write(ads.ad_click_trend(clicks), batch_id)
-            clicks_of(clicks, batch_id)
+            at_once(
+                lines.sparkSession,
+                lambda: batch.stage(tables.rejects, ad_log_rejects(lines)),
+                lambda: batch.stage(tables.trend, ads.ad_click_trend(clicks)),
+                lambda: _stage_clicks(batch, tables, clicks, threshold),
+            )
         finally:
             lines.unpersist()
-        if batch_id and batch_id % compact_every == 0:
-            tables.trend.compact(batch_id)
-            tables.trend.vacuum()
+        batch.commit(merge_every, fold_every)
 
     return process
 
 
 def click_batch(
-    tables: AdTables, threshold: int = ads.BLACKLIST_THRESHOLD, compact_every: int = 720
+    tables: AdTables, threshold: int = ads.BLACKLIST_THRESHOLD, merge_every: int = MERGE_EVERY,
+    fold_every: int = FOLD_EVERY,
 ) -> Callable[[DataFrame, int], None]:
     """The work of the click pipeline on one micro-batch of parsed clicks.
 
     1. Count the batch by user, and drop users listed by earlier batches. Counting first
        makes a hot user a handful of rows before any join.
-    2. Merge user counts and area counts into their tables.
-    3. List users whose total for a (date, ad) of this batch reached the threshold. They are
-       filtered from the next batch on.
-    4. Rank the provinces of the days this batch touched.
+    2. Write, side by side, the user counts and area counts of the batch, the users whose total
+       for a (date, ad) of this batch reached the threshold (they are filtered from the next batch
+       on), and the new top lists of its provinces.
 
     It reads only what batches with lower numbers wrote, so running a batch again gives the
-    same rows again, and of the kept tables only the days the batch has clicks of. Every
-    ``compact_every`` batches (an hour of 5 second batches) the tables are compacted.
+    same rows again; and of the kept tables only the cells the batch has clicks of.
     """
 
     def process(clicks: DataFrame, batch_id: int) -> None:
-        listed = tables.blacklist.read(before=batch_id)
-        kept = ads.click_counts(clicks).join(listed, "user_id", "left_anti").persist()
-        try:
-            tables.user_clicks.write(ads.ad_user_clicks(kept), batch_id)
-            tables.stat.write(ads.ad_stat(kept), batch_id)
-        finally:
-            kept.unpersist()
-
-        touched = tables.user_clicks.batch(batch_id)
-        days = _days(touched)
-        if days:
-            keys = tables.user_clicks.keys
-            totals = tables.user_clicks.read(before=batch_id + 1, where=F.col("date").isin(days))
-            totals = totals.join(touched.select(*keys), keys, "left_semi")
-            reached = ads.ad_blacklist(totals, threshold)
-            tables.blacklist.write(reached.join(listed, "user_id", "left_anti"), batch_id)
-            rank_days(tables, days, batch_id)
-        if batch_id and batch_id % compact_every == 0:
-            for table in (tables.user_clicks, tables.blacklist, tables.stat):
-                table.compact(batch_id)
-                table.vacuum()
+        batch = tables.ledger.begin(batch_id)
+        _stage_clicks(batch, tables, clicks, threshold)
+        batch.commit(merge_every, fold_every)
 
     return process
 
 
-def _days(rows: DataFrame) -> list[str]:
-    """The distinct days of a micro-batch, a short list, to prune the partitions read next."""
-    return [row["date"] for row in rows.select("date").distinct().collect()]
+def _stage_clicks(batch: Batch, tables: AdTables, clicks: DataFrame, threshold: int) -> None:
+    counts = ads.click_counts(clicks).persist()
+    try:
+        listed, users, places, tops = cells_of(counts, tables.blacklist, tables.user_clicks, tables.stat, tables.top3)
+        kept = counts.join(batch.old(tables.blacklist, listed), "user_id", "left_anti").persist()
+        by_user, by_place = ads.ad_user_clicks(kept), ads.ad_stat(kept)
+        try:
+            at_once(
+                clicks.sparkSession,
+                lambda: batch.stage(tables.user_clicks, by_user),
+                lambda: batch.stage(
+                    tables.blacklist, ads.ad_blacklist(batch.changed(tables.user_clicks, by_user, users), threshold)
+                ),
+                lambda: batch.stage(tables.stat, by_place),
+                lambda: batch.stage(tables.top3, _top_lists(batch, tables, by_place, places, tops)),
+            )
+        finally:
+            kept.unpersist()
+    finally:
+        counts.unpersist()
 
 
-def rank_days(tables: AdTables, days: list[str], batch_id: int, n: int = 3) -> None:
-    """Rank anew the provinces of these days.
+def _top_lists(
+    batch: Batch, tables: AdTables, stat: DataFrame, places: list[Cell], tops: list[Cell], n: int = 3
+) -> DataFrame:
+    """New top lists of the (date, province) of a batch.
 
-    Whole days are replaced, one directory each: a directory per (date, province) would hold
-    three rows.
+    Counts only grow, so an ad that is neither on the old list nor in the batch still has ``n``
+    better ones: the new list is the top of the old list and the ads of the batch.
     """
-    stat = tables.stat.read(before=batch_id + 1, where=F.col("date").isin(days))
-    replace_groups(ads.ad_province_top3(stat, n), tables.top3_path, ["date"])
+    group = ["date", "province"]
+    best = ads.province_clicks(batch.changed(tables.stat, stat, places, [*group, "ad_id"]))
+    if tables.top3.parts(batch.before, tops):
+        old = _listed(batch.old(tables.top3, tops).join(stat.select(*group), group, "left_semi"))
+        best = old.unionByName(best).groupBy(*group, "ad_id").agg(F.max("click_count").alias("click_count"))
+    ranked = ads.ad_province_top3(best, n).groupBy(*group).agg(
+        F.array_sort(F.collect_list(F.struct((-F.col("click_count")).alias("down"), "ad_id"))).alias("top")
+    )
+    lists = F.transform("top", lambda t: F.struct(t["ad_id"].alias("ad_id"), (-t["down"]).alias("click_count")))
+    return ranked.select(*group, lists.alias("top"))
 
 
 def filter_blacklist(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
@@ -255,20 +284,28 @@ def start(
             conf.set("spark.sql.shuffle.partitions", before)
 
 
-def sliding_table(spark: SparkSession, path: str) -> BatchTable:
-    return BatchTable(
-        spark, path, "window_start timestamp, ad_id bigint, click_count bigint",
+def sliding_table(spark: SparkSession, path: str) -> LedgerTable:
+    return LedgerTable(
+        Ledger(spark, path), "ad_sliding", "window_start timestamp, ad_id bigint, click_count bigint",
         ["window_start", "ad_id"],
     )
 
 
 def stat_batch(tables: AdTables) -> Callable[[DataFrame, int], None]:
-    """Batch work for :func:`running_ad_stat`: merge the new totals, then rank."""
+    """Batch work for :func:`running_ad_stat`: take over the new totals and bring the lists up to date."""
 
     def process(updates: DataFrame, batch_id: int) -> None:
-        tables.stat.write(updates, batch_id)
-        days = _days(tables.stat.batch(batch_id))
-        if days:
-            rank_days(tables, days, batch_id)
+        batch = tables.ledger.begin(batch_id)
+        updates = updates.persist()
+        try:
+            places, tops = cells_of(updates, tables.stat, tables.top3)
+            at_once(
+                updates.sparkSession,
+                lambda: batch.stage(tables.stat, updates),
+                lambda: batch.stage(tables.top3, _top_lists(batch, tables, updates, places, tops)),
+            )
+        finally:
+            updates.unpersist()
+        batch.commit()
 
     return process

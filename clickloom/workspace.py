@@ -41,6 +41,16 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder that this library wrote; its new parent is made if missing."""
+    jvm = spark.sparkContext._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(to)
+    fs = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(target.getParent())
+    if fs.exists(source) and not fs.rename(source, target):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
 def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write a frame that several results share to a table and read it back.
 

@@ -1,0 +1,187 @@
+from __future__ import annotations
+
+import random
+from pathlib import Path
+
+import pytest
+
+from clickloom.sinks import ledger as module
+from clickloom.sinks.ledger import BASE, DELTA, MERGED, Commit, Ledger, LedgerTable, cells_of, to_merge, upsert
+
+SCHEMA = "date string, k bigint, n bigint"
+
+
+def table(spark, path, combine="last", buckets=2, **more):
+    return LedgerTable(Ledger(spark, str(path)), "t", SCHEMA, ["date", "k"], combine, "date", buckets=buckets, **more)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_upsert_inserts_and_replaces(spark, tmp_path):
+    t = table(spark, tmp_path)
+    assert rows_of(t.read()) == []
+    upsert(t, frame(spark, [("2024-01-01", 1, 5), ("2024-01-01", 2, 6)]))
+    upsert(t, frame(spark, [("2024-01-01", 2, 7), ("2024-01-02", 2, 1)]))
+    upsert(t, frame(spark, []))
+    assert rows_of(t.read()) == [("2024-01-01", 1, 5), ("2024-01-01", 2, 7), ("2024-01-02", 2, 1)]
+    assert rows_of(t.read(before=1)) == [("2024-01-01", 1, 5), ("2024-01-01", 2, 6)]
+    assert t.read().columns == ["date", "k", "n"]
+
+
+def test_a_repeated_batch_counts_once(spark, tmp_path):
+    t = table(spark, tmp_path, "sum")
+    for batch in (0, 1, 1):
+        t.write(frame(spark, [("2024-01-01", 1, 5), ("not a day", 1, 1), (None, 1, 2)]), batch)
+    assert sorted(map(str, rows_of_any(t.read()))) == sorted(map(str, [("2024-01-01", 1, 10), ("not a day", 1, 2), (None, 1, 4)]))
+    with pytest.raises(ValueError, match="too late"):
+        t.write(frame(spark, []), 0)
+    # Nothing of the replaced attempt is left.
+    assert len(list(tmp_path.glob("t/batch=1-*"))) == 1
+
+
+def rows_of_any(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_two_states_of_one_key_need_an_order(spark, tmp_path):
+    rows = [("2024-01-01", 1, 5), ("2024-01-01", 1, 9)]
+    with pytest.raises(Exception, match="two rows of one key"):
+        table(spark, tmp_path / "a").write(frame(spark, rows))
+    t = table(spark, tmp_path / "b", latest_by="n")
+    t.write(frame(spark, rows))
+    assert rows_of(t.read()) == [("2024-01-01", 1, 9)]
+
+
+def test_all_tables_of_a_batch_or_none(spark, tmp_path):
+    """A batch that breaks off between two writes leaves the state before it; run again it gives
+    what it would have given at once."""
+    ledger = Ledger(spark, str(tmp_path))
+    a = LedgerTable(ledger, "a", "k bigint, n bigint", ["k"], "sum")
+    b = LedgerTable(ledger, "b", "k bigint, n bigint", ["k"])
+    lines = LedgerTable(ledger, "lines", "value string", combine="append")
+
+    def feed(number, fail=False):
+        batch = ledger.begin(number)
+        rows = spark.createDataFrame([(1, number + 1)], "k bigint, n bigint")
+        batch.stage(a, rows)
+        batch.stage(lines, spark.createDataFrame([(f"line {number}",)], "value string"))
+        if fail:
+            raise RuntimeError("broken off")
+        batch.stage(b, rows)
+        batch.commit()
+
+    state = lambda: [rows_of(t.read()) for t in (a, b, lines)]
+    feed(0)
+    before = state()
+    with pytest.raises(RuntimeError):
+        feed(1, fail=True)
+    assert state() == before == [[(1, 1)], [(1, 1)], [("line 0",)]]
+    feed(1)
+    once = state()
+    assert once == [[(1, 3)], [(1, 2)], [("line 0",), ("line 1",)]]
+    feed(1)
+    assert state() == once
+    assert len(list(tmp_path.glob("*/batch=1-*"))) == 3
+
+
+@pytest.mark.parametrize("combine", ["sum", "last", "append"])
+def test_merges_change_nothing_and_parts_stay_few(spark, tmp_path, combine, monkeypatch):
+    """Many batches on the same keys: as many parts to read late as early, and old ones deleted."""
+    monkeypatch.setattr(module, "FOLD_EVERY", 6)
+    rng = random.Random(3)
+    ledger = Ledger(spark, str(tmp_path))
+    keys = [] if combine == "append" else ["date", "k"]
+    t = LedgerTable(ledger, "t", SCHEMA, keys, combine, None if combine == "append" else "date", buckets=2 if keys else 1)
+    expected, parts = {}, []
+    for number in range(20):
+        rows = [(f"2024-01-0{1 + k % 2}", k, rng.randrange(9)) for k in range(8)]
+        batch = ledger.begin(number)
+        batch.stage(t, frame(spark, rows))
+        batch.commit(merge_every=2, fold_every=6)
+        for day, k, n in rows:
+            if combine == "append":
+                expected.setdefault((day, k, n), 0)
+                expected[day, k, n] += 1
+            else:
+                expected[day, k] = n + (expected.get((day, k), 0) if combine == "sum" else 0)
+        parts.append(len(t.parts(ledger.last())))
+        if number % 7 == 0 or number == 19:
+            got = rows_of(t.read())
+            if combine == "append":
+                assert got == sorted(r for r, n in expected.items() for _ in range(n))
+            else:
+                assert got == sorted((*k, n) for k, n in expected.items())
+    # A period is like the one before it, but for the base of each period of appended rows.
+    assert parts[13:19] == [n + (1 if combine == "append" else 0) for n in parts[7:13]]
+    assert max(parts[7:]) <= 4 * (1 + 1 + 2)
+    assert all(p.exists() for p in (tmp_path / x for x in t.parts(ledger.last())))
+    # Two periods of records are kept, and what they use.
+    assert min(ledger.numbers()) >= 12
+    folders = {"/".join(p.split("/")[:2]) for p in t.parts(ledger.last())}
+    stored = {f"t/{p.name}" for p in (tmp_path / "t").iterdir()}
+    assert folders <= stored
+    if combine != "append":
+        assert len(stored) < 18
+
+
+def test_parts_of_a_cell_at_batch_ten_and_a_thousand():
+    """Which parts there are depends on the batches since the last merges alone."""
+
+    def parts_before(batch):
+        parts = []
+        for number in range(batch):
+            parts.append([str(number), DELTA])
+            fold, merge = number and number % 720 == 0, number and number % 8 == 0
+            if fold or merge:
+                due = to_merge(parts, bool(fold))
+                parts = [p for p in parts if p[0] not in due] + [[f"m{number}", BASE if fold else MERGED]]
+        return parts
+
+    assert len(parts_before(10)) == 2
+    assert len(parts_before(1002)) == 3 and len(parts_before(721 + 10)) == 4
+    assert max(len(parts_before(n)) for n in range(0, 3000, 37)) <= 10
+
+
+def test_a_batch_reads_its_own_cells_only(spark, tmp_path):
+    t = table(spark, tmp_path, "sum", buckets=4)
+    for number in range(5):
+        t.write(frame(spark, [(f"2024-01-{d:02d}", k, 1) for d in range(1, 20) for k in range(20)]), number)
+    batch = t.ledger.begin()
+    new = frame(spark, [("2024-01-03", 7, 1)])
+    (cells,) = cells_of(new, t)
+    assert set(batch.stage(t, new).parts) == set(cells) and len(cells) == 1
+    assert len(t.parts(batch.before, cells)) == 5
+    assert rows_of(batch.changed(t, new, cells)) == [("2024-01-03", 7, 6)]
+    assert len(t.parts(batch.before)) == 5 * 19 * 4
+
+
+def test_days_far_apart_share_slots(spark, tmp_path):
+    t = table(spark, tmp_path, "sum", buckets=1)
+    days = spark.sql("select cast(date_add(date'0001-01-01', cast(id * 91 as int)) as string) as date, 1L as k, id as n from range(40000)")
+    assert 0 < len(cells_of(days, t)[0]) <= module.SLOTS
+    t.write(days.limit(3000))
+    assert t.read().count() == 3000
+
+
+def test_a_commit_record_is_replaced_in_one_step(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path))
+    for lists in ({}, {"t": {"0": "x"}}):
+        ledger.write(Commit(4, lists))
+    assert ledger.numbers() == [4] and ledger.last().tables == {"t": {"0": "x"}}
+    assert ledger.last(before=4).number == -1
+    assert [p.name for p in Path(tmp_path, "_commits").iterdir() if not p.name.endswith(".crc")] == ["4.json"]
+
+
+def test_a_table_of_keys_only(spark, tmp_path):
+    t = LedgerTable(Ledger(spark, str(tmp_path)), "users", "user_id bigint", ["user_id"])
+    for users in ([1, 2, 2], [2, 3]):
+        upsert(t, spark.createDataFrame([(u,) for u in users], "user_id bigint"))
+    assert rows_of(t.read()) == [(1,), (2,), (3,)]
+    with pytest.raises(ValueError, match="combine"):
+        table(spark, tmp_path / "x", "avg")

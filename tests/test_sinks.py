@@ -1,19 +1,10 @@
 from __future__ import annotations
 
-import random
-
-import pytest
-
 from clickloom.sinks.append import append, append_jdbc, replace_groups, result_rows
-from clickloom.sinks.batches import BatchTable, upsert
 
 SCHEMA = "date string, k bigint, n bigint"
 
 
-def table(spark, path, combine="last", partition_by=()):
-    return BatchTable(spark, str(path), SCHEMA, ["date", "k"], combine, partition_by)
-
-
 def frame(spark, rows):
     return spark.createDataFrame(rows, SCHEMA)
 
@@ -22,64 +13,6 @@ def rows_of(df):
     return sorted(map(tuple, df.collect()))
 
 
-@pytest.mark.parametrize("partition_by", [(), ("date",)])
-def test_upsert_inserts_and_replaces(spark, tmp_path, partition_by):
-    t = table(spark, tmp_path / "t", partition_by=partition_by)
-    assert rows_of(t.read()) == [] and t.next_batch() == 0
-    upsert(t, frame(spark, [("d1", 1, 5), ("d1", 2, 6)]))
-    upsert(t, frame(spark, [("d1", 2, 7), ("d2", 2, 1)]))
-    upsert(t, frame(spark, []))
-    assert rows_of(t.read()) == [("d1", 1, 5), ("d1", 2, 7), ("d2", 2, 1)]
-    assert rows_of(t.read(before=1)) == [("d1", 1, 5), ("d1", 2, 6)]
-    assert t.read().columns == ["date", "k", "n"]
-
-
-def test_a_repeated_batch_counts_once(spark, tmp_path):
-    t = table(spark, tmp_path / "t", "sum", ["date"])
-    for batch in (0, 1, 1):
-        t.write(frame(spark, [("d1", 1, 5)]), batch)
-    assert rows_of(t.read()) == [("d1", 1, 10)]
-    assert rows_of(t.batch(1)) == [("d1", 1, 5)]
-
-
-@pytest.mark.parametrize("combine", ["sum", "last"])
-def test_compaction_changes_nothing(spark, tmp_path, combine):
-    rng = random.Random(3)
-    t = table(spark, tmp_path / "t", combine, ["date"])
-    for batch in range(6):
-        keys = rng.sample(range(6), 4)
-        t.write(frame(spark, [(f"d{k % 2}", k, rng.randrange(9)) for k in keys]), batch)
-        if batch in (1, 3):
-            states = [rows_of(t.read(before=b)) for b in range(batch + 2)]
-            t.compact(batch)
-            assert [rows_of(t.read(before=b)) for b in range(batch + 2)] == states
-    before = rows_of(t.read())
-    t.compact(5)
-    assert rows_of(t.read()) == before
-    t.vacuum(keep=2)
-    assert rows_of(t.read()) == before and rows_of(t.read(before=4)) != []
-    assert t.next_batch() == 6
-    upsert(t, frame(spark, [("d9", 99, 1)]))
-    assert ("d9", 99, 1) in rows_of(t.read())
-
-
-def test_an_unfinished_batch_is_not_read(spark, tmp_path):
-    t = table(spark, tmp_path / "t")
-    upsert(t, frame(spark, [("d1", 1, 5)]))
-    upsert(t, frame(spark, [("d1", 1, 6)]))
-    (tmp_path / "t" / "batches" / "batch=1" / "_COMMITTED").unlink()
-    assert rows_of(t.read()) == [("d1", 1, 5)]
-
-
-def test_a_table_of_keys_only(spark, tmp_path):
-    t = BatchTable(spark, str(tmp_path / "t"), "user_id bigint", ["user_id"])
-    for users in ([1, 2], [2, 3]):
-        upsert(t, spark.createDataFrame([(u,) for u in users], "user_id bigint"))
-    assert rows_of(t.read()) == [(1,), (2,), (3,)]
-    with pytest.raises(ValueError, match="combine"):
-        table(spark, tmp_path / "x", "avg")
-
-
 def test_replaced_groups(spark, tmp_path):
     path = str(tmp_path / "groups")
     replace_groups(frame(spark, [("d1", 1, 1), ("d1", 1, 2), ("d1", 2, 3), ("d2", 1, 4)]), path, ["date", "k"])
@@ -112,35 +45,3 @@ def test_jdbc_append_passes_its_options():
     append_jdbc(Frame(), "jdbc:x", "ad_blacklist", {"user": "u"})
     assert Frame.write.saved == "append"
     assert Frame.write.call == (("jdbc:x", "ad_blacklist"), {"properties": {"user": "u"}})
-
-
-def test_compaction_writes_only_touched_partitions(spark, tmp_path):
-    """Old days stay where they are; what a snapshot writes does not grow with history."""
-    table = BatchTable(
-        spark, str(tmp_path / "t"), "day string, k int, n bigint", ["day", "k"], "sum", ["day"]
-    )
-    expected, written = {}, []
-    for batch in range(8):
-        rows = [(f"d{batch // 2}", k, 1) for k in range(3)]
-        table.write(spark.createDataFrame(rows, "day string, k int, n bigint"), batch)
-        for day, k, n in rows:
-            expected[day, k] = expected.get((day, k), 0) + n
-        table.compact(batch)
-        table.vacuum()
-        written.append(sorted(p.name for p in (tmp_path / "t/snapshots" / f"upto={batch}").iterdir() if p.is_dir()))
-        assert {(r.day, r.k): r.n for r in table.read().collect()} == expected
-    assert written == [[f"day=d{b // 2}"] for b in range(8)]
-    assert len(list((tmp_path / "t/batches").iterdir())) <= 2
-
-
-def test_a_batch_counts_when_it_is_committed(spark, tmp_path):
-    table = BatchTable(spark, str(tmp_path / "t"), "k int, n bigint", ["k"], "sum")
-    df = spark.createDataFrame([(1, 5)], "k int, n bigint")
-    spark.sparkContext._jsc.hadoopConfiguration().set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-    try:
-        table.write(df, 0)
-    finally:
-        spark.sparkContext._jsc.hadoopConfiguration().unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
-    assert [tuple(r) for r in table.read().collect()] == [(1, 5)]
-    df.write.parquet(str(tmp_path / "t/batches/batch=1"))  # a write that broke off before its mark
-    assert [tuple(r) for r in table.read().collect()] == [(1, 5)]

@@ -2,10 +2,13 @@ from __future__ import annotations
 
 import os
 import random
+import uuid
 from collections import Counter, defaultdict
 from pathlib import Path
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from clickloom.operators import ads
 from clickloom.sources.ad_log import parse_ad_log, read_text_log
@@ -61,7 +64,7 @@ def test_click_pipeline_and_its_feedback(spark, tmp_path, cuts):
     for i in range(cuts):
         os.utime(tmp_path / "log" / f"{i}.log", (1_700_000_000 + i, 1_700_000_000 + i))
     tables = stream.AdTables.under(spark, str(tmp_path / "out"))
-    run(spark, tmp_path / "log", stream.click_batch(tables, 7, compact_every=2), tmp_path / "cp")
+    run(spark, tmp_path / "log", stream.click_batch(tables, 7, merge_every=2), tmp_path / "cp")
     counts, listed = by_hand(batches, 7)
     assert rows_of(tables.user_clicks.read()) == sorted((*k, n) for k, n in counts.items())
     assert rows_of(tables.blacklist.read()) == sorted((u,) for u in listed)
@@ -195,3 +198,47 @@ def test_the_ad_job_keeps_late_clicks_and_broken_lines(spark, tmp_path):
     assert rows_of(tables.user_clicks.read()) == [("2024-01-04", 1, 1, 4)]
     assert sum(r.click_count for r in tables.trend.read().collect()) == 12
     assert rows_of(tables.read_rejects()) == [(f"broken {i}",) for i in range(3)]
+
+
+def test_a_batch_that_breaks_off_leaves_all_tables_as_they_were(spark, tmp_path, monkeypatch):
+    """The user counts are written, the top lists are not: readers see neither."""
+    source = lambda day: spark.createDataFrame(
+        [(line(START + day * DAY + i, i % 4, i % 2),) for i in range(9)] + [(f"broken {day}",)], "value string"
+    )
+    tables = stream.AdTables.under(spark, str(tmp_path))
+    process = stream.job_batch(tables, 3)
+    state = lambda: [
+        rows_of(df) for df in (tables.user_clicks.read(), tables.blacklist.read(), tables.stat.read(),
+                               tables.read_top3(), tables.trend.read(), tables.read_rejects())
+    ]
+    process(source(0), 0)
+    before = state()
+    good = stream._top_lists
+
+    def broken(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(stream, "_top_lists", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        process(source(1), 1)
+    assert state() == before and all(before)
+    monkeypatch.setattr(stream, "_top_lists", good)
+    process(source(1), 1)
+    once = state()
+    assert len(once[4]) == 2 * len(before[4]) and once[5] == [("broken 0",), ("broken 1",)]
+    process(source(1), 1)
+    assert state() == once
+
+
+@given(st.lists(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 1), st.integers(0, 5), st.integers(1, 4)), max_size=12),
+                min_size=2, max_size=4))
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_top_lists_kept_up_to_date_equal_a_full_ranking(spark, tmp_path, batches):
+    """Only the old lists and the ads of a batch are ranked; ties are decided by ad."""
+    tables = stream.AdTables.under(spark, f"{tmp_path}/{uuid.uuid4()}")
+    process = stream.click_batch(tables, 10**6)
+    schema = "ts timestamp, date string, province string, city string, user_id bigint, ad_id bigint"
+    for number, rows in enumerate(batches):
+        clicks = [(None, f"2024-01-0{d + 1}", f"P{p}", f"c{ad % 2}", 1, ad) for d, p, ad, n in rows for _ in range(n)]
+        process(spark.createDataFrame(clicks, schema), number)
+    assert rows_of(tables.read_top3()) == rows_of(ads.ad_province_top3(tables.stat.read()))
