@@ -592,6 +592,20 @@ def oracle_sql() -> dict[str, str]:
             from clicks, range(6) r(i) group by 1, 2""",
             "clicks",
         ),
+        "ad_click_trend_panes": _with(
+            """
+            , windows as (
+                select time_bucket(interval 10 second, ts) - to_seconds(10 * i) as s, ad_id, count(*) as n
+                from clicks, range(360) r(i) group by 1, 2),
+            islands as (
+                select cast(s as date) as date, s, ad_id, n, s - to_seconds(10 * row_number() over (
+                    partition by cast(s as date), ad_id, n order by s)) as island
+                from windows)
+            select cast(date as varchar) as date, ad_id, strftime(min(s), '%Y-%m-%d %H:%M:%S') as first_start,
+                   strftime(max(s), '%Y-%m-%d %H:%M:%S') as last_start, n as click_count
+            from islands group by date, ad_id, n, island""",
+            "clicks",
+        ),
         "salted_agg": _with(
             "select city_id, count(*) as actions, count(click_product_id) as clicks, "
             "cast(sum(page_id) as bigint) as page_sum, min(action_id) as first_action, "

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clickloom.functions import dates, text
 from clickloom.functions.numbers import round_half_up
 from clickloom.functions.sql import register_sql_functions
-from clickloom.operators import ads, categories, funnel, links, news, products, ranking, sessions
+from clickloom.operators import ads, categories, funnel, links, news, panes, products, ranking, sessions
 from clickloom.operators import skew
 from clickloom.operators.skew import estimated_bytes
 from clickloom.plans import jobs
@@ -510,6 +510,16 @@ def ad_click_trend_sliding(t: Tables) -> DataFrame:
     return found.read().withColumn("window_start", dates.format_time(F.col("window_start")))
 
 
+@query
+def ad_click_trend_panes(t: Tables) -> DataFrame:
+    """Windows of 60 minutes that slide by 10 seconds, as runs of equal counts, from a stream."""
+    root = work_path(t.spark, "ad-panes")
+    found = stream.pane_table(t.spark, f"{root}/tables", _parts(t))
+    _run(t, panes.pane_counts(_click_stream(t)), found.write, root, "update")
+    runs = panes.window_runs(found.read())
+    return runs.withColumns({c: dates.format_time(F.col(c)) for c in ("first_start", "last_start")})
+
+
 def _ad_job(t: Tables) -> stream.AdTables:
     """The ad job over the log in parts of some days, one micro-batch each; lines of ad 3 are
     broken. Users listed by one batch are left out of the next.

@@ -238,7 +238,7 @@ def sliding_clicks(
     """Clicks per ad in windows of ``length`` that start every ``slide``.
 
     A click is in ``length / slide`` windows. The copies are counted within each task before
-    anything is shuffled.
+    anything is shuffled. For many windows per click, see :mod:`clickloom.operators.panes`.
     """
     if lateness is not None:
         clicks = clicks.withWatermark("ts", lateness)
@@ -284,6 +284,15 @@ def start(
             conf.set("spark.sql.shuffle.partitions", before)
 
 
+def pane_table(spark: SparkSession, path: str, buckets: int = 1) -> LedgerTable:
+    """Clicks per pane and ad, fed by the updates of :func:`~clickloom.operators.panes.pane_counts`
+    over a stream; :func:`~clickloom.operators.panes.window_runs` makes windows of it."""
+    return LedgerTable(
+        Ledger(spark, path), "ad_panes", "date string, pane timestamp, ad_id bigint, click_count bigint",
+        ["date", "pane", "ad_id"], "last", "date", ["ad_id"], buckets,
+    )
+
+
 def sliding_table(spark: SparkSession, path: str) -> LedgerTable:
     return LedgerTable(
         Ledger(spark, path), "ad_sliding", "window_start timestamp, ad_id bigint, click_count bigint",
