@@ -12,6 +12,7 @@ count of rows within the partition would not be safe there: rows may arrive in a
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -25,6 +26,13 @@ _COPIES_ALL = ("inner", "left", "left_outer", "leftouter", "left_semi", "leftsem
                "leftanti")
 # Fixed value: the size up to which a side is worth sending to every task.
 BROADCAST_LIMIT = 20_971_520
+# Items a sketch tracks, least and most; a count of n rows is off by at most _ERROR * n / items.
+_TRACKED = (4096, 1_000_000)
+_ERROR = 3.5
+# Parts of target_rows by which weights are measured.
+_GRAINS = 200
+_SKETCHED = (T.StringType, T.BooleanType, T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_FINE, _FINE_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 # Rows of one key that a task can hold, sort and write without trouble.
 TARGET_ROWS = 4_000_000
 
@@ -51,6 +59,10 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def _pow2(n: float) -> int:
+    return 1 << max(int(n) - 1, 1).bit_length()
+
+
 def hot_keys(
     df: DataFrame,
     on: str | Sequence[str],
@@ -59,29 +71,72 @@ def hot_keys(
     seed: int = 9,
     weight: str | None = None,
 ) -> list[Row]:
-    """Keys of more than ``target_rows`` rows, with the chunks to cut each into, in one job.
-
-    Counts a sample of the key columns alone. What is found only steers where rows go; every
-    row is joined either way, so a sampling error costs balance, never rows. The list is
-    shorter than the input's rows divided by ``target_rows``. With ``weight`` each row stands
-    for that many rows: a table of counts tells the hot keys of the table it was counted from,
-    without a sample.
+    """Keys of more than ``target_rows`` rows, with the chunks to cut each into.
+
+    A sample of the key columns goes through a sketch of heavy hitters, which every task fills for
+    itself and which merge: its size follows from the number of rows per ``target_rows``, however
+    many different keys there are. Its counts are off by less than ``target_rows`` rows, so beside
+    sampling no key of more than twice as many is missed (up to 280,000 times ``target_rows`` rows
+    in all; beyond it the error grows with the rows). What is found only steers where rows go;
+    every row is joined either way, so an error costs balance, never rows. The list is shorter than
+    the input's rows divided by ``target_rows``.
+
+    With ``weight`` each row stands for that many rows: a table of counts tells the hot keys of the
+    table it was counted from. A row then enters the sketch once per 200th part of ``target_rows``,
+    the rest drawn, so this too is a small pass.
     """
     on = _names(on)
     if weight is not None:
-        fraction = 1
-        counts = df.groupBy(*on).agg(F.sum(weight).alias("_rows"))
+        most: float = _GRAINS
+        part = F.col(weight).cast("decimal(38,0)") * _GRAINS
+        whole = F.floor(part / target_rows).cast("long")
+        rest = (part % target_rows).cast("long")
+        odd = F.rand(seed) * target_rows < rest
+        copies = F.greatest(F.coalesce(whole + odd.cast("long"), F.lit(0)), F.lit(0))
+        rows = df.select(*on, copies.alias("_copies")).where(F.col("_copies") > 0)
+        rows = rows.select(*on, F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy"))
     else:
-        sampled = df.select(*on)
+        most = target_rows * fraction
+        rows = df.select(*on)
         if fraction < 1:
-            sampled = sampled.sample(False, fraction, seed)
-        counts = sampled.groupBy(*on).agg(F.count("*").alias("_rows"))
-    most = target_rows * fraction
-    chunks = F.ceil(F.col("_rows") / F.lit(most)).cast("int").alias(_CHUNKS)
-    found = counts.where(F.col("_rows") > most).select(*on, chunks).collect()
+            rows = rows.sample(False, fraction, seed)
+    tracked = _pow2(max(_TRACKED[0], min(_TRACKED[1] // 2, _ERROR * estimated_bytes(df.select(*on)) / 8 / target_rows)))
+    # Sketches of up to so many gigabytes of input meet in one task at once.
+    groups = estimated_bytes(df.select(*on)) >> 35
+    while True:
+        n, found = _heavy(rows, on, most, min(tracked, _TRACKED[1]), groups)
+        if _ERROR * n <= most * tracked or tracked >= _TRACKED[1]:
+            break
+        tracked = _pow2(_ERROR * n / most)
     return sorted(found, key=lambda row: (-row[_CHUNKS], repr(row)))
 
 
+def _heavy(rows: DataFrame, on: list[str], most: float, tracked: int, groups: int) -> tuple[int, list[Row]]:
+    """The number of rows, and the keys that a sketch of ``tracked`` items counts more than ``most`` times."""
+    plain = len(on) == 1 and isinstance(rows.schema[on[0]].dataType, _SKETCHED)
+    packed = F.to_json(F.struct(*on), {"timestampFormat": _FINE, "timestampNTZFormat": _FINE_NTZ})
+    keyed = rows.select((F.col(on[0]) if plain else packed).alias("_key"))
+    if groups > 1:
+        parts = keyed.withColumn("_group", F.spark_partition_id() % groups).groupBy("_group").agg(
+            F.expr(f"approx_top_k_accumulate(_key, {tracked})").alias("_sketch"), F.count("*").alias("_n")
+        )
+        sketch, n = f"approx_top_k_combine(_sketch, {tracked})", F.sum("_n")
+    else:
+        parts, sketch, n = keyed, f"approx_top_k_accumulate(_key, {tracked})", F.count("*")
+    items = F.expr(f"filter(approx_top_k_estimate({sketch}, {tracked}), x -> x.count > {most!r})")
+    one = parts.agg(items.alias("items"), n.alias("n")).first()
+    if not one["items"]:
+        return one["n"] or 0, []
+    chunks = {item["item"]: math.ceil(item["count"] / most) for item in one["items"]}
+    if plain:
+        return one["n"], [Row(**{on[0]: key, _CHUNKS: n}) for key, n in chunks.items()]
+    schema = T.StructType([rows.schema[k] for k in on])
+    texts = rows.sparkSession.createDataFrame(list(chunks.items()), f"_key string, {_CHUNKS} int")
+    options = {"timestampFormat": _FINE, "timestampNTZFormat": _FINE_NTZ}
+    keys = texts.select(F.from_json("_key", schema, options).alias("_key"), _CHUNKS)
+    return one["n"], keys.select("_key.*", _CHUNKS).collect()
+
+
 def hot_frame(like: DataFrame, on: list[str], hot: Sequence[Row]) -> DataFrame:
     """The hot keys as a frame. Their number is bounded (see :func:`hot_keys`): 10^12 rows have
     under 250,000, so it is small enough to send to every task."""

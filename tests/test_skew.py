@@ -187,3 +187,54 @@ def test_hot_keys_of_a_table_of_counts(spark):
     counts = spark.createDataFrame([("a", 70), ("b", 20), ("b", 5), ("c", 5)], "k string, n bigint")
     hot = skew.hot_keys(counts, "k", target_rows=10, weight="n")
     assert [(h["k"], h["_chunks"]) for h in hot] == [("a", 7), ("b", 3)]
+
+
+def test_many_keys_leave_the_sketch_small(spark, monkeypatch):
+    """Two million different keys and a few hot ones: a sketch of the least size finds these, and no
+    shuffle carries the keys."""
+    df = spark.range(2_000_000).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 4).otherwise(F.col("id") + 10).alias("k"), F.lit("x").alias("pad")
+    )
+    seen = []
+    heavy = skew._heavy
+    monkeypatch.setattr(skew, "_heavy", lambda *a: seen.append(a[3]) or heavy(*a))
+    hot = skew.hot_keys(df, "k", target_rows=20_000, fraction=1)
+    assert seen == [4096]
+    # Even ids divisible by 10 have two remainders, 100,000 rows each.
+    assert {h["k"]: h["_chunks"] for h in hot} == {0: 6, 2: 6} or {h["k"]: h["_chunks"] for h in hot} == {0: 5, 2: 5}
+    plan = df.select("k").selectExpr("approx_top_k_accumulate(k, 4096)")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_no_key_above_twice_the_target_is_missed(spark, seed):
+    """Counts that fall off slowly, the worst case for a sketch, and one too small at first."""
+    rng = random.Random(seed)
+    counts = {k: int(60_000 / (k + 1) ** 0.7) + rng.randrange(50) for k in range(9000)}
+    df = spark.createDataFrame(list(counts.items()), "k long, n int").select("k", F.explode(F.sequence(F.lit(1), "n")).alias("i"))
+    for groups in (0, 4):
+        target = 400
+        hot = {h["k"] for h in skew.hot_keys(df.repartition(8), "k", target_rows=target, fraction=1)} if not groups else {
+            r["k"] for r in skew._heavy(df.select("k").repartition(8), ["k"], target, 1 << 18, groups)[1]
+        }
+        assert {k for k, n in counts.items() if n > 2 * target} <= hot
+        assert all(counts[k] > target / 2 for k in hot)
+
+
+def test_keys_of_several_columns_and_types(spark):
+    df = spark.range(900).selectExpr(
+        "id % 3 as a", "timestamp_micros(1700000000123456 + id % 3) as t", "cast(id % 3 as decimal(20, 3)) as d", "id as v",
+        "if(id % 3 = 1, null, struct(id % 3 as x)) as s",
+    )
+    for on in (["a", "t"], ["d"], ["s", "a"]):
+        hot = skew.hot_keys(df, on, target_rows=100, fraction=1)
+        assert sorted(map(repr, (tuple(h[k] for k in on) for h in hot))) == sorted(map(repr, map(tuple, df.select(*on).distinct().collect())))
+        right = df.select(*on).distinct().withColumn("n", F.lit(1))
+        assert skew.skew_join(df, right, on, target_rows=100, fraction=1).count() == df.join(right, on).count()
+
+
+def test_weights_below_the_measure(spark):
+    """A hot key made of many light rows, among light keys."""
+    counts = spark.range(200_000).select(F.when(F.col("id") % 4 == 0, -1).otherwise(F.col("id")).alias("k"), F.lit(3).alias("n"))
+    hot = skew.hot_keys(counts, "k", target_rows=40_000, weight="n")
+    assert [h["k"] for h in hot] == [-1] and 3 <= hot[0]["_chunks"] <= 5
