@@ -115,18 +115,22 @@ def _heavy(rows: DataFrame, on: list[str], most: float, tracked: int, groups: in
     """The number of rows, and the keys that a sketch of ``tracked`` items counts more than ``most`` times."""
     plain = len(on) == 1 and isinstance(rows.schema[on[0]].dataType, _SKETCHED)
     packed = F.to_json(F.struct(*on), {"timestampFormat": _FINE, "timestampNTZFormat": _FINE_NTZ})
-    keyed = rows.select((F.col(on[0]) if plain else packed).alias("_key"))
+    group = F.spark_partition_id() % groups if groups > 1 else F.lit(0)
+    keyed = rows.select((F.col(on[0]) if plain else packed).alias("_key"), group.alias("_group"))
+    # Grouped, so that no rows make no sketch: an empty one cannot be read.
+    parts = keyed.groupBy("_group").agg(
+        F.expr(f"approx_top_k_accumulate(_key, {tracked})").alias("_sketch"), F.count("*").alias("n")
+    )
     if groups > 1:
-        parts = keyed.withColumn("_group", F.spark_partition_id() % groups).groupBy("_group").agg(
-            F.expr(f"approx_top_k_accumulate(_key, {tracked})").alias("_sketch"), F.count("*").alias("_n")
+        parts = parts.groupBy(F.lit(0).alias("_group")).agg(
+            F.expr(f"approx_top_k_combine(_sketch, {tracked})").alias("_sketch"), F.sum("n").alias("n")
         )
-        sketch, n = f"approx_top_k_combine(_sketch, {tracked})", F.sum("_n")
-    else:
-        parts, sketch, n = keyed, f"approx_top_k_accumulate(_key, {tracked})", F.count("*")
-    items = F.expr(f"filter(approx_top_k_estimate({sketch}, {tracked}), x -> x.count > {most!r})")
-    one = parts.agg(items.alias("items"), n.alias("n")).first()
+    items = F.expr(f"filter(approx_top_k_estimate(_sketch, {tracked}), x -> x.count > {most!r})")
+    one = parts.select(items.alias("items"), "n").first()
+    if one is None:
+        return 0, []
     if not one["items"]:
-        return one["n"] or 0, []
+        return one["n"], []
     chunks = {item["item"]: math.ceil(item["count"] / most) for item in one["items"]}
     if plain:
         return one["n"], [Row(**{on[0]: key, _CHUNKS: n}) for key, n in chunks.items()]
