@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Multiplying by 2^27 + 1 and subtracting back leaves the upper 26 bits of a double.
-_SPLIT = 134217729.0
-# From 2^52 on a double has no digits after the point.
-_WHOLE = 4503599627370496.0
+# From 2^52 on a double has no digits after the point; below 2^46 a hundredfold fits one exactly.
+_WHOLE, _HUNDREDFOLD = 4503599627370496.0, 70368744177664.0
+# Whether the double nearest to (2 i + 1) / 200, halfway between i and i + 1 cents, lies below it.
+_BELOW = [Fraction((2 * i + 1) / 200) < Fraction(2 * i + 1, 200) for i in range(101)]
 
 
 def round_half_up(x: Column) -> Column:
@@ -17,29 +19,28 @@ def round_half_up(x: Column) -> Column:
     ``round(0.015D, 2)`` gives 0.02 because Spark rounds the shortest decimal text; the double
     itself lies just under 0.015, and the result wanted here is 0.01. The whole part is split
     off, which is exact, and the fraction is rounded: ``floor(100 x + 0.5)`` can be off by one
-    cent at such edges, so it is compared with the exact value of ``200 x``, kept as the sum of
-    two products that both fit a double. NaN and infinity become NULL, a negative zero 0.
+    cent, so the fraction is compared with the doubles nearest to the halves on both sides. A
+    fraction other than these is on the same side of the half as of the double; for an equal one a
+    table of the 101 halves tells. NaN and infinity become NULL, a negative zero 0.
     """
     x = x.cast("double")
     a = F.abs(x)
-    whole = F.floor(F.when(a < _WHOLE, a).otherwise(0.0)).cast("double")
-    part = a - whole
-    cents = F.floor(part * 100 + 0.5).cast("double")
-    t = part * _SPLIT
-    hi = t - (t - part)
-    lo = part - hi
-    over_lower_edge = (hi * 200 - (cents * 2 - 1)) + lo * 200
-    over_upper_edge = (hi * 200 - (cents * 2 + 1)) + lo * 200
-    exact = (
-        F.when(over_lower_edge < 0, cents - 1)
-        .when(over_upper_edge >= 0, cents + 1)
-        .otherwise(cents)
-    )
-    # Below 2^46 a hundredfold fits a double exactly and one division gives the nearest value.
-    small = (whole * 100 + exact) / 100
-    rounded = F.when(a < 70368744177664.0, small).otherwise(whole + exact / 100)
-    signed = F.when(x < 0, F.when(rounded == 0, 0.0).otherwise(-rounded)).otherwise(rounded)
-    return F.when(F.isnan(x) | (a == float("inf")), None).when(a < _WHOLE, signed).otherwise(x)
+    known = F.when(a < _WHOLE, a).otherwise(0.0)
+    whole = F.floor(known).cast("double")
+    part = known - whole
+    cents = F.floor(part * 100 + 0.5)
+    below = F.array(*map(F.lit, _BELOW))
+    low, high = (cents * 2 - 1) / F.lit(200.0), (cents * 2 + 1) / F.lit(200.0)
+    less = (part < low) | ((part == low) & F.get(below, (cents - 1).cast("int")))
+    more = (part > high) | ((part == high) & ~F.get(below, cents.cast("int")))
+    exact = (cents - less.cast("int") + more.cast("int")).cast("double")
+    # One division gives the double nearest to the result, if a hundredfold fits.
+    scale = F.when(known < _HUNDREDFOLD, 100.0).otherwise(1.0)
+    rounded = (whole * scale + exact * scale / 100) / scale
+    # Terms instead of branches: Spark computes what is shared by all branches of a CASE anew in each,
+    # and a method that grew too long is not compiled. The sum with zero has no negative zero.
+    rest = F.when(F.isnan(x) | (a == float("inf")), None).when(a < _WHOLE, 0.0).otherwise(x)
+    return rounded * F.signum(x) + rest
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators.ranking import top_n, top_n_per_group
@@ -10,34 +10,35 @@ from clickloom.operators.skew import BROADCAST_LIMIT, map_side_join
 from clickloom.workspace import materialize
 
 
-def category_events(details: DataFrame) -> DataFrame:
-    """One row per category an action clicked, ordered or paid: (category_id, kind)."""
+_LISTS = {"order_category_ids": "order", "pay_category_ids": "pay"}
 
-    def listed(column: str, kind: str):
-        ids = F.transform(F.split(column, ","), lambda i: i.try_cast("bigint"))
-        return F.transform(ids, lambda i: F.struct(i.alias("category_id"), F.lit(kind).alias("kind")))
 
-    clicked = F.array(
-        F.struct(F.col("click_category_id").alias("category_id"), F.lit("click").alias("kind"))
-    )
-    nothing = F.array().cast("array<struct<category_id:bigint,kind:string>>")
-    columns = {
-        "click_category_id": clicked,
-        "order_category_ids": listed("order_category_ids", "order"),
-        "pay_category_ids": listed("pay_category_ids", "pay"),
-    }
-    used = F.lit(False)
-    for name in columns:
-        used = used | F.col(name).isNotNull()
-    every = F.concat(
-        *(F.when(F.col(name).isNotNull(), found).otherwise(nothing)
-          for name, found in columns.items())
-    )
-    return (
-        details.where(used)
-        .select(F.inline(every))
-        .where(F.col("category_id").isNotNull())
-    )
+def _listed(column: str, wanted) -> Column:
+    """Of the entries of an id list those that ``wanted`` (of number and text) chooses, with their kind."""
+    entries = F.transform(F.split(column, ","), lambda t: F.struct(
+        t.try_cast("bigint").alias("category_id"), F.lit(_LISTS[column]).alias("kind"), t.alias("value")))
+    chosen = F.filter(entries, lambda e: wanted(e["category_id"]))
+    return F.coalesce(chosen, F.array().cast("array<struct<category_id:bigint,kind:string,value:string>>"))
+
+
+def _used(*columns: str) -> Column:
+    return F.coalesce(*(F.col(c).cast("string") for c in columns)).isNotNull()
+
+
+def category_events(details: DataFrame) -> DataFrame:
+    """One row per category an action clicked, ordered or paid: (category_id, kind). Entries of id
+    lists that are no numbers are in :func:`category_rejects`."""
+    clicked = F.when(F.col("click_category_id").isNotNull(), F.array(F.struct(
+        F.col("click_category_id").alias("category_id"), F.lit("click").alias("kind"), F.lit("").alias("value"))))
+    nothing = F.array().cast("array<struct<category_id:bigint,kind:string,value:string>>")
+    every = F.concat(F.coalesce(clicked, nothing), *(_listed(c, lambda i: i.isNotNull()) for c in _LISTS))
+    return details.where(_used("click_category_id", *_LISTS)).select(F.inline(every)).drop("value")
+
+
+def category_rejects(details: DataFrame) -> DataFrame:
+    """The entries of order and payment lists that are no numbers, as they came: (session_id, kind, value)."""
+    every = F.concat(*(_listed(c, lambda i: i.isNull()) for c in _LISTS))
+    return details.where(_used(*_LISTS)).select("session_id", F.inline(every)).drop("category_id")
 
 
 def category_counts(details: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.text import concat_long_string, group_concat_distinct, json_field
+from clickloom.operators.chunks import CHUNK_BYTES, chunked_values
 from clickloom.operators.ranking import top_n_per_group
 
 # Level by area; every other area has the last level.
@@ -42,20 +43,24 @@ def product_status(extend_info: Column) -> Column:
     return _lookup(json_field(extend_info, "product_status"), PRODUCT_STATUS, OTHER_STATUS)
 
 
-def area_product_clicks(clicks: DataFrame, cities: DataFrame) -> DataFrame:
-    """Clicks and the list of cities (``id:name``) per (area, product).
+def _city_clicks(clicks: DataFrame, cities: DataFrame) -> DataFrame:
+    """Clicks per (area, product, city), the city as ``id:name``.
 
     Clicks are counted per (city, product) before they meet the cities. The join and all later
     steps then see at most cities times products rows, whatever the number of clicks and
     however they are spread over the cities.
     """
     per_city = clicks.groupBy("city_id", "product_id").agg(F.count("*").alias("_clicks"))
+    return per_city.join(cities, "city_id").select(
+        "area", "product_id", "_clicks",
+        concat_long_string(F.col("city_id"), F.col("city_name")).alias("_city"),
+    )
+
+
+def area_product_clicks(clicks: DataFrame, cities: DataFrame) -> DataFrame:
+    """Clicks and the list of cities (``id:name``) per (area, product)."""
     return (
-        per_city.join(cities, "city_id")
-        .select(
-            "area", "product_id", "_clicks",
-            concat_long_string(F.col("city_id"), F.col("city_name")).alias("_city"),
-        )
+        _city_clicks(clicks, cities)
         .groupBy("area", "product_id")
         .agg(
             F.sum("_clicks").alias("click_count"),
@@ -64,6 +69,15 @@ def area_product_clicks(clicks: DataFrame, cities: DataFrame) -> DataFrame:
     )
 
 
+def area_product_city_chunks(
+    clicks: DataFrame, cities: DataFrame, chunk_bytes: int = CHUNK_BYTES, **detect
+) -> DataFrame:
+    """The city lists of :func:`area_product_clicks` as texts of bounded size, for catalogs in which
+    a list outgrows its row: area, product_id, chunk, position, city_infos."""
+    chunks = chunked_values(_city_clicks(clicks, cities), ["area", "product_id"], "_city", chunk_bytes, **detect)
+    return chunks.select("area", "product_id", "chunk", "position", F.array_join("values", ",").alias("city_infos"))
+
+
 def area_top_products(
     area_clicks: DataFrame,
     products: DataFrame,

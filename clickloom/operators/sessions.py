@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from clickloom.functions import predicates as p
 from clickloom.functions.dates import date_hour, format_time
 from clickloom.functions.numbers import ratio
+from clickloom.operators.chunks import CHUNK_BYTES, chunked_values
 from clickloom.operators.ranking import top_n_per_group
-from clickloom.operators.skew import skew_join
+from clickloom.operators.skew import hot_keys, skew_join
 from clickloom.sources.params import TaskParams
 from clickloom.workspace import materialize
 
@@ -37,15 +38,19 @@ STEP_BUCKETS = (
 )
 
 
-def session_aggregate(actions: DataFrame, users: DataFrame | None = None) -> DataFrame:
+def session_aggregate(
+    actions: DataFrame, users: DataFrame | None = None, hot: Sequence[Row] | None = None
+) -> DataFrame:
     """One row per session: user, distinct keywords and clicked categories, lengths, start.
 
     With ``users`` the profile gains age, professional, city and sex, and sessions of unknown
-    users drop out.
+    users drop out. ``hot`` are users of too many sessions for a task, by default looked for among
+    those of many actions.
 
     Actions are first reduced to one row per (session, keyword, category). That step combines
     on the map side and spreads a giant session over many tasks; only its distinct values
-    meet in the second step, which builds the lists.
+    meet in the second step, which builds the lists. Where the lists of a session may be too
+    long for a row, take :func:`session_profiles` and :func:`session_value_chunks`.
     """
     keyword = F.when(F.col("search_keyword") != "", F.col("search_keyword"))
     pieces = (
@@ -77,23 +82,43 @@ def session_aggregate(actions: DataFrame, users: DataFrame | None = None) -> Dat
             "step_length", "start_time",
         )
     )
-    return sessions if users is None else with_user_info(sessions, users)
+    if users is None:
+        return sessions
+    # A user has no more sessions than actions, and counting these needs no sessions.
+    return with_user_info(sessions, users, hot_keys(actions, "user_id") if hot is None else hot)
 
 
 def with_user_info(
-    sessions: DataFrame, users: DataFrame, hot: Sequence[Row] | None = ()
+    sessions: DataFrame, users: DataFrame, hot: Sequence[Row] | None = None
 ) -> DataFrame:
-    """Inner join of sessions with user facts.
-
-    Both sides reach the join through a shuffle on the user, the shape in which Spark splits
-    an oversized partition by itself. Pass ``hot`` (or ``None`` to look for them) to cut the
-    sessions of hot users beforehand.
-    """
+    """Inner join of sessions with user facts. Sessions of hot users (by default looked for) join
+    in chunks."""
     facts = users.select("user_id", "age", "professional", "city", "sex")
     joined = skew_join(sessions, facts, "user_id", hot=hot)
     return joined.select(*sessions.columns, "age", "professional", "city", "sex")
 
 
+def session_value_chunks(
+    actions: DataFrame, sessions: DataFrame | None = None, hot: Sequence[Row] | None = None,
+    chunk_bytes: int = CHUNK_BYTES, **detect,
+) -> DataFrame:
+    """The lists of :func:`session_aggregate` for sessions of any size: chunks of the distinct
+    keywords (``kind`` ``keyword``) and clicked categories (``category``, as text in the order of
+    their numbers) of all sessions, or of the given ones."""
+    if sessions is not None:
+        actions = session_details(sessions, actions, hot)
+    if hot is None:
+        hot = hot_keys(actions, "session_id", **detect)
+    made = []
+    for kind, column in (("keyword", "search_keyword"), ("category", "click_category_id")):
+        filled = actions.where(F.col(column).cast("string") != "")
+        chunks = chunked_values(filled, "session_id", column, chunk_bytes, hot)
+        made.append(chunks.select(
+            "session_id", F.lit(kind).alias("kind"), "chunk", "position", F.col("values").cast("array<string>").alias("values")
+        ))
+    return made[0].unionByName(made[1])
+
+
 def session_filter(sessions: DataFrame, params: TaskParams) -> DataFrame:
     """Sessions meeting every given parameter."""
     return sessions.where(
@@ -138,7 +163,7 @@ def session_profiles(actions: DataFrame, params: TaskParams) -> DataFrame:
 
 
 def profile_filter(
-    profiles: DataFrame, users: DataFrame, params: TaskParams, hot: Sequence[Row] | None = ()
+    profiles: DataFrame, users: DataFrame, params: TaskParams, hot: Sequence[Row] | None = None
 ) -> DataFrame:
     """The :func:`session_profiles` that meet every given parameter, with user facts."""
     known = with_user_info(profiles, users, hot)
@@ -154,7 +179,7 @@ def profile_filter(
 
 
 def with_lists(
-    sessions: DataFrame, actions: DataFrame, hot: Sequence[Row] | None = ()
+    sessions: DataFrame, actions: DataFrame, hot: Sequence[Row] | None = None
 ) -> DataFrame:
     """Add the distinct keywords and clicked categories of the given sessions."""
     keyword = F.when(F.col("search_keyword") != "", F.col("search_keyword"))
@@ -171,7 +196,8 @@ def with_lists(
 def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
     """What :func:`session_filter` keeps of :func:`session_aggregate`, with lists built for the
     kept sessions alone. The kept sessions are written out once."""
-    kept = materialize(profile_filter(session_profiles(actions, params), users, params), "session-kept")
+    busy = hot_keys(actions, "user_id")
+    kept = materialize(profile_filter(session_profiles(actions, params), users, params, busy), "session-kept")
     columns = [
         "session_id", "user_id", "search_keywords", "click_category_ids", "visit_length", "step_length",
         "start_time", "age", "professional", "city", "sex",

@@ -76,16 +76,24 @@ def product_job(
     return {"area_top3_product": result_rows(top, "area_top3_product", task_id)}
 
 
-def news_job(access: DataFrame, date: str | None = None) -> dict[str, DataFrame]:
-    """The five indicators of one day, by default yesterday."""
+def news_job(
+    access: DataFrame, date: str | None = None, folder: str | None = None
+) -> dict[str, DataFrame]:
+    """The five indicators of one day, by default yesterday.
+
+    The log is read once: its lines, counted by page and user, are written under ``folder`` (see
+    :func:`session_job`), and all five are made of that.
+    """
+    spark = access.sparkSession
     if date is None:
-        date = access.sparkSession.range(1).select(dates.yesterday()).first()[0]
+        date = spark.range(1).select(dates.yesterday()).first()[0]
+    visits = materialize(news.visits(access, date), "visits", f"{folder or work_path(spark, 'news-job')}/visits")
     return {
-        "page_pv": news.daily_page_pv(access, date),
-        "page_uv": news.daily_page_uv(access, date),
-        "section_pv": news.daily_section_pv(access, date),
-        "register_rate": news.register_rate(access, date),
-        "jump_rate": news.jump_rate(access, date),
+        "page_pv": news.daily_page_pv(visits),
+        "page_uv": news.daily_page_uv(visits),
+        "section_pv": news.daily_section_pv(visits),
+        "register_rate": news.register_rate(visits),
+        "jump_rate": news.jump_rate(visits),
     }
 
 

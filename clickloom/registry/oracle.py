@@ -432,6 +432,48 @@ def oracle_sql() -> dict[str, str]:
             group by category_id, kind""",
             "user_visit_action",
         ),
+        "session_value_chunks": _with(
+            """
+            , v as (
+                select distinct session_id, 'keyword' as kind, search_keyword as v, null::bigint as i
+                from user_visit_action where search_keyword <> ''
+                union all
+                select distinct session_id, 'category', cast(click_category_id as varchar), click_category_id
+                from user_visit_action where click_category_id is not null),
+            n as (
+                select *, row_number() over (partition by session_id, kind order by i, v) - 1 as pos,
+                       cast(coalesce(sum(strlen(v) + 1) over (
+                           partition by session_id, kind order by i, v rows between unbounded preceding and 1 preceding), 0) as bigint) // 8 as c
+                from v)
+            select session_id, kind, row_number() over (partition by session_id, kind order by c) - 1 as chunk,
+                   min(pos) as position, string_agg(v, ',' order by pos) as "values"
+            from n group by session_id, kind, c""",
+            "user_visit_action",
+        ),
+        "area_product_city_chunks": _with(
+            """
+            , v as (
+                select distinct area, click_product_id as product_id, concat(city_id, ':', city_name) as v
+                from user_visit_action join city_info using (city_id) where click_product_id is not null),
+            n as (
+                select *, row_number() over (partition by area, product_id order by v) - 1 as pos,
+                       cast(coalesce(sum(strlen(v) + 1) over (
+                           partition by area, product_id order by v rows between unbounded preceding and 1 preceding), 0) as bigint) // 30 as c
+                from v)
+            select area, product_id, row_number() over (partition by area, product_id order by c) - 1 as chunk,
+                   min(pos) as position, string_agg(v, ',' order by pos) as city_infos
+            from n group by area, product_id, c""",
+            "user_visit_action", "city_info",
+        ),
+        "category_rejects": _with(
+            """
+            select session_id, 'order' as kind, 'n/a' as value from user_visit_action
+            where order_category_ids is not null and page_id = 3
+            union all
+            select session_id, 'pay', '' from user_visit_action
+            where pay_category_ids is not null and page_id = 4""",
+            "user_visit_action",
+        ),
         "category_counts": _with("select * from category_counts", "category_counts"),
         "top_categories": _with("select * from top_categories", "top_categories"),
         "top_sessions": _with("select * from top_sessions", "top_sessions"),

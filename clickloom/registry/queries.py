@@ -128,7 +128,8 @@ def _filtered(t: Tables) -> DataFrame:
 
 def _details(t: Tables) -> DataFrame:
     profiles = sessions.session_profiles(t.actions(), FILTER)
-    kept = materialize(sessions.profile_filter(profiles, t.users(), FILTER), "session-kept")
+    busy = skew.hot_keys(t.actions(), "user_id")
+    kept = materialize(sessions.profile_filter(profiles, t.users(), FILTER, busy), "session-kept")
     return sessions.session_details(kept, t.actions())
 
 
@@ -210,6 +211,23 @@ def category_events(t: Tables) -> DataFrame:
     )
 
 
+@query
+def session_value_chunks(t: Tables) -> DataFrame:
+    """Lists in chunks of eight bytes."""
+    chunks = sessions.session_value_chunks(t.actions(), chunk_bytes=8)
+    return chunks.withColumn("values", F.array_join("values", ","))
+
+
+@query
+def category_rejects(t: Tables) -> DataFrame:
+    """Lists of page 3 get a broken entry, payments of page 4 lose theirs."""
+    broken = t.actions().withColumns({
+        "order_category_ids": F.expr("if(page_id = 3, concat(order_category_ids, ',n/a'), order_category_ids)"),
+        "pay_category_ids": F.expr("if(page_id = 4, replace(pay_category_ids, pay_category_ids, ''), pay_category_ids)"),
+    })
+    return categories.category_rejects(broken)
+
+
 @query
 def category_counts(t: Tables) -> DataFrame:
     return categories.category_counts(_details(t))
@@ -341,6 +359,14 @@ def area_product_clicks(t: Tables) -> DataFrame:
     return _area_clicks(t)
 
 
+@query
+def area_product_city_chunks(t: Tables) -> DataFrame:
+    """City lists in chunks of 30 bytes, of products of more than three cities put together from pieces."""
+    return products.area_product_city_chunks(
+        tables.scan_clicks(t.actions()), t.cities(), chunk_bytes=30, target_rows=3, fraction=1
+    )
+
+
 @query
 def area_product_sql(t: Tables) -> DataFrame:
     """The same counts as SQL text over views, with the functions registered by name."""

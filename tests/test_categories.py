@@ -101,3 +101,14 @@ def test_details_repeat_per_category_unless_distinct(spark):
         assert Counter(r["action_id"] for r in twice.collect()) == {0: 2, 1: 2}
         assert Counter(r["action_id"] for r in once.collect()) == {0: 1, 1: 1}
         assert twice.columns == df.columns
+
+
+def test_rejects_are_the_entries_that_are_no_numbers(spark):
+    df = details(
+        spark,
+        [("s", 1, None, None), ("t", 7, "", "x"), ("u", None, "1,b,,2", "3"), ("v", None, None, None), ("w", None, "5", "9 ,1e3")],
+    )
+    got = sorted(map(tuple, categories.category_rejects(df).collect()))
+    assert got == [("t", "order", ""), ("t", "pay", "x"), ("u", "order", ""), ("u", "order", "b"), ("w", "pay", "1e3")]
+    events = sorted(map(tuple, categories.category_events(df).collect()))
+    assert events == [(1, "click"), (1, "order"), (2, "order"), (3, "pay"), (5, "order"), (7, "click"), (9, "pay")]

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 from decimal import ROUND_HALF_UP, Decimal
+from fractions import Fraction
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -187,3 +189,29 @@ def test_packed_field_drops_empty_ends(spark):
     df = spark.createDataFrame([("x=a=|y=b",), ("x==",), ("x=a=b",)], "t string")
     got = [r.v for r in df.select(text.packed_field(F.col("t"), "x").alias("v")).collect()]
     assert got == ["a", None, None]
+
+
+@given(st.lists(st.one_of(
+    st.floats(allow_nan=False, allow_infinity=False), st.integers(-10**7, 10**7).map(lambda n: n / 200),
+    st.integers(0, 2**60).map(lambda n: n / 2**12), st.tuples(st.integers(0, 999), st.integers(-4, 4)).map(
+        lambda t: math.nextafter((2 * t[0] + 1) / 200, math.inf, steps=t[1]) if t[1] > 0 else math.nextafter((2 * t[0] + 1) / 200, -math.inf, steps=-t[1])),
+), min_size=50, max_size=200))
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_rounding_equals_exact_arithmetic(spark, values):
+    """Doubles at and beside all halves, large and small, against fractions."""
+    got = spark.createDataFrame([(v,) for v in values], "x double").select(round_half_up(F.col("x"))).collect()
+    for value, (rounded,) in zip(values, got):
+        if abs(value) >= 2**52:
+            assert rounded == value
+        else:
+            cents = math.floor(Fraction(abs(value)) * 100 + Fraction(1, 2))
+            assert rounded == float(Fraction(cents, 100)) * (1 if value > 0 else -1), value
+            assert math.copysign(1, rounded) > 0 or rounded != 0
+
+
+def test_rounding_compiles_to_a_small_method(spark):
+    """Methods of more than 8,000 bytes are interpreted."""
+    plan = spark.range(1).select(round_half_up(F.col("id") / 3).alias("r"))._jdf.queryExecution()
+    codes = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(plan.executedPlan())
+    sizes = [codes.apply(i)._3().maxMethodCodeSize() for i in range(codes.size())]
+    assert sizes and max(sizes) < 8000

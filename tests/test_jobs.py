@@ -73,6 +73,30 @@ def test_news_job(tables):
     assert jobs.news_job(tables.news())["page_pv"].count() == 0  # nothing of yesterday
 
 
+def test_news_job_scans_the_log_once(spark, tables, monkeypatch):
+    """The five results read the counts of the day; they equal those made of the log."""
+    from clickloom.operators import news
+
+    written = []
+    real = jobs.materialize
+    monkeypatch.setattr(jobs, "materialize", lambda df, *a: written.append(df) or real(df, *a))
+    day = "2024-01-15"
+    results = jobs.news_job(tables.news(), day)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (*written, *results.values())]
+    assert [p.count("events.parquet") for p in plans] == [1, 0, 0, 0, 0, 0]
+    expected = {
+        "page_pv": news.daily_page_pv, "page_uv": news.daily_page_uv, "section_pv": news.daily_section_pv,
+        "register_rate": news.register_rate, "jump_rate": news.jump_rate,
+    }
+    for name, figure in expected.items():
+        assert rows_of(results[name]) == rows_of(figure(tables.news(), day)) != []
+    # Counts of two parts of a log add up, and so do those of all days.
+    parts = [tables.news().where(f"timestamp % 2 = {i}") for i in range(2)]
+    both = news.visits(news.visits(parts[0]).unionByName(news.visits(parts[1])))
+    for figure in expected.values():
+        assert rows_of(figure(both)) == rows_of(figure(tables.news()))
+
+
 def test_work_paths_lie_in_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir", "")
     one, two = work_path(spark, "a"), work_path(spark, "a")
