@@ -15,7 +15,6 @@ all its pairs: links keep their components, and a group of k members gives fewer
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,7 +22,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
 
 from clickloom.llm.components import components
 from clickloom.llm.words import slices
@@ -32,7 +30,6 @@ from clickloom.workspace import materialize
 BITS = 3
 SEGMENTS = 8
 BLOCK = 2048
-_GAMMA = 0x9E3779B97F4A7C15
 
 
 def shingle_hashes(text: bytes | None, width: int) -> np.ndarray:
@@ -50,63 +47,32 @@ def shingle_hashes(text: bytes | None, width: int) -> np.ndarray:
     return np.array([digest(joined[a:b], 42) for a, b in pairs], np.uint64)
 
 
-def fingerprint(hashes: np.ndarray, n: int = 1) -> np.ndarray:
-    """``n`` fingerprint words of 64 bits: a bit is set if over half the hashes have it.
+def fingerprint(hashes: np.ndarray) -> int:
+    """A bit is set if over half the hashes have it."""
+    votes = np.zeros(64, np.int64)
+    for a in range(0, len(hashes), 1 << 16):
+        part = hashes[a : a + (1 << 16)]
+        votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * votes > len(hashes), bitorder="little").view(np.uint64)[0])
 
-    The first word votes with the hashes themselves, each further one with a remix of them.
-    """
-    out = np.zeros(n, np.uint64)
-    for i in range(n if len(hashes) else 0):
-        h = hashes
-        if i:
-            h = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(_GAMMA * (2 * i + 1) % 2**64)
-            h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-            h ^= h >> np.uint64(32)
-        votes = np.zeros(64, np.int64)
-        for a in range(0, len(h), 1 << 16):
-            part = h[a : a + (1 << 16)]
-            votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-        out[i] = np.packbits(2 * votes > len(h), bitorder="little").view(np.uint64)[0]
-    return out
-
-
-def prefix(hashes: np.ndarray, few: int, share: float) -> np.ndarray:
-    """The smallest hashes of a set of ``few`` at most, as many that sets alike in ``share`` have one
-    of them in common. Larger sets have none."""
-    own = np.unique(hashes)
-    if not 0 < len(own) <= few:
-        return own[:0]
-    return own[: len(own) - math.ceil(share * len(own) - 1e-9) + 1]
 
-
-def with_fingerprint(
-    docs: DataFrame, text: str, width: int, n: int = 1, few: int = 0, share: float = 1.0
-) -> DataFrame:
-    """All columns but the text, and ``fp``: the ``n`` fingerprint words as big-endian bytes; with
-    ``few``, also ``short``: the :func:`prefix` of texts of few shingles.
+def with_fingerprint(docs: DataFrame, text: str, width: int) -> DataFrame:
+    """All columns but the text, and ``fp``: the fingerprint as big-endian bytes.
 
     A NULL text counts as empty; without words the fingerprint is zero.
     """
     kept = [c for c in docs.columns if c != text]
     source = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").alias("_text"))
     schema = source.drop("_text").schema.add("fp", "binary")
-    names = [*kept, "fp"]
-    if few:
-        schema, names = schema.add("short", ArrayType(LongType())), [*names, "short"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(len(kept)).cast(pa.large_binary())
             for a, b in slices(texts):
-                made, short = [], []
-                for t in texts.slice(a, b - a):
-                    hashes = shingle_hashes(t.as_py(), width)
-                    made.append(fingerprint(hashes, n).astype(">u8").tobytes())
-                    short.append(prefix(hashes, few, share).view(np.int64))
-                part = [*batch.slice(a, b - a).columns[: len(kept)], pa.array(made, pa.binary())]
-                if few:
-                    part.append(pa.array(short, pa.list_(pa.int64())))
-                yield pa.RecordBatch.from_arrays(part, names)
+                made = [fingerprint(shingle_hashes(t.as_py(), width)).to_bytes(8, "big") for t in texts.slice(a, b - a)]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.slice(a, b - a).columns[: len(kept)], pa.array(made, pa.binary())], [*kept, "fp"]
+                )
 
     return source.mapInArrow(run, schema)
 
@@ -128,25 +94,6 @@ def pigeonring_keys(fp: Column) -> Column:
     return F.array(*keys)
 
 
-def segment_index(words: int, width: int) -> Callable:
-    """Task code that gives ``(fp, key)`` for each ``width``-bit segment of long fingerprints, taken
-    in a row and, once more, from bits that lie apart."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = 64 * words // width
-        scale = 1 << np.arange(width - 1, -1, -1)
-        apart = np.arange(n * width).reshape(width, n).T.reshape(-1)
-        for batch in batches:
-            raw = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8)
-            bits = np.unpackbits(raw.reshape(-1, 8 * words), axis=1)
-            bits = np.concatenate([bits[:, : n * width], bits[:, ::-1][:, apart]], axis=1)
-            value = bits.reshape(-1, 2 * n, width) @ scale + (np.arange(2 * n) << width)
-            fps = batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), 2 * n)))
-            yield pa.RecordBatch.from_arrays([fps, pa.array(value.reshape(-1))], ["fp", "key"])
-
-    return run
-
-
 def chain_ok(diff: np.ndarray, bits: int) -> np.ndarray:
     """Pigeonring test on XOR values of 64 bits: some start keeps all chain budgets."""
     per = np.bitwise_count(diff.view(np.uint8).reshape(-1, SEGMENTS)).astype(np.int16)
@@ -160,15 +107,10 @@ def chain_ok(diff: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _close(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
-    """Which rows of ``a`` and ``b`` (fingerprint words) differ in at most ``bits``."""
-    if a.shape[1] == 1:
-        diff = np.ascontiguousarray((a ^ b)[:, 0])
-        ok = np.flatnonzero(chain_ok(diff, bits))
-        return ok[np.bitwise_count(diff[ok]) <= bits]
-    # Half of the words tell most pairs apart.
-    half = a.shape[1] // 2
-    ok = np.flatnonzero(np.bitwise_count(a[:, :half] ^ b[:, :half]).sum(axis=1, dtype=np.int64) <= bits)
-    return ok[np.bitwise_count(a[ok] ^ b[ok]).sum(axis=1, dtype=np.int64) <= bits]
+    """Which rows of ``a`` and ``b`` (fingerprints) differ in at most ``bits``."""
+    diff = np.ascontiguousarray(a ^ b)
+    ok = np.flatnonzero(chain_ok(diff, bits))
+    return ok[np.bitwise_count(diff[ok]) <= bits]
 
 
 def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -184,18 +126,6 @@ def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def _alike(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, share: float) -> np.ndarray:
-    """Which pairs of sets (rows ``a`` and ``b``) have a Jaccard similarity of ``share`` or more."""
-    out = []
-    for k, (i, j) in enumerate(zip(a.tolist(), b.tolist())):
-        x, y = sets[i], sets[j]
-        if min(len(x), len(y)) >= share * max(len(x), len(y), 1):
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            if both >= share * (len(x) + len(y) - both) - 1e-9:
-                out.append(k)
-    return np.array(out, np.int64)
-
-
 def linked_rows(group: np.ndarray, side: np.ndarray, near_of: Callable) -> list[np.ndarray]:
     """Row pairs that link all close members of each group, given sorted by group.
 
@@ -257,24 +187,20 @@ def _compare(near: Callable) -> Callable:
     return run
 
 
-def links(keyed: DataFrame, bits: int, words: int = 1, block: int = BLOCK) -> DataFrame:
+def links(keyed: DataFrame, bits: int = BITS, block: int = BLOCK) -> DataFrame:
     """Links ``(u, v)`` among distinct fingerprints that share a key, from ``(fp, key)``.
 
     The result connects whatever the full set of links connects, with about as many rows for
     each key as it has members.
     """
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"))
-    if words == 1:  # keys are long: most have one member and need go no further
-        met = keyed.join(sizes.where("n > 1"), "key")
-    else:
-        large = materialize(sizes.where(F.col("n") > block), "simhash-large")
-        met = keyed.join(large, "key", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    # Keys are long: most have one member and need go no further.
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
 
     def near(column: pa.Array) -> Callable:
-        fps = np.frombuffer(b"".join(column.to_pylist()), ">u8").astype(np.uint64).reshape(-1, words)
+        fps = np.frombuffer(b"".join(column.to_pylist()), ">u8").astype(np.uint64)
         return lambda a, b: _close(fps[a], fps[b], bits)
 
-    return _linked(met, block, near)
+    return _linked(keyed.join(sizes, "key"), block, near)
 
 
 def _linked(met: DataFrame, block: int, near: Callable) -> DataFrame:
@@ -297,52 +223,18 @@ def _linked(met: DataFrame, block: int, near: Callable) -> DataFrame:
     )
 
 
-def alike(members: DataFrame, width: int, share: float, block: int = BLOCK) -> DataFrame:
-    """Links ``(u, v)`` among the rows ``(fp, root, text)`` of each root: they connect what the pairs
-    of a Jaccard similarity of ``share`` or more over shingles connect."""
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(2).cast(pa.large_binary())
-            for a, b in slices(texts):
-                made = [np.unique(shingle_hashes(t.as_py(), width)).tobytes() for t in texts.slice(a, b - a)]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(a, b - a).columns[:2], pa.array(made, pa.binary())], ["fp", "key", "shingles"]
-                )
-
-    def near(column: pa.Array) -> Callable:
-        held = [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
-        return lambda a, b: _alike(held, a, b, share)
-
-    made = materialize(members.mapInArrow(sets, "fp binary, key binary, shingles binary"), "simhash-sets")
-    large = materialize(made.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block), "simhash-large-sets")
-    return _linked(made.join(large, "key", "left").withColumn("n", F.coalesce("n", F.lit(1))), block, near)
-
-
-def groups(
-    docs: DataFrame, text: str = "text", width: int = 3, words: int = 1, bits: int = BITS,
-    segment: int = 14, few: int = 0, share: float = 1.0,
-) -> tuple[DataFrame, DataFrame]:
+def groups(docs: DataFrame, text: str = "text", width: int = 3, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
     """Fingerprints of all documents, and the component of every linked fingerprint.
 
     Returns ``(rows, linked)``: the documents' other columns with ``fp``, and ``(node, root)``
-    for each fingerprint that has a link to another. With one word and 3 bits the links are
-    complete. With several words candidates must share one ``segment`` of bits, each of which
-    is a chain of its own; the more segments there are, the fewer links that misses. Texts of
-    ``few`` shingles at most are also candidates by a :func:`prefix` for ``share``.
+    for each fingerprint that has a link to another. Links are complete for up to 3 bits.
     """
-    if words == 1 and bits > BITS:
-        raise ValueError(f"one word is indexed for {BITS} bits at most")
-    rows = materialize(with_fingerprint(docs, text, width, words, few, share), "simhash")
-    distinct = rows.select("fp").distinct()
-    if words == 1:
-        keys = pigeonring_keys(F.conv(F.hex("fp"), 16, -10).cast("long"))
-        keyed = distinct.select("fp", F.explode(F.array_distinct(keys)).alias("key"))
-    else:
-        keyed = distinct.mapInArrow(segment_index(words, segment), "fp binary, key long")
-        if few:
-            keyed = keyed.unionByName(rows.select("fp", F.explode("short").alias("key")).distinct())
-    return rows, components(links(keyed, bits, words), "simhash-links")
+    if bits > BITS:
+        raise ValueError(f"fingerprints are indexed for {BITS} bits at most")
+    rows = materialize(with_fingerprint(docs, text, width), "simhash")
+    keys = pigeonring_keys(F.conv(F.hex("fp"), 16, -10).cast("long"))
+    keyed = rows.select("fp").distinct().select("fp", F.explode(F.array_distinct(keys)).alias("key"))
+    return rows, components(links(keyed, bits), "simhash-links")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -366,18 +258,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
 
 
-#: For whole documents alike in 0.8 of their five-word shingles (Jaccard): then about 15 % of the
-#: bits differ, 77 of 512 with a deviation of 8 (96 for 4 shingles of 5). The bits only find
-#: candidates, so the limit lies far above; ``SHARE`` decides.
-SIMILAR = {"width": 5, "words": 8, "bits": 140, "segment": 14, "few": 80}
-SHARE = 0.8
-
-
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The documents without near duplicates: of each group the smallest id stays (a NULL id only
-    where there is no other), with the columns as given. Of rows that agree in all columns one
-    stays."""
-    how = SIMILAR | how
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, bits: int = BITS) -> DataFrame:
+    """The documents without near duplicates: of each component of fingerprints (see
+    :func:`near_duplicates`) the smallest id stays (a NULL id only where there is no other), with the
+    columns as given. Of rows that agree in all columns one stays."""
     simple = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
     keys = [F.xxhash64(F.lit(i), *(F.col(f"`{c}`") for c in simple)) for i in (1, 2)]
     # The second hash takes the columns the other way round, so both are needed to collide.
@@ -386,16 +270,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how)
         F.col(f"`{doc_id}`").alias("doc_id"), keys[0].alias("k1"), keys[1].alias("k2"),
         F.col(f"`{text}`").alias("text"),
     )
-    rows, loose = groups(narrow, "text", share=SHARE, **how)
-    # One text of each fingerprint is laid against the others of its loose group.
-    # A root is no node of its own, so it is added.
-    members = loose.select(F.col("node").alias("fp"), "root").unionByName(
-        loose.select(F.col("root").alias("fp"), "root").distinct()
-    )
-    one = rows.groupBy("fp").agg(F.min(F.struct("k1", "k2")).alias("k"))
-    chosen = materialize(one.join(members, "fp").select("fp", "root", "k.k1", "k.k2"), "simhash-chosen")
-    texts = narrow.select("k1", "k2", "text").join(chosen, ["k1", "k2"]).select("fp", "root", "text")
-    linked = components(alike(texts, how["width"], SHARE), "simhash-alike")
+    rows, linked = groups(narrow, "text", width, bits)
     root = rows.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select(
         F.coalesce("root", "fp").alias("root"), F.struct(F.isnull("doc_id"), "doc_id", "k1", "k2").alias("row")
     )
