@@ -1,4 +1,4 @@
-"""Link tables from raw pages: extraction, resolution against the page, and the frontier."""
+"""Link tables from raw pages: extraction, resolution against the page, the frontier, and crawls in rounds."""
 
 from __future__ import annotations
 
@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.operators.skew import hot_keys, skew_join
+from clickloom.workspace import materialize, work_path
+
 # The attributes that hold links, and the starts of links that lead nowhere.
 LINK_PATTERN = r"""(?:src|href)=(?:"[^"]+"|'[^']+')"""
 DROPPED_STARTS = ("#", "javascript:", "mailto:")
@@ -65,3 +68,35 @@ def crawl_frontier(links: DataFrame, visited: DataFrame, contains: str = "") ->
     """
     wanted = links.select(F.col("target").alias("url")).where(F.col("url").contains(contains))
     return wanted.distinct().join(visited.select("url").distinct(), "url", "left_anti")
+
+
+def crawl_rounds(
+    links: DataFrame, seeds: DataFrame, contains: str = "", most_rounds: int | None = None,
+    folder: str | None = None, **detect,
+) -> DataFrame:
+    """Breadth-first crawl of a web given by the links of its pages: (url, depth) of every URL that can
+    be reached from the seeds, with the fewest links to follow.
+
+    ``links`` are (``url``, ``target``), the full URL of a page and of one of its links; only targets
+    that contain a text are followed. A URL without a page is reached but leads nowhere. The crawl
+    ends when a round finds nothing new, or after ``most_rounds``.
+
+    The links are written once, each distinct pair in one place, and every round is a table of its
+    own under ``folder`` (by default in the shared folder): what was visited is never held by the
+    driver, and a round follows only the links of the pages found by the one before. A page of
+    very many links is cut in chunks, and a target that all pages link to is made distinct in each
+    task before it is looked up among the visited ones.
+    """
+    spark = links.sparkSession
+    folder = folder or work_path(spark, "crawl")
+    followed = links.where(F.col("target").contains(contains)).select("url", "target")
+    edges = materialize(followed.where(F.col("url") != F.col("target")).distinct(), "edges", f"{folder}/edges")
+    hot = hot_keys(edges, "url", **detect)
+    found = materialize(seeds.select("url").where(F.col("url").isNotNull()).distinct(), "found", f"{folder}/found/depth=0")
+    depth = 0
+    while (most_rounds is None or depth < most_rounds) and not found.isEmpty():
+        depth += 1
+        visited = spark.read.schema("url string").parquet(*(f"{folder}/found/depth={d}" for d in range(depth)))
+        reached = skew_join(edges, found, "url", "left_semi", hot).select(F.col("target").alias("url")).distinct()
+        found = materialize(reached.join(visited, "url", "left_anti"), "found", f"{folder}/found/depth={depth}")
+    return spark.read.schema("url string, depth int").parquet(f"{folder}/found")

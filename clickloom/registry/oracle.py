@@ -671,6 +671,18 @@ def oracle_sql() -> dict[str, str]:
             "and target not in (select url from pages where url is not null)",
             "resolved",
         ),
+        "crawl_rounds": _with(
+            """
+            , edges as materialized (
+                select distinct p.url, r.target from resolved r join pages p using (page_id)
+                where contains(r.target, '.example.')),
+            reached(url, depth) as (
+                select distinct url, 0 from pages where contains(url, '/en/')
+                union
+                select e.target, r.depth + 1 from reached r join edges e using (url) where r.depth < 30)
+            select url, min(depth) as depth from reached group by url""",
+            "resolved",
+        ).replace("with ", "with recursive ", 1),
         "number_functions": f"""
             select l_orderkey, l_linenumber,
                    {rounded('(l_extendedprice * l_discount)')} as discount,

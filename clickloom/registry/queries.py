@@ -666,6 +666,14 @@ def crawl_frontier(t: Tables) -> DataFrame:
     return links.crawl_frontier(_links(t), t.raw("pages"), contains=".example.")
 
 
+@query
+def crawl_rounds(t: Tables) -> DataFrame:
+    """Everything that can be reached from the English pages, and how far away it is."""
+    pages = t.raw("pages")
+    edges = _links(t).join(pages.select("page_id", "url"), "page_id").select("url", "target")
+    return links.crawl_rounds(edges, pages.where(F.col("url").contains("/en/")), contains=".example.")
+
+
 # -- scalar functions -------------------------------------------------------------------------
 
 

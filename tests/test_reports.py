@@ -185,3 +185,31 @@ def test_links_of_pages_without_a_path_and_schemes_in_upper_case(spark):
     )
     got = [r.t for r in df.select(links.resolve_link(df.url, df.link).alias("t")).collect()]
     assert got == ["http://a.com/x.html", "HTTP://b.com/x", "http://a.com/p/x", "http://a.com/y"]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_crawl_rounds_equal_a_queue(spark, tmp_path, seed):
+    """Circles, a page of very many links, dead ends, seeds that repeat or are unknown."""
+    import random
+    from collections import deque
+
+    rng = random.Random(seed)
+    edges = [(f"http://a/{rng.randrange(60)}", f"http://{rng.choice('ab')}/{rng.randrange(90)}") for _ in range(80)]
+    edges += [("http://a/3", f"http://a/{i}") for i in range(40, 60)] + [(f"http://a/{i}", f"http://a/{i + 1}") for i in range(200, 206)]
+    edges += edges[:5] + [("http://a/1", "http://a/1"), (None, "http://a/2"), ("http://a/2", None)]
+    seeds = ["http://a/3", "http://a/3", "http://a/200", "http://nowhere/", None]
+    expected, queue = {}, deque((s, 0) for s in seeds if s)
+    while queue:
+        url, depth = queue.popleft()
+        if url not in expected:
+            expected[url] = depth
+            queue.extend((t, depth + 1) for u, t in edges if u == url and t and "a/" in t)
+    web = spark.createDataFrame(edges, "url string, target string")
+    start = spark.createDataFrame([(s,) for s in seeds], "url string")
+    for n, more in enumerate(({}, {"target_rows": 5, "fraction": 1})):
+        got = links.crawl_rounds(web, start, "a/", folder=str(tmp_path / str(n)), **more)
+        assert {r["url"]: r["depth"] for r in got.collect()} == expected and got.count() == len(expected)
+    assert max(expected.values()) >= 6
+    two = links.crawl_rounds(web, start, "a/", most_rounds=2, folder=str(tmp_path / "two"))
+    assert {r["url"]: r["depth"] for r in two.collect()} == {u: d for u, d in expected.items() if d <= 2}
+    assert links.crawl_rounds(web, start.limit(0), folder=str(tmp_path / "none")).collect() == []
