@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -11,13 +12,33 @@ import regex
 
 from clickloom.llm.token_transducer import PATTERN, PLAIN, byte_letters
 
-#: The most white-space chunks and the most pieces that a worker remembers.
-CHUNKS = 400_000
+#: The most white-space chunks and the most pieces that a worker remembers, of each half old ones.
+CHUNKS = 800_000
 PIECES = 450_000
 # Longer ones are rare and would fill the cache.
 _LONGEST = 100
 
 
+class Recent(dict):
+    """What ``make`` gave for the keys met last. When half of ``size`` is full it becomes the older
+    half, from which keys that are met again come back; so frequent keys are made only once."""
+
+    def __init__(self, make: Callable, size: int) -> None:
+        super().__init__()
+        self.make, self.half, self.older = make, max(size // 2, 1), {}
+
+    def __missing__(self, key):
+        made = self.older.get(key)
+        if made is None:
+            made = self.make(key)
+        if len(key) <= _LONGEST:
+            if len(self) >= self.half:
+                self.older = dict(self)
+                self.clear()
+            self[key] = made
+        return made
+
+
 class ChunkEncoder:
     """Encodes texts chunk by chunk, with bounded caches of chunks and of their pieces.
 
@@ -47,8 +68,8 @@ class ChunkEncoder:
         )
         self.split = regex.compile(PATTERN)
         self.letters = byte_letters()
-        self.chunks: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = Recent(self._piece, PIECES)
+        self.chunks = Recent(self._chunk, CHUNKS)
 
     def vocabulary(self) -> int:
         """Number of ids, added ones too."""
@@ -59,38 +80,21 @@ class ChunkEncoder:
 
     def _piece(self, piece: str) -> bytes:
         spelt = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self.letters)
-        made = np.array([t.id for t in self.model.tokenize(spelt)], "<u4").tobytes()
-        if len(piece) <= _LONGEST:
-            if len(self.pieces) >= PIECES:
-                self.pieces.clear()
-            self.pieces[piece] = made
-        return made
+        return np.array([t.id for t in self.model.tokenize(spelt)], "<u4").tobytes()
 
     def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode("utf-8")
+        if text.isascii() and text.isalpha():  # one piece
+            return self.pieces[text.lower()]
         if "<|" in text or not (text.isprintable() and (text.isascii() or max(text) < chr(PLAIN))):
             return self._whole(text)
-        known, piece = self.pieces.get, self._piece
-        return b"".join([known(p) or piece(p) for p in self.split.findall(text.lower())])
+        return b"".join(map(self.pieces.__getitem__, self.split.findall(text.lower())))
 
     def ids(self, text: bytes) -> np.ndarray:
         """The ids of a whole text as unsigned 32-bit integers."""
         if not self.local:
             return np.frombuffer(self._whole(text.decode("utf-8")), "<u4")
-        known, long = self.chunks, []
-        words = text.split()
-        missing = set(words).difference(known)
-        if missing and len(known) + len(missing) > CHUNKS:
-            known.clear()
-            missing = set(words)
-        for chunk in missing:
-            known[chunk] = self._chunk(chunk)
-            if len(chunk) > _LONGEST:
-                long.append(chunk)
-        made = b"".join(map(known.__getitem__, words))
-        for chunk in long:
-            del known[chunk]
-        return np.frombuffer(made, "<u4")
+        return np.frombuffer(b"".join(map(self.chunks.__getitem__, text.split())), "<u4")
 
 
 @lru_cache(maxsize=2)
