@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -58,25 +59,34 @@ _BREAKS_OUT = frozenset(
 _SCOPE = frozenset("td th table caption html button".split())
 _IN_HEAD = HIDDEN | {"base", "html"}
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)", re.S
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)", re.S
 )
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)")
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
-_NO_SHOW = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
+_NO_SHOW = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)\b", re.I)
+_WHOLE_NUMBER = re.compile(r"\s*[+-]?\d{1,9}")
+# Columns are padded to this width at most, and lists and quotes are indented to this depth: beyond
+# it text follows on without more spaces, so what is written stays in proportion to the page.
+WIDEST, DEEPEST = 100, 30
+_COLUMNS = 10_000
 _BREAK, _KEEP = "\x00", "\x01"
 
 
 class _Element:
-    __slots__ = ("tag", "shown", "keep", "lines", "inline", "gap", "count", "rows", "span", "block", "mute")
+    __slots__ = (
+        "tag", "shown", "visible", "keep", "lines", "inline", "gap", "count", "value", "rows", "span", "down", "block", "mute"
+    )
 
     def __init__(self, tag: str, shown: bool, keep: bool) -> None:
         self.tag, self.shown, self.keep = tag, shown, keep
         self.lines: list[str] = []
         self.inline: list[str] = []
         self.gap = False
-        self.count, self.span = 0, 1
-        self.rows: list[list[tuple[list[str], int]]] | None = [] if tag == "table" else None
+        self.visible, self.value = True, None
+        self.count, self.span, self.down = 0, 1, 1
+        self.rows: list[list[_Cell]] | list[_Cell] | None = [] if tag == "table" else None
         self.block = tag in BLOCKS
         self.mute = False
 
@@ -103,24 +113,55 @@ class _Element:
         self.gap = spaced
 
 
-def _table(rows: list[list[tuple[list[str], int]]]) -> list[str]:
-    """Rows of cells as lines, columns padded to one width."""
-    width: dict[int, int] = {}
+# Lines of a cell, and the columns and rows it takes.
+_Cell = tuple[list[str], int, int]
+
+
+def _placed(rows: list[list[_Cell]]) -> list[list[tuple[int, list[str], int]]]:
+    """Rows of (column, lines, columns taken); columns that a cell above reaches down to are passed over."""
+    taken: dict[int, int] = {}
+    out = []
     for row in rows:
-        at = 0
-        for lines, span in row:
-            if span == 1:
-                width[at] = max(width.get(at, 0), *map(len, lines), 0)
+        at, cells, reach = 0, [], {}
+        for lines, span, down in row:
+            while taken.get(at):
+                at += 1
+            # A page could ask for a thousand columns in every cell.
+            span = min(span, max(1, _COLUMNS - at))
+            cells.append((at, lines, span))
+            if down > 1:
+                reach.update(dict.fromkeys(range(at, at + span), down - 1))
             at += span
+        taken = {k: n - 1 for k, n in taken.items() if n > 1} | reach
+        out.append(cells)
+    return out
+
+
+def _table(rows: list[list[_Cell]]) -> list[str]:
+    """Rows of cells as lines, columns padded to one width, :data:`WIDEST` at most."""
+    placed = _placed(rows)
+    if all(len(row) < 2 and not any(at for at, *_ in row) for row in placed):
+        return [line.rstrip() for row in placed for _, lines, _ in row for line in lines]
+    width: dict[int, int] = {}
+    for row in placed:
+        for at, lines, span in row:
+            if span == 1:
+                width[at] = max(width.get(at, 0), min(max(map(len, lines), default=0), WIDEST))
+    # Where each column begins; those that no cell has for itself take no room.
+    begin, total = {}, 0
+    for k in sorted(width):
+        begin[k], total = total, total + width[k] + 2
+    columns = sorted(begin)
     out = []
-    for row in rows:
-        for i in range(max((len(lines) for lines, _ in row), default=0)):
-            parts, at = [], 0
-            for lines, span in row:
-                room = sum(width.get(k, 0) + 2 for k in range(at, min(at + span, len(width)))) - 2
-                parts.append((lines[i] if i < len(lines) else "").ljust(max(room, 0)))
-                at += span
-            out.append("  ".join(parts).rstrip())
+    for row in placed:
+        starts = [begin[columns[i]] if (i := bisect_left(columns, at)) < len(columns) else total for at, *_ in row]
+        for n in range(max((len(lines) for _, lines, _ in row), default=0)):
+            line = ""
+            for start, (_, lines, _) in zip(starts, row):
+                if n < len(lines) and lines[n]:
+                    # Text that ran over its column moves what follows along.
+                    line += " " * max(start - len(line), 2 if line else 0) + lines[n]
+            out.append(line.rstrip())
     return out
 
 
@@ -133,7 +174,7 @@ class _Page:
 
     def text(self, raw: str) -> None:
         top = self.stack[-1]
-        if not top.shown or top.mute or not raw:
+        if not top.shown or not top.visible or top.mute or not raw:
             return
         value = html.unescape(raw) if "&" in raw else raw
         value = value.replace(_BREAK, "").replace(_KEEP, "")
@@ -181,16 +222,32 @@ class _Page:
     def push(self, tag: str, rest: str) -> None:
         top = self.stack[-1]
         shown = top.shown and tag not in HIDDEN
-        span = 1
+        visible, span, down, value_of = top.visible, 1, 1, None
         if rest and rest.strip("/ "):
             for name, value in _ATTRIBUTE.findall(rest):
                 name = name.lower()
-                if name == "hidden" or name == "style" and _NO_SHOW.search(html.unescape(value.strip("\"'"))):
+                value = value.strip("\"'")
+                if name == "hidden":
                     shown = False
-                elif name == "colspan" and (m := re.search(r"\d+", value)):
-                    span = min(max(int(m[0]), 1), 1000)
+                elif name == "style":
+                    style = html.unescape(value)
+                    shown = shown and not _NO_SHOW.search(style)
+                    if m := _VISIBILITY.search(style):
+                        visible = m[1].lower() == "visible"
+                elif name in ("colspan", "rowspan", "start", "value") and (m := _WHOLE_NUMBER.match(value)):
+                    number = int(m[0])
+                    if name == "colspan":
+                        span = min(max(number, 1), 1000)
+                    elif name == "rowspan":
+                        # None taken means all rows to the end.
+                        down = min(number, 65534) if number > 0 else 65534 if number == 0 else 1
+                    elif (name, tag) in (("start", "ol"), ("value", "li")):
+                        value_of = number
         element = _Element(tag, shown, top.keep or tag in ("pre", "textarea", "xmp"))
-        element.span = span
+        element.span, element.down, element.visible = span, down, visible
+        element.value = value_of
+        if tag == "ol" and value_of is not None:
+            element.count = value_of - 1
         element.mute = tag == "svg" or top.mute and tag not in _LABELS
         for kind, tags in _NOT_DRAWN.items():
             if tag in tags and self.open.get(kind):
@@ -220,6 +277,10 @@ class _Page:
             if element.tag in tags:
                 return
 
+    def depth(self) -> int:
+        """Elements around that indent."""
+        return sum(self.open.get(t, 0) for t in ("li", "dd", "blockquote"))
+
     def lay(self, element: _Element) -> None:
         """Give the lines of a closed block to the block around it."""
         element.flush()
@@ -230,7 +291,7 @@ class _Page:
         if tag in ("td", "th"):
             if into.tag == "tr":
                 into.rows = into.rows or []
-                into.rows.append((lines, element.span))
+                into.rows.append((lines, element.span, element.down))
                 return
         elif tag == "tr":
             around = next((b for b in reversed(self.blocks) if b.tag == "table"), None)
@@ -246,19 +307,26 @@ class _Page:
             near = next((b for b in reversed(self.blocks) if b.tag in ("ul", "ol", "menu", "dir")), None)
             mark = "- "
             if near is not None and near.tag == "ol":
-                near.count += 1
+                near.count = near.count + 1 if element.value is None else element.value
                 mark = f"{near.count}. "
-            room = " " * len(mark)
-            lines = [(mark if i == 0 else room) + x if x else x for i, x in enumerate(lines)]
+            room = " " * len(mark) if self.depth() < DEEPEST else ""
+            if room:
+                lines = [(mark if i == 0 else room) + x if x else x for i, x in enumerate(lines)]
+            elif lines:
+                lines[0] = mark + lines[0]
         elif tag in ("dd", "blockquote"):
-            lines = ["  " + x if x else x for x in lines]
+            if self.depth() < DEEPEST:
+                lines = ["  " + x if x else x for x in lines]
         elif tag == "tbody" or tag == "thead" or tag == "tfoot":
             into.put(lines, False)
             return
-        nested = tag in ("ul", "ol") and any(b.tag == "li" for b in self.blocks)
+        nested = tag in ("ul", "ol") and self.open.get("li", 0) > 0
         into.put(lines, tag in SPACED and not nested)
 
     def end(self, tag: str) -> None:
+        if tag == "br":
+            self.start("br", "")
+            return
         if tag == "p" and not self.has({"p"}, _SCOPE):
             self.blocks[-1].flush()
             return
@@ -302,6 +370,8 @@ def visible_text(page: str) -> str:
             out.end(name)
             continue
         out.start(name, rest)
+        if name in ("pre", "textarea", "listing"):
+            at += 2 if page.startswith("\r\n", at) else page.startswith("\n", at)
         if name in RAW and out.stack[-1].tag == name:
             last = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             stop = last.start() if last else n
