@@ -11,6 +11,7 @@ from clickloom.functions import predicates as p
 from clickloom.functions.dates import date_hour, format_time
 from clickloom.functions.numbers import ratio
 from clickloom.operators.chunks import CHUNK_BYTES, chunked_values
+from clickloom.operators.extraction import counted_samples
 from clickloom.operators.ranking import top_n_per_group
 from clickloom.operators.skew import hot_keys, skew_join
 from clickloom.sources.params import TaskParams
@@ -235,18 +236,27 @@ def session_hourly_counts(sessions: DataFrame) -> DataFrame:
     )
 
 
+def _date_and_hour() -> dict[str, Column]:
+    return {"date": F.date_format("start_time", "yyyy-MM-dd"), "hour": F.date_format("start_time", "HH")}
+
+
 def sample_quotas(sessions: DataFrame, total: int = 100) -> DataFrame:
-    """Sessions to extract per (date, hour): ``total`` of them, or all if there are fewer.
+    """Sessions to extract per (date, hour) by :func:`share_quotas`; the sessions are read once."""
+    hourly = sessions.groupBy(*(c.alias(name) for name, c in _date_and_hour().items())).agg(
+        F.count("*").alias("session_count")
+    )
+    return share_quotas(materialize(hourly, "hourly-sessions"), total)
+
+
+def share_quotas(hourly: DataFrame, total: int = 100) -> DataFrame:
+    """How many of the ``session_count`` sessions of each (date, hour) are extracted: ``total``
+    of them, or all if there are fewer.
 
     The days share them evenly; a day with fewer sessions than its part gives all, and the
     other days share what is left (odd ones go to the earliest days). Within a day the hours
     share in proportion to their sessions, the largest remainders rounded up (ties: the earlier
     hour). All of it is integer arithmetic on the hourly counts.
     """
-    hourly = sessions.groupBy(
-        F.date_format("start_time", "yyyy-MM-dd").alias("date"),
-        F.date_format("start_time", "HH").alias("hour"),
-    ).agg(F.count("*").alias("session_count"))
     # One row per day from here: days in order of their size, those that give all come first.
     daily = hourly.groupBy("date").agg(F.sum("session_count").alias("day_count"))
     every = Window.partitionBy()
@@ -282,25 +292,21 @@ def sample_quotas(sessions: DataFrame, total: int = 100) -> DataFrame:
 def sample_sessions(sessions: DataFrame, total: int = 100, seed: int = 9) -> DataFrame:
     """Extract sessions by the quotas of :func:`sample_quotas`, picked by a seeded hash.
 
-    No quota exceeds ``total``, so each (date, hour) is first cut to that many sessions, which
-    happens before the shuffle; the exact quota is applied to what is left.
+    The sessions are read once: tasks count each (date, hour) and keep its first ``total`` picks,
+    as no quota exceeds that. Both are written out; the quotas are made of the counts and applied
+    to the picks.
     """
+    when = _date_and_hour()
     pick = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("session_id")))
-    keyed = sessions.withColumns(
-        {
-            "date": F.date_format("start_time", "yyyy-MM-dd"),
-            "hour": F.date_format("start_time", "HH"),
-            "_pick": pick,
-        }
-    )
-    order = [F.col("_pick"), F.col("session_id")]
-    cut = top_n_per_group(keyed, ["date", "hour"], order, total, rank="_nth")
-    quotas = sample_quotas(sessions, total).select("date", "hour", "quota")
-    return (
-        cut.join(quotas, ["date", "hour"])
-        .where(F.col("_nth") <= F.col("quota"))
-        .drop("_nth", "_pick", "quota")
+    rows = sessions.withColumns(when)
+    order = {"_pick": pick, "_id": F.col("session_id")}
+    parts = materialize(
+        counted_samples(rows, {c: F.col(c) for c in when}, order, total), "session-picks"
     )
+    hourly = parts.groupBy(*when).agg(F.sum("n").alias("session_count"))
+    quotas = share_quotas(hourly, total).select(*when, "quota")
+    cut = top_n_per_group(parts.where("row is not null"), list(when), [F.col(c) for c in order], total, rank="_nth")
+    return cut.join(quotas, list(when)).where(F.col("_nth") <= F.col("quota")).select("row.*")
 
 
 def session_details(

@@ -171,13 +171,12 @@ def session_hourly_counts(t: Tables) -> DataFrame:
 
 @query
 def sample_quotas(t: Tables) -> DataFrame:
-    return sessions.sample_quotas(materialize(_sessions(t), "session-profiles"), total=1000)
+    return sessions.sample_quotas(_sessions(t), total=1000)
 
 
 @query
 def session_sample(t: Tables) -> DataFrame:
-    profiles = materialize(_sessions(t), "session-profiles")
-    return sessions.as_extract_rows(sessions.sample_sessions(profiles))
+    return sessions.as_extract_rows(sessions.sample_sessions(_sessions(t)))
 
 
 def _hour_sessions(t: Tables) -> DataFrame:
@@ -189,13 +188,13 @@ def _hour_sessions(t: Tables) -> DataFrame:
 
 @query
 def sample_quotas_hours(t: Tables) -> DataFrame:
-    return sessions.sample_quotas(materialize(_hour_sessions(t), "hour-sessions"))
+    return sessions.sample_quotas(_hour_sessions(t))
 
 
 @query
 def session_sample_hours(t: Tables) -> DataFrame:
     """Fewer sessions than days, so some days give none."""
-    sample = sessions.sample_sessions(materialize(_hour_sessions(t), "hour-sessions"), total=25)
+    sample = sessions.sample_sessions(_hour_sessions(t), total=25)
     return sample.select("session_id", "date", "hour")
 
 
