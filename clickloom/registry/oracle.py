@@ -720,8 +720,10 @@ def oracle_sql() -> dict[str, str]:
         "upsert_sink": """
             select o_custkey, status, orders, last_order
             from (select o_custkey, max(o_orderstatus) as status, count(*) as orders, max(o_orderkey) as last_order,
-                         row_number() over (partition by o_custkey order by o_orderstatus is distinct from 'O' desc) as nth
-                  from orders group by o_custkey, o_orderstatus is distinct from 'O')
+                         row_number() over (partition by o_custkey order by step desc) as nth
+                  from (select *, case o_orderstatus when 'O' then 0 when 'F' then 1 when 'P' then 2 else 3 end as step
+                        from orders)
+                  group by o_custkey, step)
             where nth = 1""",
         "replace_groups_sink": """
             select o_orderstatus as status, o_orderpriority,

@@ -763,13 +763,16 @@ def append_sink(t: Tables) -> DataFrame:
 
 @query
 def upsert_sink(t: Tables) -> DataFrame:
-    """Per user the last order date, from the open orders first and then from all others."""
+    """Per user the last order date, from the open orders first, then the finished and the pending
+    ones, then those of any other status or none."""
     table = LedgerTable(
         Ledger(t.spark, work_path(t.spark, "upsert")), "last_orders",
         "o_custkey bigint, status string, orders bigint, last_order bigint", ["o_custkey"], buckets=_parts(t),
     )
-    opened = F.col("o_orderstatus").eqNullSafe("O")
-    for chosen in (opened, ~opened):
+    known = ("O", "F", "P")
+    status = F.col("o_orderstatus")
+    others = ~F.coalesce(status.isin(*known), F.lit(False))
+    for chosen in (*(status == s for s in known), others):
         upsert(
             table,
             t.raw("orders").where(chosen).groupBy("o_custkey").agg(
