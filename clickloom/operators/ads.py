@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators.ranking import top_n_per_group
-from clickloom.operators.skew import skew_join
+from clickloom.operators.skew import Hot, skew_join
 
 # Fixed value: clicks on one ad on one day from which a user is blacklisted.
 BLACKLIST_THRESHOLD = 100
@@ -40,7 +40,7 @@ def ad_blacklist(user_clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -
 
 
 def ad_filtered_clicks(
-    clicks: DataFrame, blacklist: DataFrame, hot: Sequence[Row] | None = None
+    clicks: DataFrame, blacklist: DataFrame, hot: Hot | None = None
 ) -> DataFrame:
     """Clicks of users not on the blacklist. Hot users, the likely entries, join in chunks."""
     return skew_join(clicks, blacklist.select("user_id"), "user_id", "left_anti", hot)

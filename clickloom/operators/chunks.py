@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from clickloom.operators.skew import hot_frame, hot_keys
+from clickloom.operators.skew import MOST_LISTED, TARGET_ROWS, Hot, cut_in_order, hot_frame, hot_parts, total_chunks
 from clickloom.workspace import materialize
 
 CHUNK_BYTES = 1 << 20
@@ -34,14 +34,14 @@ def _numbered(rows: DataFrame, w: WindowSpec, start: Column, offset: Column) ->
 
 def chunked_values(
     rows: DataFrame, group: str | Sequence[str], value: str, chunk_bytes: int = CHUNK_BYTES,
-    hot: Sequence[Row] | None = None, **detect,
+    hot: Hot | None = None, **detect,
 ) -> DataFrame:
     """Distinct values of each group in order, as chunks of about ``chunk_bytes`` bytes.
 
     A value counts with its length as text and one for a separator; a chunk takes the values that
     begin in its stretch, so it holds at most one value more than its size. NULL values are left
     out; a NULL in the group is a key of its own, but is not cut in pieces. ``hot`` are groups of
-    too many distinct values for a task (see :func:`~clickloom.operators.skew.hot_keys`), by
+    too many distinct values for a task (see :func:`~clickloom.operators.skew.hot_parts`), by
     default looked for.
     """
     group = [group] if isinstance(group, str) else list(group)
@@ -49,16 +49,15 @@ def chunked_values(
     distinct = rows.where(F.col(value).isNotNull()).select(*group, F.col(value).alias("_value")).distinct()
     if hot is None:
         # As good as certain to be among those of the rows; those of few values only cost a piece.
-        hot = hot_keys(rows, group, **detect)
+        hot = hot_parts(rows, group, **detect)
     sized = distinct.withColumn("_bytes", F.octet_length(F.col("_value").cast("string")).cast("long") + 1)
     zero = F.lit(0).cast("long")
     whole = Window.partitionBy(*group).orderBy("_value")
     if hot:
-        keys = hot_frame(rows, group, hot)
+        keys, chunks = hot_frame(rows, group, hot), total_chunks(hot)
+        target_rows = detect.get("target_rows", TARGET_ROWS)
         pieces = materialize(
-            sized.join(keys.drop("_chunks"), group)
-            .repartitionByRange(sum(h["_chunks"] for h in hot), *group, "_value")
-            .withColumn("_piece", F.spark_partition_id()),
+            cut_in_order(sized.join(keys.drop("_chunks"), group), [*group, "_value"], chunks, target_rows).drop("_at"),
             "list-pieces",
         )
         sums = pieces.groupBy(*group, "_piece").agg(F.count("*").alias("_n"), F.sum("_bytes").alias("_b"))
@@ -67,8 +66,9 @@ def chunked_values(
             *group, "_piece", _before(F.col("_n"), order).alias("_n_ahead"), _before(F.col("_b"), order).alias("_b_ahead")
         )
         within = Window.partitionBy(*group, "_piece").orderBy("_value")
-        # A row per piece, of which there are at most as many as chunks of hot keys plus hot keys.
-        cut = _numbered(pieces.join(F.broadcast(ahead), [*group, "_piece"]), within, F.col("_n_ahead"), F.col("_b_ahead"))
+        # About a row per chunk of a hot key; sent to every task while these are few.
+        ahead = F.broadcast(ahead) if chunks <= MOST_LISTED else ahead
+        cut = _numbered(pieces.join(ahead, [*group, "_piece"]), within, F.col("_n_ahead"), F.col("_b_ahead"))
         plain = _numbered(sized.join(keys, group, "left_anti"), whole, zero, zero)
         numbered = plain.unionByName(cut.select(*plain.columns))
     else:

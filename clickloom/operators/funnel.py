@@ -4,36 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row, Window, WindowSpec
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from clickloom.functions.numbers import ratio
-from clickloom.operators.skew import hot_frame, hot_keys
+from clickloom.operators.skew import TARGET_ROWS, Hot, cut_in_order, hot_frame, hot_parts, total_chunks
 from clickloom.workspace import materialize
 
 _ORDER = ("action_time", "action_id")
 
 
 def page_transitions(
-    actions: DataFrame, hot: Sequence[Row] | None = None, **detect
+    actions: DataFrame, hot: Hot | None = None, **detect
 ) -> DataFrame:
     """(session_id, from_page, to_page) for each two consecutive views of a session."""
     return page_steps(actions, hot, **detect).where("follows").drop("follows")
 
 
-def page_steps(actions: DataFrame, hot: Sequence[Row] | None = None, **detect) -> DataFrame:
+def page_steps(actions: DataFrame, hot: Hot | None = None, **detect) -> DataFrame:
     """Every view with the one before it in its session: (session_id, from_page, to_page,
     follows), where ``follows`` is true, or NULL on the first view of a session.
 
     Views are ordered by time, then action id, which is unique in its session. An ordinary
-    session is one window group; a hot session (see :func:`clickloom.operators.skew.hot_keys`)
+    session is one window group; a hot session (see :func:`clickloom.operators.skew.hot_parts`)
     is cut into pieces of its order, for which its views are written out once.
     """
     views = actions.select("session_id", "page_id", *_ORDER)
     if hot is None:
-        hot = hot_keys(views, "session_id", **detect)
+        hot = hot_parts(views, "session_id", **detect)
     if hot:
-        return _pair_pieces(views, hot)
+        return _pair_pieces(views, hot, detect.get("target_rows", TARGET_ROWS))
     w = Window.partitionBy("session_id").orderBy(*_ORDER)
     return _paired(views, w)
 
@@ -51,31 +51,25 @@ def _paired(
     )
 
 
-def _pair_pieces(views: DataFrame, hot: Sequence[Row]) -> DataFrame:
+def _pair_pieces(views: DataFrame, hot: Hot, target_rows: int) -> DataFrame:
     """Pair the views of hot sessions in pieces, then close the seams between the pieces.
 
     A range partitioning by session and order cuts the hot sessions into pieces of about equal
-    size, wherever in time or ids the views lie. The piece of each view is written down, since
-    a range partitioning done twice may cut at other places. Views are paired within their
-    piece; for the seams the first and last page of each piece are enough, and there are only
-    about as many pieces as chunks asked for.
+    size, wherever in time or ids the views lie; a task takes as many pieces as it can hold. The
+    piece of each view is written down, since a range partitioning done twice may cut at other
+    places. Views are paired within their piece; for the seams the first and last page of each
+    piece are enough.
     """
     chunks = hot_frame(views, ["session_id"], hot)
-    n = sum(h["_chunks"] for h in hot)
+    mine = views.join(chunks.drop("_chunks"), "session_id")
     pieces = materialize(
-        views.join(chunks.drop("_chunks"), "session_id")
-        .repartitionByRange(n, "session_id", *_ORDER)
-        .withColumn("_piece", F.spark_partition_id()),
-        "session-pieces",
+        cut_in_order(mine, ["session_id", *_ORDER], total_chunks(hot), target_rows), "session-pieces"
     )
     others = views.join(chunks, "session_id", "left_anti")
     cold = _paired(others, Window.partitionBy("session_id").orderBy(*_ORDER))
-    within = _paired(
-        pieces, Window.partitionBy("session_id", "_piece").orderBy(*_ORDER)
-    )
-    by = F.struct(*_ORDER)
+    within = _paired(pieces, Window.partitionBy("session_id", "_piece").orderBy("_at"))
     ends = pieces.groupBy("session_id", "_piece").agg(
-        F.min_by("page_id", by).alias("first_page"), F.max_by("page_id", by).alias("last_page")
+        F.min_by("page_id", "_at").alias("first_page"), F.max_by("page_id", "_at").alias("last_page")
     )
     seams = _paired(
         ends, Window.partitionBy("session_id").orderBy("_piece"), "first_page", "last_page"
@@ -91,7 +85,7 @@ def _steps(flow: Sequence[int]) -> list[tuple[int, int]]:
 
 
 def page_flow_splits(
-    actions: DataFrame, flow: Sequence[int], hot: Sequence[Row] | None = None
+    actions: DataFrame, flow: Sequence[int], hot: Hot | None = None
 ) -> DataFrame:
     """Views per step of the flow (``from_to``); a step never taken has no row."""
     steps = sorted(set(_steps(flow)))
@@ -115,7 +109,7 @@ def page_convert_rates(
     actions: DataFrame,
     flow: Sequence[int],
     missing_as: int = 1,
-    hot: Sequence[Row] | None = None,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """One row per step position: its views, the views before it, and their ratio.
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.operators.skew import hot_keys, skew_join
+from clickloom.operators.skew import hot_parts, skew_join
 from clickloom.workspace import materialize, work_path
 
 # The attributes that hold links, and the starts of links that lead nowhere.
@@ -91,7 +91,7 @@ def crawl_rounds(
     folder = folder or work_path(spark, "crawl")
     followed = links.where(F.col("target").contains(contains)).select("url", "target")
     edges = materialize(followed.where(F.col("url") != F.col("target")).distinct(), "edges", f"{folder}/edges")
-    hot = hot_keys(edges, "url", **detect)
+    hot = hot_parts(edges, "url", **detect)
     found = materialize(seeds.select("url").where(F.col("url").isNotNull()).distinct(), "found", f"{folder}/found/depth=0")
     depth = 0
     while (most_rounds is None or depth < most_rounds) and not found.isEmpty():

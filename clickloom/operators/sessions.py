@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions import predicates as p
@@ -13,7 +13,7 @@ from clickloom.functions.numbers import ratio
 from clickloom.operators.chunks import CHUNK_BYTES, chunked_values
 from clickloom.operators.extraction import counted_samples
 from clickloom.operators.ranking import top_n_per_group
-from clickloom.operators.skew import hot_keys, skew_join
+from clickloom.operators.skew import Hot, hot_parts, skew_join
 from clickloom.sources.params import TaskParams
 from clickloom.workspace import materialize
 
@@ -40,7 +40,7 @@ STEP_BUCKETS = (
 
 
 def session_aggregate(
-    actions: DataFrame, users: DataFrame | None = None, hot: Sequence[Row] | None = None
+    actions: DataFrame, users: DataFrame | None = None, hot: Hot | None = None
 ) -> DataFrame:
     """One row per session: user, distinct keywords and clicked categories, lengths, start.
 
@@ -86,11 +86,11 @@ def session_aggregate(
     if users is None:
         return sessions
     # A user has no more sessions than actions, and counting these needs no sessions.
-    return with_user_info(sessions, users, hot_keys(actions, "user_id") if hot is None else hot)
+    return with_user_info(sessions, users, hot_parts(actions, "user_id") if hot is None else hot)
 
 
 def with_user_info(
-    sessions: DataFrame, users: DataFrame, hot: Sequence[Row] | None = None
+    sessions: DataFrame, users: DataFrame, hot: Hot | None = None
 ) -> DataFrame:
     """Inner join of sessions with user facts. Sessions of hot users (by default looked for) join
     in chunks."""
@@ -100,7 +100,7 @@ def with_user_info(
 
 
 def session_value_chunks(
-    actions: DataFrame, sessions: DataFrame | None = None, hot: Sequence[Row] | None = None,
+    actions: DataFrame, sessions: DataFrame | None = None, hot: Hot | None = None,
     chunk_bytes: int = CHUNK_BYTES, **detect,
 ) -> DataFrame:
     """The lists of :func:`session_aggregate` for sessions of any size: chunks of the distinct
@@ -109,11 +109,11 @@ def session_value_chunks(
     if sessions is not None:
         actions = session_details(sessions, actions, hot)
     if hot is None:
-        hot = hot_keys(actions, "session_id", **detect)
+        hot = hot_parts(actions, "session_id", **detect)
     made = []
     for kind, column in (("keyword", "search_keyword"), ("category", "click_category_id")):
         filled = actions.where(F.col(column).cast("string") != "")
-        chunks = chunked_values(filled, "session_id", column, chunk_bytes, hot)
+        chunks = chunked_values(filled, "session_id", column, chunk_bytes, hot, **detect)
         made.append(chunks.select(
             "session_id", F.lit(kind).alias("kind"), "chunk", "position", F.col("values").cast("array<string>").alias("values")
         ))
@@ -164,7 +164,7 @@ def session_profiles(actions: DataFrame, params: TaskParams) -> DataFrame:
 
 
 def profile_filter(
-    profiles: DataFrame, users: DataFrame, params: TaskParams, hot: Sequence[Row] | None = None
+    profiles: DataFrame, users: DataFrame, params: TaskParams, hot: Hot | None = None
 ) -> DataFrame:
     """The :func:`session_profiles` that meet every given parameter, with user facts."""
     known = with_user_info(profiles, users, hot)
@@ -180,7 +180,7 @@ def profile_filter(
 
 
 def with_lists(
-    sessions: DataFrame, actions: DataFrame, hot: Sequence[Row] | None = None
+    sessions: DataFrame, actions: DataFrame, hot: Hot | None = None
 ) -> DataFrame:
     """Add the distinct keywords and clicked categories of the given sessions."""
     keyword = F.when(F.col("search_keyword") != "", F.col("search_keyword"))
@@ -197,7 +197,7 @@ def with_lists(
 def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
     """What :func:`session_filter` keeps of :func:`session_aggregate`, with lists built for the
     kept sessions alone. The kept sessions are written out once."""
-    busy = hot_keys(actions, "user_id")
+    busy = hot_parts(actions, "user_id")
     kept = materialize(profile_filter(session_profiles(actions, params), users, params, busy), "session-kept")
     columns = [
         "session_id", "user_id", "search_keywords", "click_category_ids", "visit_length", "step_length",
@@ -310,7 +310,7 @@ def sample_sessions(sessions: DataFrame, total: int = 100, seed: int = 9) -> Dat
 
 
 def session_details(
-    sessions: DataFrame, actions: DataFrame, hot: Sequence[Row] | None = None
+    sessions: DataFrame, actions: DataFrame, hot: Hot | None = None
 ) -> DataFrame:
     """The actions of the given sessions. Actions of hot sessions are joined in chunks."""
     return skew_join(actions, sessions.select("session_id"), "session_id", "left_semi", hot)

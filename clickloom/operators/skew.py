@@ -14,12 +14,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickloom.workspace import materialize
+
 _CHUNKS = "_chunks"
 _SALT = "_salt"
 _COPIES_ALL = ("inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "left_anti",
@@ -35,6 +38,21 @@ _SKETCHED = (T.StringType, T.BooleanType, T.IntegralType, T.DateType, T.Timestam
 _FINE, _FINE_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 # Rows of one key that a task can hold, sort and write without trouble.
 TARGET_ROWS = 4_000_000
+# Hot keys that the driver lists; more are kept as a table.
+MOST_LISTED = 20_000
+
+
+@dataclass(frozen=True)
+class HotTable:
+    """Hot keys that are too many for a list: a written table of the keys and their chunks, with
+    the sum and the largest of these."""
+
+    keys: DataFrame
+    total: int
+    most: int
+
+
+Hot = Sequence[Row] | HotTable
 
 
 def _names(on: str | Sequence[str]) -> list[str]:
@@ -85,7 +103,31 @@ def hot_keys(
     table it was counted from. A row then enters the sketch once per 200th part of ``target_rows``,
     the rest drawn, so this too is a small pass.
     """
-    on = _names(on)
+    return _search(df, _names(on), target_rows, fraction, seed, weight, None)
+
+
+def hot_parts(
+    df: DataFrame,
+    on: str | Sequence[str],
+    target_rows: int = TARGET_ROWS,
+    fraction: float = 0.01,
+    seed: int = 9,
+    weight: str | None = None,
+) -> Hot:
+    """The same as :func:`hot_keys` however many hot keys there are.
+
+    Up to ``MOST_LISTED`` keys are a list. If there are more, or more rows than a sketch can tell,
+    the rows of the sample are counted by key in a shuffle and the hot keys are written to a table,
+    so nothing that grows with the input goes through the driver. NULL keys match nothing and are
+    not in the table.
+    """
+    return _search(df, _names(on), target_rows, fraction, seed, weight, MOST_LISTED)
+
+
+def _search(
+    df: DataFrame, on: list[str], target_rows: int, fraction: float, seed: int, weight: str | None, listed: int | None
+) -> Hot:
+    """The hot keys as a list or, if ``listed`` is given and does not do, as a table."""
     if weight is not None:
         most: float = _GRAINS
         part = F.col(weight).cast("decimal(38,0)") * _GRAINS
@@ -100,19 +142,59 @@ def hot_keys(
         rows = df.select(*on)
         if fraction < 1:
             rows = rows.sample(False, fraction, seed)
-    tracked = _pow2(max(_TRACKED[0], min(_TRACKED[1] // 2, _ERROR * estimated_bytes(df.select(*on)) / 8 / target_rows)))
+    size = estimated_bytes(df.select(*on))
+    need = _ERROR * size / 8 / target_rows
+    if listed is not None and need > _TRACKED[1]:
+        # Likely more than a sketch can tell; a small one counts the rows.
+        need = 0
+    tracked = _pow2(max(_TRACKED[0], min(_TRACKED[1] // 2, need)))
     # Sketches of up to so many gigabytes of input meet in one task at once.
-    groups = estimated_bytes(df.select(*on)) >> 35
+    groups = size >> 35
     while True:
-        n, found = _heavy(rows, on, most, min(tracked, _TRACKED[1]), groups)
+        n, found = _heavy(rows, on, most, min(tracked, _TRACKED[1]), groups, listed)
+        if listed is not None and (_ERROR * n > most * _TRACKED[1] or found is None):
+            return _counted(rows, on, most)
         if _ERROR * n <= most * tracked or tracked >= _TRACKED[1]:
             break
         tracked = _pow2(_ERROR * n / most)
     return sorted(found, key=lambda row: (-row[_CHUNKS], repr(row)))
 
 
-def _heavy(rows: DataFrame, on: list[str], most: float, tracked: int, groups: int) -> tuple[int, list[Row]]:
-    """The number of rows, and the keys that a sketch of ``tracked`` items counts more than ``most`` times."""
+def _counted(rows: DataFrame, on: list[str], most: float) -> Hot:
+    """The keys of more than ``most`` of the rows, counted in a shuffle."""
+    counts = rows.where(~_any_null(on)).groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > most)
+    keys = materialize(counts.select(*on, F.ceil(F.col("_n") / most).cast("int").alias(_CHUNKS)), "hot-keys")
+    total, largest = keys.agg(F.sum(_CHUNKS), F.max(_CHUNKS)).first()
+    return HotTable(keys, total, largest) if total else []
+
+
+def total_chunks(hot: Hot) -> int:
+    return hot.total if isinstance(hot, HotTable) else sum(h[_CHUNKS] for h in hot)
+
+
+def cut_tasks(df: DataFrame, chunks: int, target_rows: int = TARGET_ROWS) -> int:
+    """Tasks that cut so many chunks of ``target_rows`` rows: one per chunk, but small chunks share
+    a task, so that there are no more than the shuffle partitions of the session or, if that is
+    more, one per ``TARGET_ROWS`` rows."""
+    wide = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(chunks, max(wide, math.ceil(chunks * target_rows / TARGET_ROWS))))
+
+
+def cut_in_order(df: DataFrame, by: Sequence[str], chunks: int, target_rows: int = TARGET_ROWS) -> DataFrame:
+    """Rows cut by a range partitioning into pieces of their order, of ``target_rows`` rows at most:
+    ``_at`` is the place of a row in the whole order and ``_piece`` its piece, both ascending. A
+    range partitioning done twice may cut at other places, so write the result down."""
+    ranged = df.repartitionByRange(cut_tasks(df, chunks, target_rows), *by).sortWithinPartitions(*by)
+    return ranged.withColumn("_at", F.monotonically_increasing_id()).withColumn(
+        "_piece", F.expr(f"_at div {int(target_rows)}L")
+    )
+
+
+def _heavy(
+    rows: DataFrame, on: list[str], most: float, tracked: int, groups: int, listed: int | None = None
+) -> tuple[int, list[Row] | None]:
+    """The number of rows, and the keys that a sketch of ``tracked`` items counts more than ``most``
+    times, or None if they are more than ``listed``."""
     plain = len(on) == 1 and isinstance(rows.schema[on[0]].dataType, _SKETCHED)
     packed = F.to_json(F.struct(*on), {"timestampFormat": _FINE, "timestampNTZFormat": _FINE_NTZ})
     group = F.spark_partition_id() % groups if groups > 1 else F.lit(0)
@@ -126,9 +208,15 @@ def _heavy(rows: DataFrame, on: list[str], most: float, tracked: int, groups: in
             F.expr(f"approx_top_k_combine(_sketch, {tracked})").alias("_sketch"), F.sum("n").alias("n")
         )
     items = F.expr(f"filter(approx_top_k_estimate(_sketch, {tracked}), x -> x.count > {most!r})")
-    one = parts.select(items.alias("items"), "n").first()
+    parts = parts.select(items.alias("items"), "n")
+    if listed is not None:
+        many = F.size("items") > listed
+        parts = parts.select(F.when(~many, F.col("items")).alias("items"), "n", many.alias("many"))
+    one = parts.first()
     if one is None:
         return 0, []
+    if listed is not None and one["many"]:
+        return one["n"], None
     if not one["items"]:
         return one["n"], []
     chunks = {item["item"]: math.ceil(item["count"] / most) for item in one["items"]}
@@ -141,9 +229,12 @@ def _heavy(rows: DataFrame, on: list[str], most: float, tracked: int, groups: in
     return one["n"], keys.select("_key.*", _CHUNKS).collect()
 
 
-def hot_frame(like: DataFrame, on: list[str], hot: Sequence[Row]) -> DataFrame:
-    """The hot keys as a frame. Their number is bounded (see :func:`hot_keys`): 10^12 rows have
-    under 250,000, so it is small enough to send to every task."""
+def hot_frame(like: DataFrame, on: list[str], hot: Hot) -> DataFrame:
+    """The hot keys as a frame. A list is small enough to send to every task: :func:`hot_parts` lists
+    up to ``MOST_LISTED`` keys, and by default 10^12 rows have under 250,000 (see :func:`hot_keys`).
+    Of a table Spark decides by its size."""
+    if isinstance(hot, HotTable):
+        return hot.keys
     fields = [like.schema[k] for k in on] + [T.StructField(_CHUNKS, T.IntegerType())]
     fields = [T.StructField(f.name, f.dataType, True) for f in fields]
     rows = [tuple(h[k] for k in on) + (h[_CHUNKS],) for h in hot]
@@ -159,7 +250,7 @@ def skew_join(
     right: DataFrame,
     on: str | Sequence[str],
     how: str = "inner",
-    hot: Sequence[Row] | None = None,
+    hot: Hot | None = None,
     **detect,
 ) -> DataFrame:
     """Equi-join that cuts the hot keys of ``left`` into chunks and copies their ``right`` rows.
@@ -171,10 +262,10 @@ def skew_join(
     if how not in _COPIES_ALL:
         raise ValueError(f"cannot chunk the left side of a {how} join")
     if hot is None:
-        hot = hot_keys(left, on, **detect)
+        hot = hot_parts(left, on, **detect)
     if not hot:
         return left.join(right, on, how)
-    most = max(h[_CHUNKS] for h in hot)
+    most = hot.most if isinstance(hot, HotTable) else max(h[_CHUNKS] for h in hot)
     chunks = hot_frame(left, on, hot)
     flagged = left.join(chunks, on, "left")
     n = F.when(_any_null(on), F.lit(most)).otherwise(F.coalesce(F.col(_CHUNKS), F.lit(1)))
@@ -227,8 +318,10 @@ def skew_split_join(
     All keys above ``target_rows`` are salted, each ``n`` ways or (by default) into as many
     chunks as it needs; other keys have the single salt 0. Both sides are read once.
     """
-    hot = hot_keys(left, on, target_rows, fraction, seed)
-    if n is not None:
+    hot = hot_parts(left, on, target_rows, fraction, seed)
+    if n is not None and isinstance(hot, HotTable):
+        hot = HotTable(hot.keys.withColumn(_CHUNKS, F.lit(n)), 0, n)
+    elif n is not None:
         hot = [Row(**(h.asDict() | {_CHUNKS: n})) for h in hot]
     return skew_join(left, right, on, "inner", hot)
 

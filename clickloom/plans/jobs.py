@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clickloom.functions import dates
 from clickloom.operators import categories, funnel, news, products, sessions
 from clickloom.operators.ads import BLACKLIST_THRESHOLD
-from clickloom.operators.skew import hot_keys
+from clickloom.operators.skew import hot_parts
 from clickloom.sinks.append import append, result_rows
 from clickloom.sources.params import TaskParams
 from clickloom.sources.tables import scan_actions, scan_clicks
@@ -41,7 +41,7 @@ def session_job(
     kept = materialize(
         sessions.profile_filter(profiles, users, params, hot=None), "kept", f"{folder}/kept"
     )
-    hot = hot_keys(profiles, "session_id", weight="step_length")
+    hot = hot_parts(profiles, "session_id", weight="step_length")
     details = materialize(sessions.session_details(kept, actions, hot), "details", f"{folder}/details")
     top_categories = categories.top_categories(details, TOP_CATEGORIES)
     top_sessions = categories.top_sessions_per_category(details, top_categories, TOP_SESSIONS)

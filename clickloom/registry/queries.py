@@ -128,7 +128,7 @@ def _filtered(t: Tables) -> DataFrame:
 
 def _details(t: Tables) -> DataFrame:
     profiles = sessions.session_profiles(t.actions(), FILTER)
-    busy = skew.hot_keys(t.actions(), "user_id")
+    busy = skew.hot_parts(t.actions(), "user_id")
     kept = materialize(sessions.profile_filter(profiles, t.users(), FILTER, busy), "session-kept")
     return sessions.session_details(kept, t.actions())
 
