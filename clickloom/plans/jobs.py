@@ -99,15 +99,19 @@ def news_job(
 
 def ad_job(
     lines: DataFrame, root: str, threshold: int = BLACKLIST_THRESHOLD, interval: str | None = stream.INTERVAL,
-    buckets: int = 1,
+    buckets: int = 1, state_partitions: int | None = None,
 ) -> tuple[StreamingQuery, stream.AdTables]:
     """Start the real-time ad statistics over a stream of log lines.
 
     Its tables lie under ``root``, with the checkpoint from which a new start goes on. ``buckets``
-    as in :meth:`~clickloom.streaming.ads.AdTables.under`.
+    as in :meth:`~clickloom.streaming.ads.AdTables.under`, and a batch is shuffled in
+    ``state_partitions`` parts (see :func:`~clickloom.streaming.ads.start`).
     """
     tables = stream.AdTables.under(lines.sparkSession, f"{root}/tables", buckets=buckets)
-    query = stream.start(lines, stream.job_batch(tables, threshold), f"{root}/checkpoint", interval=interval)
+    query = stream.start(
+        lines, stream.job_batch(tables, threshold), f"{root}/checkpoint", interval=interval,
+        state_partitions=state_partitions,
+    )
     return query, tables
 
 

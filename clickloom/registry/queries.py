@@ -479,11 +479,15 @@ def _parts(t: Tables) -> int:
     return min(by_size, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def _state_parts(t: Tables) -> int:
+    """One part per 32 MB of log, at least 4."""
+    return min(max(4, _parts(t)), int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _run(t: Tables, frame: DataFrame, process, root: str, mode: str) -> None:
-    """Work through the stream, its state in one part per 32 MB of log, at least 4."""
-    parts = min(max(4, _parts(t)), int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    """Work through the stream, its state in so many parts."""
     checkpoint = f"{root}/checkpoint"
-    stream.start(frame, process, checkpoint, mode, None, parts).awaitTermination()
+    stream.start(frame, process, checkpoint, mode, None, _state_parts(t)).awaitTermination()
 
 
 @query
@@ -550,9 +554,12 @@ def _ad_job(t: Tables) -> stream.AdTables:
     broken. Users listed by one batch are left out of the next.
 
     The log is written once. A part then moves to where the stream looks, and the job goes on from
-    its checkpoint, as it does after a stop.
+    its checkpoint, as it does after a stop. A batch is shuffled in one part per 32 MB of log, at
+    least one per core.
     """
     root = work_path(t.spark, "ad-job")
+    wide = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    shuffled = min(wide, max(_state_parts(t), t.spark.sparkContext.defaultParallelism))
     cut = "case when value like '% 3' then substring(value, 1, length(value) - 2) else value end"
     part = f"(day(timestamp_millis(cast(split(value, ' ')[0] as bigint))) - 1) * {AD_FILES} div 31"
     lines = t.ad_log().select(F.expr(cut).alias("value"), F.expr(part).alias("part"))
@@ -560,7 +567,9 @@ def _ad_job(t: Tables) -> stream.AdTables:
     for part in range(AD_FILES):
         move(t.spark, f"{root}/parts/part={part}", f"{root}/log/part={part}")
         source = ad_log.read_text_log(t.spark, f"{root}/log")
-        query, found = jobs.ad_job(source, f"{root}/tables", THRESHOLD, interval=None, buckets=_parts(t))
+        query, found = jobs.ad_job(
+            source, f"{root}/tables", THRESHOLD, interval=None, buckets=_parts(t), state_partitions=shuffled
+        )
         query.awaitTermination()
     return found
 

@@ -196,7 +196,8 @@ class LedgerTable:
     def load(self, parts: Sequence[str]) -> DataFrame:
         """The rows of these folders as they lie there."""
         if not parts:
-            return self.spark.createDataFrame([], self.stored())
+            # Made by Spark alone: an empty list would start Python workers.
+            return self.spark.range(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in self.stored()))
         return self.spark.read.schema(self.stored()).parquet(*(f"{self.ledger.root}/{p}" for p in parts))
 
     def combined(self, rows: DataFrame, keep_batch: bool = False) -> DataFrame:
